@@ -24,4 +24,22 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {"op1_decontaminate": op1_decontaminate}
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .simhash import simhash_groups
+
+    out = simhash_groups(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .common import held_out
+    from .language import identify, training_sample
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    out = identify(docs.drop("lang"), training_sample(docs, "doc_id", "text", "lang"))
+    return out.select(
+        "doc_id", held_out("doc_id").alias("held_out"), F.col("lang_pred_").alias("lang_pred"), F.col("lang_score_").alias("score")
+    )
+
+
+QUERIES = {"op1_decontaminate": op1_decontaminate, "op3_language": op3_language, "op7_simhash": op7_simhash}
