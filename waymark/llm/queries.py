@@ -42,4 +42,21 @@ def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {"op1_decontaminate": op1_decontaminate, "op3_language": op3_language, "op7_simhash": op7_simhash}
+def op8_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .lines import dedup_lines
+
+    out = dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select(
+        "doc_id",
+        F.col("lines_in_").cast("long").alias("n_lines"),
+        F.col("lines_out_").cast("long").alias("n_kept"),
+        F.sha2("text", 256).alias("text_sha256"),
+    )
+
+
+QUERIES = {
+    "op1_decontaminate": op1_decontaminate,
+    "op3_language": op3_language,
+    "op7_simhash": op7_simhash,
+    "op8_lines": op8_lines,
+}
