@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,6 +33,29 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def tokenizer_path() -> str:
+    """Model file of op2: WAYMARK_PIECES, else the public one that is installed."""
+    if path := os.environ.get("WAYMARK_PIECES"):
+        return path
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
+def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .pieces import decode, encode, read_model
+
+    model = read_model(tokenizer_path())
+    coded = decode(encode(table(spark, sf_dir, "documents").select("doc_id", "text"), model), model)
+    return coded.select(
+        "doc_id",
+        F.size("ids_").cast("long").alias("n_pieces"),
+        F.sha2(F.concat_ws(",", F.col("ids_").cast("array<string>")), 256).alias("ids_sha256"),
+        F.sha2("decoded_", 256).alias("decoded_sha256"),
+        F.col("decoded_").eqNullSafe(F.col("text")).alias("exact"),
+    )
+
+
 def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .common import held_out
     from .language import identify, training_sample
@@ -56,6 +81,7 @@ def op8_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
+    "op2_sentencepiece": op2_sentencepiece,
     "op3_language": op3_language,
     "op7_simhash": op7_simhash,
     "op8_lines": op8_lines,
