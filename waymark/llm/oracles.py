@@ -21,4 +21,23 @@ SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS
 FROM docs d LEFT JOIN words USING (r) LEFT JOIN items USING (r)
 """
 
-ORACLES = {"op1_decontaminate": OP1}
+OP6 = r"""
+WITH turns AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok' UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'),
+each AS (SELECT *, lag(role) OVER w AS before, lead(role) OVER w AS after,
+  14 + length(role) + length(text) + (length(role) - length(replace(role, '\', ''))) + (length(role) - length(replace(role, '#', '')))
+  + (length(role) - length(replace(role, '<', ''))) + (length(role) - length(replace(role, ':', ''))) + (length(text) - length(replace(text, '\', '')))
+  + (length(text) - length(replace(text, '#', ''))) + (length(text) - length(replace(text, '<', ''))) AS chars
+  FROM turns WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text))
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(chars) AS BIGINT) AS formatted_chars,
+  bool_and(CASE coalesce(before, '') WHEN '' THEN role IN ('system', 'user') WHEN 'system' THEN role = 'user' WHEN 'user' THEN role = 'assistant'
+    WHEN 'assistant' THEN role IN ('user', 'tool') WHEN 'tool' THEN role = 'assistant' ELSE false END
+    AND (after IS NOT NULL OR role = 'assistant')) AS valid
+FROM each GROUP BY conv_id
+"""
+
+ORACLES = {"op1_decontaminate": OP1, "op6_chat": OP6}

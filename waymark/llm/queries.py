@@ -26,6 +26,49 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .secrets import KINDS, find_secrets
+
+    out = find_secrets(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+    def many(kind: str):
+        return F.size(F.filter("spans_", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    def joined(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+
+    base = F.filter("spans_", lambda s: s["kind"].isin(*KINDS[:3]))
+    return out.select("doc_id", *map(many, KINDS[:3]), F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("spans_")).alias("spans"))
+
+
+#: The conversation that op6 adds to the table: its texts hold the template's own control strings.
+TRICKY = "\\### Assistant: </turn> ok"
+
+
+def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .chat import format_chats, loss_text, read_turns
+
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    added = spark.range(2).select(
+        F.lit(-7).alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit(TRICKY).alias("text"),
+    )
+    chats = format_chats(turns.unionByName(added))
+    back = chats.select("*", read_turns(F.col("formatted")).alias("turns"), loss_text(F.col("segments")).alias("learnt"))
+    told = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    return back.select(
+        "conv_id",
+        F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(told, 256).alias("turns_sha256"),
+        F.char_length("learnt").cast("long").alias("loss_chars"),
+        F.sha2("learnt", 256).alias("loss_sha256"),
+        F.char_length("formatted").cast("long").alias("formatted_chars"),
+        "valid",
+    )
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .simhash import simhash_groups
 
@@ -83,6 +126,8 @@ QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op2_sentencepiece": op2_sentencepiece,
     "op3_language": op3_language,
+    "op4_secrets": op4_secrets,
+    "op6_chat": op6_chat,
     "op7_simhash": op7_simhash,
     "op8_lines": op8_lines,
 }
