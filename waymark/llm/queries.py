@@ -41,6 +41,20 @@ def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", *map(many, KINDS[:3]), F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("spans_")).alias("spans"))
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .common import held_out
+    from .toxicity import score, train
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = score(docs, train(docs, table(spark, sf_dir, "labels").select("doc_id", "toxic")))
+    return out.select(
+        "doc_id",
+        held_out("doc_id").alias("held_out"),
+        F.col("toxic_score_").alias("score"),
+        (F.col("toxic_score_") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 #: The conversation that op6 adds to the table: its texts hold the template's own control strings.
 TRICKY = "\\### Assistant: </turn> ok"
 
@@ -127,6 +141,7 @@ QUERIES = {
     "op2_sentencepiece": op2_sentencepiece,
     "op3_language": op3_language,
     "op4_secrets": op4_secrets,
+    "op5_toxicity": op5_toxicity,
     "op6_chat": op6_chat,
     "op7_simhash": op7_simhash,
     "op8_lines": op8_lines,
