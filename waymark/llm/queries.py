@@ -136,6 +136,12 @@ def op8_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .neighbours import nearest
+
+    return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op2_sentencepiece": op2_sentencepiece,
@@ -145,4 +151,5 @@ QUERIES = {
     "op6_chat": op6_chat,
     "op7_simhash": op7_simhash,
     "op8_lines": op8_lines,
+    "op10_neighbours": op10_neighbours,
 }
