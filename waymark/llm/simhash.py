@@ -64,7 +64,7 @@ def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     for batch in batches:
         texts = batch.column(1).cast(pa.binary()).to_pylist()
         prints = pa.array([fingerprint(t) for t in texts], pa.int64())
-        yield pa.RecordBatch.from_arrays([batch.column(0), prints], ["doc_id", "print"])
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), prints], ["doc_id", "row", "print"])
 
 
 @lru_cache(maxsize=1)
@@ -197,12 +197,23 @@ def link(prints: DataFrame, block: int = BLOCK) -> DataFrame:
 
 
 def simhash_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", block: int = BLOCK) -> DataFrame:
-    """One row per input row: key, print (signed 64-bit fingerprint), component_id."""
-    texts = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    prints = materialise(texts.mapInArrow(_fingerprints, "doc_id long, print long"))
+    """One row per input row: key, row (hash of the text), print (signed 64-bit fingerprint), component_id."""
+    texts = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"), F.xxhash64(text).alias("row"))
+    prints = materialise(texts.mapInArrow(_fingerprints, "doc_id long, row long, print long"))
     reps = prints.groupBy("print").agg(F.min("doc_id").alias("rep"))
     found = components(link(reps.where("rep IS NOT NULL"), block))
     groups = reps.join(found, F.col("rep") == F.col("node"), "left").select(
         F.col("print").alias("of"), F.coalesce("component", "rep").alias("component_id")
     )
-    return prints.join(groups, F.col("print") == F.col("of")).select(F.col("doc_id").alias(key), "print", "component_id")
+    return prints.join(groups, F.col("print") == F.col("of")).select(F.col("doc_id").alias(key), "row", "print", "component_id")
+
+
+def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """docs with one row of each group: the smallest id, then the smallest hash of the text. Columns are unchanged."""
+    groups = simhash_groups(docs.select(key, text), key, text)
+    group = F.struct("component_id", F.when(F.col("component_id").isNull(), F.col("print")).alias("print"))
+    named = F.col(key).isNull().alias("unnamed")
+    first = groups.groupBy(group.alias("group")).agg(F.min(F.struct(named, F.col(key).alias("id"), F.col("row").alias("row"))).alias("first"))
+    first = first.select(F.col("first.id").alias("id__"), F.col("first.row").alias("row__"))
+    kept = docs.join(first, F.col(key).eqNullSafe(F.col("id__")) & (F.xxhash64(text) == F.col("row__")))
+    return kept.dropDuplicates(["id__", "row__"]).select(*docs.columns)
