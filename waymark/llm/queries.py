@@ -136,6 +136,12 @@ def op8_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .passages import passage_classes
+
+    return passage_classes(table(spark, sf_dir, "documents"))
+
+
 def op10_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .neighbours import nearest
 
@@ -151,5 +157,6 @@ QUERIES = {
     "op6_chat": op6_chat,
     "op7_simhash": op7_simhash,
     "op8_lines": op8_lines,
+    "op9_passages": op9_passages,
     "op10_neighbours": op10_neighbours,
 }
