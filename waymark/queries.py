@@ -2,5 +2,7 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+from waymark.operators import search, stats  # noqa: F401
+from waymark.plans.registry import ORACLES, QUERIES
+
+__all__ = ["ORACLES", "QUERIES"]
