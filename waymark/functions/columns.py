@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """Bind a value once, so that an expression that uses it often stays small."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def present(text: Column) -> Column:
     """Neither null nor blank."""
     return F.coalesce(F.trim(text) != "", F.lit(False))
