@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from waymark.operators import quality, search, stats  # noqa: F401
+from waymark.operators import entity, quality, search, stats  # noqa: F401
 from waymark.plans.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
