@@ -72,6 +72,9 @@ SELECT l_orderkey, l_linenumber, CAST(l_suppkey AS STRING) AS place_id,
 SELECT place_id, seq + k * 100000 AS batch_seq, CASE WHEN k = 0 THEN NULL ELSE CONCAT(address, ' 신관') END AS address,
   CASE WHEN k = 1 THEN NULL ELSE src_rating END AS src_rating, CASE WHEN k = 0 THEN 'open' ELSE 'suspended' END AS status
 FROM {places} CROSS JOIN (SELECT 0 AS k UNION ALL SELECT 1 AS k) kk WHERE seq % 4 = 0""",
+    "raw_categories": """
+SELECT place_id, CASE seq % 9 WHEN 0 THEN '#삼겹살 무한리필' WHEN 1 THEN '초밥뷔페' WHEN 2 THEN '강남맛집' WHEN 3 THEN '수제 햄버거'
+  WHEN 4 THEN '짜장면' WHEN 5 THEN '카페 디저트' WHEN 6 THEN '할인 파스타' WHEN 7 THEN '' ELSE 'BBQ' END AS raw FROM {places}""",
     "rects": """
 SELECT nation_id AS rect_id, MIN(lat) AS min_lat, MIN(lng) AS min_lng, MIN(lat) + 0.05 AS max_lat, MIN(lng) + 0.05 AS max_lng
 FROM {places} WHERE lat IS NOT NULL GROUP BY nation_id""",
