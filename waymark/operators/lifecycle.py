@@ -32,7 +32,7 @@ ACTIVITY_SQL = f"""SELECT place_id, max(CAST(created_at AS DATE)) AS last_review
   count(*) FILTER (WHERE CAST(created_at AS DATE) >= DATE '{AS_OF}' - 30) AS recent FROM reviews WHERE CAST(created_at AS DATE) <= DATE '{AS_OF}' GROUP BY place_id"""
 SCORE_SQL = f"""SELECT place_id, last_review, total, recent, CAST(date_diff('day', last_review, DATE '{AS_OF}') AS BIGINT) AS days_since,
   round(least(1.0, least(0.5, recent * 0.1) + CASE WHEN date_diff('day', last_review, DATE '{AS_OF}') <= 7 THEN 0.3 WHEN date_diff('day', last_review, DATE '{AS_OF}') <= 30 THEN 0.2
-  WHEN date_diff('day', last_review, DATE '{AS_OF}') <= 90 THEN 0.1 ELSE 0.0 END + least(0.2, total * 0.01)), 6) AS score FROM ({ACTIVITY_SQL}) a"""
+  WHEN date_diff('day', last_review, DATE '{AS_OF}') <= 90 THEN 0.1 ELSE 0.0 END + least(0.2, total * 0.01)), 6)::DOUBLE AS score FROM ({ACTIVITY_SQL}) a"""
 
 
 @query(f"SELECT place_id, total, recent, days_since, score FROM ({SCORE_SQL}) s")
@@ -68,7 +68,7 @@ c AS (SELECT place_id, status, greatest(CASE WHEN has_phone AND bad THEN 0.7 WHE
 d AS (SELECT *, CASE WHEN confidence > 0.7 AND strong >= 2 THEN 'closed' WHEN confidence > 0.5 AND (strong >= 1 OR temporary >= 2) THEN 'suspended' ELSE status END AS new_status FROM c)"""
 
 
-@query(CHECK_SQL + " SELECT place_id, status, round(confidence, 6) AS confidence, CAST(strong AS BIGINT) AS strong, new_status, confidence > 0.6 AND new_status <> status AS needs_review FROM d")
+@query(CHECK_SQL + " SELECT place_id, status, round(confidence, 6)::DOUBLE AS confidence, CAST(strong AS BIGINT) AS strong, new_status, confidence > 0.6 AND new_status <> status AS needs_review FROM d")
 def status_decision(v):
     out = status_checks(v.places, review_activity(v.reviews))
     return out.select("place_id", "status", F.round("confidence", 6).alias("confidence"), F.col("strong").cast("long").alias("strong"), "new_status", "needs_review")

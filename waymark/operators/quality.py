@@ -66,7 +66,7 @@ def coord_issues(v):
 
 
 @query("""SELECT round(greatest(0.0, 100 - sum(CASE severity WHEN 'low' THEN 1 WHEN 'medium' THEN 3 WHEN 'high' THEN 7 ELSE 15 END)
-  / ((SELECT count(*) FROM places) * 15.0) * 100), 1) AS score FROM quality_issues WHERE l_linenumber = 1""")
+  / ((SELECT count(*) FROM places) * 15.0) * 100), 1)::DOUBLE AS score FROM quality_issues WHERE l_linenumber = 1""")
 def place_quality_score(v):
     counted = v.quality_issues.where("l_linenumber = 1").crossJoin(F.broadcast(v.places.agg(F.count("*").alias("n"))))
     return quality_score(counted, F.max("n"))
@@ -162,7 +162,7 @@ SELECT id, CASE k WHEN 0 THEN 'single' WHEN 1 THEN 'range' WHEN 2 THEN 'time_bas
   WHEN 7 THEN 'time_based' ELSE 'unknown' END AS price_type,
   CASE k WHEN 0 THEN 10000 WHEN 1 THEN 10000 WHEN 2 THEN 1000 WHEN 6 THEN 20000 WHEN 7 THEN 18000 ELSE amount END AS min_price,
   CASE k WHEN 0 THEN 10000 WHEN 1 THEN 15000 WHEN 2 THEN 12000 WHEN 6 THEN 29999 WHEN 7 THEN 22000 ELSE amount END AS max_price,
-  CASE k WHEN 0 THEN 0.9 WHEN 1 THEN 0.9 WHEN 2 THEN 0.85 WHEN 3 THEN 0.8 WHEN 4 THEN 0.7 WHEN 5 THEN 0.9 WHEN 6 THEN 0.8 WHEN 7 THEN 0.85 ELSE 0.0 END AS confidence FROM n""")
+  CASE k WHEN 0 THEN 0.9 WHEN 1 THEN 0.9 WHEN 2 THEN 0.85 WHEN 3 THEN 0.8 WHEN 4 THEN 0.7 WHEN 5 THEN 0.9 WHEN 6 THEN 0.8 WHEN 7 THEN 0.85 ELSE 0.0 END::DOUBLE AS confidence FROM n""")
 def price_parse(v):
     return v.price_text.select("id", F.inline(F.array(parse_price(F.col("price_text"))))).drop("condition")
 
@@ -222,7 +222,7 @@ def hours_render(v):
     return known.select("id", H.render(H.fill_days(F.col("h"), F.col("c")), F.col("c"), F.col("l")).alias("open_hours"))
 
 
-@query("""SELECT id, CASE WHEN id % 9 = 0 THEN NULL WHEN id % 9 = 1 THEN 0 ELSE 1 END AS n_items,
+@query("""SELECT id, CAST(CASE WHEN id % 9 = 0 THEN NULL WHEN id % 9 = 1 THEN 0 ELSE 1 END AS BIGINT) AS n_items,
   CASE WHEN id % 9 > 1 THEN json_extract_string(menu_items, '$[0].name') END AS first_name,
   CASE WHEN id % 9 > 1 THEN CAST(json_extract_string(menu_items, '$[0].price_numeric') AS BIGINT) END AS first_price FROM menu_json""")
 def menu_json_normalise(v):
@@ -241,7 +241,7 @@ COMPLETENESS = {"name": 1.0, "address": 1.0, "phone": 0.5}
 
 
 @query("""SELECT place_id, round(CASE WHEN lat <> 0 AND lng <> 0 THEN 2.0 ELSE 0 END + CASE WHEN coalesce(name, '') <> '' THEN 1 ELSE 0 END
-  + CASE WHEN coalesce(address, '') <> '' THEN 1 ELSE 0 END + CASE WHEN coalesce(phone, '') <> '' THEN 0.5 ELSE 0 END, 6) AS score FROM places""")
+  + CASE WHEN coalesce(address, '') <> '' THEN 1 ELSE 0 END + CASE WHEN coalesce(phone, '') <> '' THEN 0.5 ELSE 0 END, 6)::DOUBLE AS score FROM places""")
 def completeness_score(v):
     return v.places.select("place_id", F.round(completeness(F.col("lat"), F.col("lng"), COMPLETENESS), 6).alias("score"))
 

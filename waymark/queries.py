@@ -5,5 +5,6 @@ from __future__ import annotations
 from waymark.operators import entity, grid, lifecycle, logs, migrate, quality, search, stats  # noqa: F401
 from waymark.plans.registry import ORACLES, QUERIES
 from waymark.sources import pages  # noqa: F401
+from waymark.streaming import queries as streaming  # noqa: F401
 
 __all__ = ["ORACLES", "QUERIES"]
