@@ -33,7 +33,7 @@ SPACE = "▁"
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
 #: Units kept with their ids per worker, and the longest that is kept.
-KEPT_UNITS, KEPT_LENGTH = 400_000, 48
+KEPT_UNITS, KEPT_LENGTH = 250_000, 48
 
 
 def _fields(data: bytes):
@@ -118,6 +118,7 @@ class Codec:
             self.automaton.add_word(p, (len(p), i))
         self.automaton.make_automaton()
         self.letters = {c for p in normal for c in p}
+        self.joined = {p[i : i + 2].replace(SPACE, " ") for p in normal for i in range(len(p) - 1)}
         inner = any(SPACE in p[1:] and p.strip(SPACE) for p in normal)
         lines = any("\n" in p for p in normal)
         self.units = re.compile(".+" if inner else " *[^ ]+| +" if lines else " *[^ \n]+|\n| +", re.DOTALL).findall
@@ -142,13 +143,10 @@ class Codec:
             parts[best[1] : best[1] + 2] = [parts[best[1]] + parts[best[1] + 1]]
 
     def _compatible(self, left: int, right: int) -> bool:
-        key = left << 32 | right
-        known = self.apart.get(key)
-        if known is None:
-            if len(self.apart) > 4 * KEPT_UNITS:
-                self.apart.clear()
-            pieces = self.model.pieces
-            known = self.apart[key] = self._merged(pieces[left] + pieces[right]) == [left, right]
+        if len(self.apart) > 2 * KEPT_UNITS:
+            self.apart.clear()
+        pieces = self.model.pieces
+        known = self.apart[left << 32 | right] = self._merged(pieces[left] + pieces[right]) == [left, right]
         return known
 
     def _best(self, text: str) -> list[int] | None:
@@ -157,11 +155,18 @@ class Codec:
         last, came = [-1] * (n + 1), [0] * (n + 1)
         reached = [True] + [False] * n
         if self.model.kind == BPE:
-            compatible = self._compatible
+            known = self.apart.get
             for end, (size, piece) in self.automaton.iter(text):
-                start = end + 1 - size
-                if reached[start] and not reached[end + 1] and (start == 0 or compatible(last[start], piece)):
-                    reached[end + 1], last[end + 1], came[end + 1] = True, piece, start
+                end += 1
+                if reached[end]:
+                    continue
+                start = end - size
+                if reached[start]:
+                    if start:
+                        apart = known(last[start] << 32 | piece)
+                        if apart is False or (apart is None and not self._compatible(last[start], piece)):
+                            continue
+                    reached[end], last[end], came[end] = True, piece, start
         else:
             scores, best = self.model.scores, [0.0] * (n + 1)
             for end, (size, piece) in self.automaton.iter(text):
@@ -201,7 +206,10 @@ class Codec:
         return ids
 
     def unit(self, unit: str) -> bytes:
-        """Ids of one unit as packed 32-bit integers."""
+        """Ids of one unit as packed 32-bit integers. A last character that no piece joins to the one before stands alone."""
+        if len(unit) > 1 and unit[-1] != " " and unit[-2:] not in self.joined:
+            head = unit[:-1]
+            return (self.kept.get(head) or self.unit(head)) + (self.kept.get(unit[-1]) or self.unit(unit[-1]))
         ids: list[int] = []
         run = ""
         for c in unit:
@@ -269,7 +277,12 @@ def decode(coded: DataFrame, model: PieceModel, ids: str = "ids_") -> DataFrame:
     shared, name, position = coded.sparkSession.sparkContext.broadcast(model), model.name(), coded.columns.index(ids)
 
     def make(batch: pa.RecordBatch) -> list[pa.Array]:
-        codec = _codec(name, shared)
-        return [pa.array([None if i is None else codec.decode(i) for i in batch.column(position).to_pylist()], pa.string())]
+        codec, column = _codec(name, shared), batch.column(position)
+        values, ends = np.asarray(column.values), np.asarray(column.offsets)
+        texts = [
+            codec.decode(values[a:b].tolist()) if there else None
+            for a, b, there in zip(ends[:-1].tolist(), ends[1:].tolist(), column.is_valid().to_pylist(), strict=True)
+        ]
+        return [pa.array(texts, pa.string())]
 
     return append_columns(coded, "decoded_ string", make)
