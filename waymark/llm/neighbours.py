@@ -26,6 +26,8 @@ from pyspark.sql import functions as F
 from .common import materialise, small_side
 
 SHARD, GROUP = 4096, 8192
+#: Tasks that build shards, at most; a shard is small in bytes but long to build, so shards are not put together.
+MOST_TASKS = 20_000
 #: Links of a node on upper layers and on layer 0, and the breadth of searches while building and asking.
 LINKS, LINKS_0, BUILD_BREADTH, ASK_BREADTH = 12, 24, 64, 96
 
@@ -185,7 +187,9 @@ def build_index(vectors: DataFrame, k: int, shard_size: int = SHARD) -> tuple[Da
     distinct = materialise(distinct.withColumn("dim", F.size("vector")).withColumn("first", F.get("ids", F.lit(0))))
     sizes = distinct.groupBy("dim").agg(F.ceil(F.count("*") / shard_size).cast("int").alias("shards"))
     dealt = distinct.join(small_side(sizes), "dim").withColumn("shard", F.pmod(F.xxhash64("vector"), F.col("shards")).cast("int"))
-    return materialise(dealt.select("dim", "shard", "first", "vector", "ids").groupBy("dim", "shard").applyInPandas(_build, INDEX)), sizes
+    tasks = sizes.agg(F.sum("shards")).first()[0] or 1
+    rows = dealt.select("dim", "shard", "first", "vector", "ids").repartition(min(tasks, MOST_TASKS), "dim", "shard")
+    return materialise(rows.groupBy("dim", "shard").applyInPandas(_build, INDEX)), sizes
 
 
 def ask(index: DataFrame, sizes: DataFrame, queries: DataFrame, k: int, breadth: int = ASK_BREADTH, group_size: int = GROUP) -> DataFrame:
