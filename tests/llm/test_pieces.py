@@ -37,6 +37,14 @@ def test_bpe_on_long_runs_and_words():
     assert ids(CODEC, "a" * 3000) == LIBRARY.encode("a" * 3000)
 
 
+def test_long_runs_that_no_piece_joins(spark):
+    texts = ["\U0001f600" * 5000, "".join(chr(0x4E00 + i) for i in range(5000)), "\u1200" * 5000 + "the", "ab" + "\U0001f600漢" * 3000]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = decode(encode(df, MODEL), MODEL).orderBy("doc_id").collect()
+    assert [r.decoded_ for r in rows] == texts
+    assert [r.ids_ for r in rows] == [LIBRARY.encode(t) for t in texts]
+
+
 def test_unigram_viterbi_against_every_segmentation():
     rng = random.Random(1)
     pieces = ["".join(p) for n in (1, 2, 3) for p in itertools.product("ab▁", repeat=n) if rng.random() < 0.6 or n == 1]

@@ -206,17 +206,29 @@ class Codec:
         return ids
 
     def unit(self, unit: str) -> bytes:
-        """Ids of one unit as packed 32-bit integers. A last character that no piece joins to the one before stands alone."""
-        if len(unit) > 1 and unit[-1] != " " and unit[-2:] not in self.joined:
-            head = unit[:-1]
-            return (self.kept.get(head) or self.unit(head)) + (self.kept.get(unit[-1]) or self.unit(unit[-1]))
+        """Ids of one unit as packed 32-bit integers. Last characters that no piece joins to the one before stand alone."""
+        end, joined = len(unit), self.joined
+        while end > 1 and unit[end - 1] != " " and unit[end - 2 : end] not in joined:
+            end -= 1
+        if end == len(unit):
+            return self._whole(unit)
+        get, whole = self.kept.get, self._whole
+        return b"".join([get(part) or whole(part) for part in (unit[:end], *unit[end:])])
+
+    def _whole(self, unit: str) -> bytes:
+        """Ids of a unit, cut wherever no piece joins a character to the one before."""
         ids: list[int] = []
-        run = ""
+        run = before = ""
         for c in unit:
+            if run and before + c not in self.joined:
+                ids += self._piecewise(run)
+                run = ""
+            before = c
             if c == SPACE or (c != " " and c not in self.letters) or (c == " " and SPACE not in self.letters):
                 if run:
                     ids += self._piecewise(run)
-                ids, run = ids + self._bytes(c), ""
+                ids += self._bytes(c)
+                run = ""
             else:
                 run += SPACE if c == " " else c
         if run:
