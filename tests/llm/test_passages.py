@@ -1,8 +1,9 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 
-from waymark.llm.passages import LEAST, compact_windows, mix, passage_classes, shingles, similar
+from waymark.llm.passages import LEAST, REACH, _classes, compact_windows, mix, passage_classes, shingles, similar
 
 
 def test_compact_windows_against_brute_force():
@@ -93,3 +94,40 @@ def test_planted_passages(spark):
     assert {r.doc_id for r in got if r.repeated} >= {200, 302, 303, 100, 404, 406} and not {r.doc_id for r in got if r.repeated} & {400, 401, 405, 403, 10}
     assert sorted(passage_classes(df, block=3).collect(), key=repr) == sorted(got, key=repr)
     assert passage_classes(df.limit(0)).count() == 0
+
+
+def chain_links(grids, reps, more=False):
+    n = len(grids)
+    columns = [pa.array([7] * n), pa.array([0] * n), pa.array([more] * n), pa.array(reps), pa.array([g.tobytes() for g in grids], pa.binary())]
+    batch = pa.RecordBatch.from_arrays(columns, ["min", "block", "more", "rep", "around"])
+    return [r for out in _classes(iter([batch])) for r in out.to_pylist()]
+
+
+def test_links_are_found_through_members_of_a_class():
+    rng = np.random.default_rng(2)
+    a = np.zeros(2 * REACH + 1, "<u2")
+    a[REACH - 23 : REACH + 23] = rng.integers(1, 65000, 46)
+    b = a.copy()
+    b[REACH - 20 : REACH - 15] = rng.integers(1, 65000, 5)
+    c = b.copy()
+    c[REACH + 10 : REACH + 15] = rng.integers(1, 65000, 5)
+    assert similar(a[None], b[None])[0] and similar(b[None], c[None])[0] and not similar(a[None], c[None])[0]
+    found = chain_links([a, b, c, b], [1, 2, 3, 4])
+    assert {frozenset((r["a"], r["b"])) for r in found} >= {frozenset((1, 2)), frozenset((1, 4))}
+    assert any(3 in (r["a"], r["b"]) for r in found)
+    # a block of a crowded key passes every distinct row on
+    found = chain_links([a, b, c, b], [1, 2, 3, 4], True)
+    assert [(r["a"], r["b"]) for r in found if r["around"] is None] == [(2, 4)]
+    assert sorted(r["a"] for r in found if r["around"] is not None) == [1, 2, 3]
+
+
+def test_chain_of_edits_does_not_depend_on_blocks(spark):
+    rng = random.Random(8)
+    words = ["".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(50)]
+    docs = []
+    for i, at in enumerate([None, 1, 48, 2, 47]):
+        words = [*words] if at is None else [*words[:at], f"edit{i}", *words[at + 1 :]]
+        docs.append((i, " ".join(words)))
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    got = sorted(map(tuple, passage_classes(df).collect()))
+    assert sorted(map(tuple, passage_classes(df, block=1).collect())) == got

@@ -14,9 +14,10 @@ interval condition that what both windows cover can hold a passage, and verified
 a stretch of at least `LEAST` positions that holds the centre and whose similarity (common / all shingles, allowing
 shifts of two words) is 0.8 or more.
 
-Under one key, each window is compared with those before it that opened a class, never all with all, and linked to
-every class it matches. Keys with more than `BLOCK` windows are dealt to blocks; classes of the blocks are compared
-in a second step. Equal texts are one text throughout. A document's class is the connected component
+Under one key, classes are grown breadth-first: each window that a class reaches is compared with all that no class
+has reached yet, which gives a spanning forest of the links among the windows. Keys with more than `BLOCK` windows
+are dealt to blocks that first keep one of equal windows; then every two blocks are compared in a task of their own.
+Equal texts are one text throughout. A document's class is the connected component
 over verified links, named by the smallest doc_id in it.
 
 Defined results: texts of fewer than `LEAST` + 4 words, empty and null ones have no passages and are classes of
@@ -50,6 +51,7 @@ _rng = np.random.default_rng(20)
 BYTES = _rng.integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 BASE = int(_rng.integers(0, 1 << 62)) * 4 + 3
 SEEDS = _rng.integers(0, 1 << 63, 64, dtype=np.uint64)
+PLACES = _rng.integers(0, 1 << 63, 2 * REACH + 1, dtype=np.uint64)
 SPACE = np.zeros(256, bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
 
@@ -257,35 +259,48 @@ def similar(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return (left + best[:, need]).max(axis=1) >= -1e-3
 
 
+def forest(group: np.ndarray, reps: np.ndarray, grid: np.ndarray) -> tuple[list, list]:
+    """Links of a spanning forest of the similar rows of each group; groups are runs, one row of each at a time is compared."""
+    same = (grid.astype(np.uint64) * PLACES).sum(axis=1, dtype=np.uint64)
+    a, b = [], []
+    unseen, front = np.arange(len(group)), np.zeros(0, np.int64)
+    while len(unseen):
+        live, start, count = np.unique(group[unseen], return_index=True, return_counts=True)
+        head, root = unseen[start], np.ones(len(live), bool)
+        front = front[np.isin(group[front], live)]
+        owner, at = np.unique(group[front], return_index=True)
+        place = np.searchsorted(live, owner)
+        head[place], root[place] = front[at], False
+        front = np.delete(front, at)
+        others = np.ones(len(unseen), bool)
+        others[start[root]] = False
+        rows, heads = unseen[others], np.repeat(head, count)[others]
+        hit = np.zeros(len(rows), bool)
+        for s in range(0, len(rows), 16_384):
+            hit[s : s + 16_384] = similar(grid[heads[s : s + 16_384]], grid[rows[s : s + 16_384]])
+        apart = hit & (reps[rows] != reps[heads])
+        a.append(reps[heads[apart]])
+        b.append(reps[rows[apart]])
+        # of equal rows, one is compared with the others
+        fresh = rows[hit & (same[rows] != same[heads])]
+        front = np.concatenate([front, fresh[np.unique(np.stack([group[fresh], same[fresh].view(np.int64)]), axis=1, return_index=True)[1]]])
+        unseen = rows[~hit]
+    return a, b
+
+
 def _classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by (min, block, rep): links (a, b) to the rows that opened a class; those rows follow if `more`."""
+    """Rows sorted by (min, block, rep): links (a, b) of each group's forest. If `more`: links of equal rows, then one of each."""
 
     def work(key: np.ndarray, more: np.ndarray, reps: np.ndarray, grid: np.ndarray) -> pa.RecordBatch:
-        group = np.cumsum((key[1:] != key[:-1]).any(axis=1).astype(np.int64), dtype=np.int64)
-        group = np.concatenate([[0], group])
-        first = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]]))
-        size = np.diff(np.append(first, len(group)))
-        matched = np.zeros(len(group), bool)
-        opened = np.zeros(len(group), bool)
-        a, b = [], []
-        leader = first.copy()  # of each group that is not done
-        live = np.arange(len(first))
-        while len(live):
-            opened[leader] = True
-            rest = size[live] - (leader - first[live]) - 1
-            row = np.repeat(leader + 1 - np.cumsum(rest) + rest, rest) + np.arange(rest.sum())
-            head = np.repeat(leader, rest)
-            for s in range(0, len(row), 16_384):
-                r, h = row[s : s + 16_384], head[s : s + 16_384]
-                hit = similar(grid[h], grid[r])
-                matched[r[hit]] = True
-                apart = hit & (reps[r] != reps[h])
-                a.append(reps[h[apart]])
-                b.append(reps[r[apart]])
-            left = np.flatnonzero(~matched & ~opened)
-            owner, at = np.unique(group[left], return_index=True)
-            live, leader = owner, left[at]
-        forward = np.flatnonzero(opened & more)
+        group = np.concatenate([[0], np.cumsum((key[1:] != key[:-1]).any(axis=1).astype(np.int64), dtype=np.int64)])
+        whole = np.flatnonzero(~more)
+        a, b = forest(group[whole], reps[whole], grid[whole])
+        kept: dict[tuple[int, bytes], int] = {}
+        first = np.array([kept.setdefault((group[i], grid[i].tobytes()), i) for i in np.flatnonzero(more)], np.int64)
+        apart = reps[first] != reps[more]
+        a.append(reps[first[apart]])
+        b.append(reps[more][apart])
+        forward = np.unique(first)
         a.append(reps[forward])
         b.append(np.full(len(forward), -1, np.int64))
         heads = np.concatenate([np.zeros(sum(map(len, a[:-1])), np.int64), key[forward, 0]])
@@ -323,9 +338,12 @@ def passage_links(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     mine = mine.select(F.col("of").alias("of__"), "rep", "windows")
     texts = docs.join(mine, (F.col("of") == F.col("of__")) & (F.col("doc_id") == F.col("rep"))).select("rep", "text", "windows")
     around = texts.mapInArrow(_around, "min long, rep long, around binary")
-    crowded = shared.groupBy("min").count().where(F.col("count") > block)
-    crowded = materialise(crowded.select("min", F.ceil(F.col("count") / block).cast("int").alias("blocks")))
-    dealt = around.join(small_side(crowded), "min", "left").select(
+
+    def blocks_of(rows: DataFrame) -> DataFrame:
+        crowded = rows.groupBy("min").count().where(F.col("count") > block)
+        return small_side(materialise(crowded.select("min", F.ceil(F.col("count") / block).cast("int").alias("blocks"))))
+
+    dealt = around.join(blocks_of(shared), "min", "left").select(
         "min",
         F.when(F.col("blocks").isNull(), 0).otherwise(F.pmod(F.xxhash64("rep"), F.col("blocks"))).cast("int").alias("block"),
         F.col("blocks").isNotNull().alias("more"),
@@ -337,7 +355,12 @@ def passage_links(docs: DataFrame, block: int = BLOCK) -> DataFrame:
         return rows.repartition("min", "block").sortWithinPartitions("min", "block", "rep").mapInArrow(_classes, LINKS)
 
     found = materialise(classes(dealt))
-    again = found.where("around IS NOT NULL").select("min", F.lit(0).alias("block"), F.lit(False).alias("more"), F.col("a").alias("rep"), "around")
+    again = found.where("around IS NOT NULL").select("min", F.col("a").alias("rep"), "around")
+    own = F.when(F.col("blocks").isNull(), 0).otherwise(F.pmod(F.xxhash64("around"), F.col("blocks")).cast("int"))
+    others = F.when(F.col("blocks").isNull(), F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), F.col("blocks") - 1))
+    again = again.join(blocks_of(again), "min", "left").withColumn("own", own).withColumn("other", F.explode(others))
+    pair = F.shiftleft(F.greatest("own", "other").cast("long"), 32) + F.least("own", "other")
+    again = again.select("min", pair.alias("block"), F.lit(False).alias("more"), "rep", "around")
     links = found.where("around IS NULL").select("a", "b").unionByName(classes(again).select("a", "b"))
     return links.distinct()
 
