@@ -131,3 +131,28 @@ def test_chain_of_edits_does_not_depend_on_blocks(spark):
     df = spark.createDataFrame(docs, "doc_id long, text string")
     got = sorted(map(tuple, passage_classes(df).collect()))
     assert sorted(map(tuple, passage_classes(df, block=1).collect())) == got
+
+
+def test_edited_passages_against_brute_force_jaccard(spark):
+    rng = random.Random(11)
+
+    def prose(n):
+        return ["".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(n)]
+
+    def sets(words):
+        return {tuple(words[i : i + 5]) for i in range(len(words) - 4)}
+
+    docs, want = [], {"replaced": [], "inserted": [], "deleted": []}
+    for n in range(300):
+        size = rng.choice([52, 56, 60])
+        one, at, kind = prose(size), rng.randint(size // 3, 2 * size // 3), list(want)[n % 3]
+        two = one[:at] + ([] if kind == "deleted" else prose(1)) + one[at + (kind != "inserted") :]
+        x, y = sets(one), sets(two)
+        assert len(x & y) / len(x | y) >= 0.8
+        want[kind].append(2 * n)
+        docs += [(2 * n, " ".join(prose(30) + one + prose(30))), (2 * n + 1, " ".join(prose(20) + two + prose(40)))]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    found = {r.doc_id: r.class_id for r in passage_classes(df).collect()}
+    assert all(found[d] in (d, d - d % 2) for d in found)
+    for kind, firsts in want.items():
+        assert sum(found[d] == found[d + 1] for d in firsts) >= 0.97 * len(firsts), kind

@@ -4,15 +4,12 @@ A text is the sequence of hashes of its five-word shingles. Under each of `HASHE
 at least `LEAST` shingles are grouped by the position of their minimum: these groups are the nodes of the Cartesian
 tree over the hashes whose subtree has at least `LEAST` positions, a compact window (left, centre, right) each.
 Two similar passages share the minimum under a hash with a probability of their similarity, so their windows meet
-under the same (function, minimum). As a passage of `LEAST` shingles that holds the centre covers `FAR` positions on
-one side of it at least, the key also holds what stands there, once for each side: short lines that are common to
-many texts then bring nothing together. A passage that repeats word by word always meets; one with a changed word
-meets unless the change hits the minimum or both far ends, under each hash function.
+under the same (function, minimum), which is the key: all functions miss a pair of similarity 0.8 once in 600 times.
 
 Windows whose key occurs in one text only are dropped as they stream by. The others are joined on it, with the
 interval condition that what both windows cover can hold a passage, and verified on the shingles around the centre:
 a stretch of at least `LEAST` positions that holds the centre and whose similarity (common / all shingles, allowing
-shifts of two words) is 0.8 or more.
+shifts of two words) is 0.8 or more. Of windows that a text repeats with equal shingles, one is kept.
 
 Under one key, classes are grown breadth-first: each window that a class reaches is compared with all that no class
 has reached yet, which gives a spanning forest of the links among the windows. Keys with more than `BLOCK` windows
@@ -37,9 +34,7 @@ from pyspark.sql import functions as F
 from .common import components, materialise, small_side
 
 #: Words of a shingle, shingles of a passage (50 words), hash functions, and least similarity.
-SHINGLE, LEAST, HASHES, SIMILARITY = 5, 46, 3, 0.8
-#: Positions that a passage covers on one side of any centre in it, and the width of what is keyed there.
-FAR, WIDE = LEAST // 2 - 1, 4
+SHINGLE, LEAST, HASHES, SIMILARITY = 5, 46, 4, 0.8
 #: Shingles kept on each side of a centre for verification, and shifts in words that are allowed.
 REACH, SHIFTS = 64, (-2, -1, 0, 1, 2)
 #: Windows of a minimum that are compared in one task; bytes of text hashed together.
@@ -187,13 +182,9 @@ def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 if not len(centre):
                     continue
                 text = np.searchsorted(start, centre, side="right") - 1
-                for side, reach in ((-1, left), (1, right)):
-                    on = np.flatnonzero(reach >= FAR)
-                    c = centre[on]
-                    far = found[c + side * FAR] * np.uint64(0x9E3779B97F4A7C15) + found[c + side * (FAR - WIDE)]
-                    key = mix(mix(far ^ SEEDS[40 + f]) ^ hashed[c] ^ SEEDS[48 + side]).view(np.int64)
-                    columns = [key, of[at + text[on]], (c - start[text[on]]).astype(np.int32), (left[on] * 256 + right[on]).astype(np.int32)]
-                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], ["min", "of", "centre", "reach"])
+                key = mix(hashed[centre] ^ SEEDS[48]).view(np.int64)
+                columns = [key, of[at + text], (centre - start[text]).astype(np.int32), (left * 256 + right).astype(np.int32)]
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], ["min", "of", "centre", "reach"])
 
 
 def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -240,8 +231,15 @@ def _around(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 steps = np.arange(-REACH, REACH + 1)
                 inside = (steps >= -left[a : a + 8192, None]) & (steps <= right[a : a + 8192, None])
                 grid = np.where(inside, short[np.clip(place[a : a + 8192, None] + steps, 0, len(short) - 1)], 0).astype("<u2")
-                rows = pa.array([r.tobytes() for r in grid], pa.binary(2 * width)).cast(pa.binary())
-                yield pa.RecordBatch.from_arrays([pa.array(key[a : a + 8192]), pa.array(reps[at + text[a : a + 8192]]), rows], ["min", "rep", "around"])
+                mine = mix(key[a : a + 8192].view(np.uint64)) + text[a : a + 8192].astype(np.uint64)
+                one = np.unique(digests(grid, mine), return_index=True)[1]
+                rows = pa.array([r.tobytes() for r in grid[one]], pa.binary(2 * width)).cast(pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array(key[a + one]), pa.array(reps[at + text[a + one]]), rows], ["min", "rep", "around"])
+
+
+def digests(grid: np.ndarray, group: np.ndarray) -> np.ndarray:
+    """A hash of each row of shingles and its group."""
+    return mix((grid * PLACES).sum(axis=1, dtype=np.uint64) ^ mix(group.astype(np.int64).view(np.uint64)))
 
 
 def similar(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -251,17 +249,20 @@ def similar(a: np.ndarray, b: np.ndarray) -> np.ndarray:
         x, y = (a[:, max(0, -s) : a.shape[1] - max(0, s)], b[:, max(0, s) : b.shape[1] - max(0, -s)])
         same[:, max(0, -s) : a.shape[1] - max(0, s)] |= (x == y) & (x != 0)
     # common / all >= s over n aligned positions means common >= n * 2s / (1 + s)
-    gain = same.astype(np.float32) - np.float32(2 * SIMILARITY / (1 + SIMILARITY))
+    found = np.zeros(len(a), bool)
+    some = np.flatnonzero(np.count_nonzero(same, axis=1) >= LEAST * 2 * SIMILARITY / (1 + SIMILARITY) - 1e-3)
+    gain = same[some].astype(np.float32) - np.float32(2 * SIMILARITY / (1 + SIMILARITY))
     right = np.cumsum(gain[:, REACH:], axis=1)
-    left = np.concatenate([np.zeros((len(a), 1), np.float32), np.cumsum(gain[:, REACH - 1 :: -1], axis=1)], axis=1)
+    left = np.concatenate([np.zeros((len(some), 1), np.float32), np.cumsum(gain[:, REACH - 1 :: -1], axis=1)], axis=1)
     best = np.maximum.accumulate(right[:, ::-1], axis=1)[:, ::-1]
     need = np.clip(LEAST - 1 - np.arange(REACH + 1), 0, REACH)
-    return (left + best[:, need]).max(axis=1) >= -1e-3
+    found[some] = (left + best[:, need]).max(axis=1) >= -1e-3
+    return found
 
 
 def forest(group: np.ndarray, reps: np.ndarray, grid: np.ndarray) -> tuple[list, list]:
     """Links of a spanning forest of the similar rows of each group; groups are runs, one row of each at a time is compared."""
-    same = (grid.astype(np.uint64) * PLACES).sum(axis=1, dtype=np.uint64)
+    same = digests(grid, group)
     a, b = [], []
     unseen, front = np.arange(len(group)), np.zeros(0, np.int64)
     while len(unseen):
@@ -283,7 +284,7 @@ def forest(group: np.ndarray, reps: np.ndarray, grid: np.ndarray) -> tuple[list,
         b.append(reps[rows[apart]])
         # of equal rows, one is compared with the others
         fresh = rows[hit & (same[rows] != same[heads])]
-        front = np.concatenate([front, fresh[np.unique(np.stack([group[fresh], same[fresh].view(np.int64)]), axis=1, return_index=True)[1]]])
+        front = np.concatenate([front, fresh[np.unique(same[fresh], return_index=True)[1]]])
         unseen = rows[~hit]
     return a, b
 
