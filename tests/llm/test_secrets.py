@@ -35,6 +35,19 @@ def test_weak_parts_need_a_complement():
     assert spans == [("identifier", 2, 12), ("value", 14, 28)]
 
 
+def test_weak_parts_with_prefixes_short_values_and_wide_characters():
+    def kinds(t):
+        return [k for k, _, _ in scan(t.encode())]
+
+    assert kinds("aws_access_key_id = AKIA" + "A" * 16 + "\naws_secret_access_key = wJalrXUtnFEMI/K7MDENG") == ["access", "value"]
+    assert kinds("DB_USER=bob\nDB_HOST=db.example.com\ndb_pwd=q1w2e3r4") == ["identifier", "endpoint", "value"]
+    assert kinds("user=bob AccessKey: q1w2e3r4") == kinds("user=bob privatekey=q1w2e3r4") == ["identifier", "value"]
+    assert kinds("username=bob password=hunter2") == ["identifier", "value"]
+    assert kinds("password=hunter2") == [] and kinds("superuser=bob password=hunter2") == []
+    assert kinds("user = bob " + "漢" * 150 + " pwd = hunter22") == ["identifier", "value"]
+    assert kinds("user = bob " + "漢" * 250 + " pwd = hunter22") == []
+
+
 def test_frames(spark):
     texts = [None, "", "token = abcdefgh1", "token = abcdefgh1", "é " * 5000 + "0" * 40, "user=bob pwd=abcdefgh " * 20000]
     df = spark.createDataFrame([(i, t, "k") for i, t in enumerate(texts)], "doc_id long, text string, kind string")

@@ -1,6 +1,6 @@
 """Secret scans with multipart credential linking.
 
-Strong spans stand by themselves: keyword assignments, access identifiers and long hexadecimal runs. Weak parts
+Strong spans stand by themselves: keyword assignments (weak secrets if their value is too short), access identifiers and long hexadecimal runs. Weak parts
 (identifiers, secrets and endpoints that are common in harmless text) are reported only if a complementary part
 lies within the same scope, `reach` code points between their ends:
 
@@ -10,8 +10,7 @@ lies within the same scope, `reach` code points between their ends:
 Linking is an interval join per text: the parts of each role are sorted, and a part looks up its nearest
 neighbour on either side, so a text with n parts costs n log n and no pairs are built.
 
-Patterns run over UTF-8 bytes (they match ASCII only); offsets are turned into code points for texts that have
-spans. Defined results: null texts are empty; spans are ordered by start, then kind in the order of `KINDS`;
+Patterns run over UTF-8 bytes (they match ASCII only); offsets are turned into code points before parts are linked. Defined results: null texts are empty; spans are ordered by start, then kind in the order of `KINDS`;
 repeated rows are kept; other columns pass unchanged.
 """
 
@@ -33,9 +32,9 @@ ASSIGN_LEAST, ACCESS_LEAST = 8, 16
 KEYWORDS = (b"passw", b"secret", b"token", b"apikey", b"api_key")
 #: Weak parts, on lower-cased bytes: kind, what must occur at all, pattern.
 WEAK = (
-    ("identifier", (b"user", b"login", b"client_id", b"clientid", b"account"), re.compile(rb"\b(?:user(?:name|_?id)?|login|client_?id|account(?:_?id)?)[\"']?\x20*[:=]\x20*[\"']?([a-z0-9_.@+-]{3,})")),
-    ("value", (b"pwd", b"pass", b"auth", b"private_key", b"access_key", b"credential", b"bearer"), re.compile(rb"\b(?:pwd|pass|auth|private_?key|access_?key|credentials?)[\"']?\x20*[:=]\x20*[\"']?([a-z0-9+/_.=@!#$%-]{6,})|\bbearer\x20+([a-z0-9._-]{12,})")),
-    ("endpoint", (b"://", b"host", b"endpoint", b"server"), re.compile(rb"\b[a-z][a-z0-9+.-]*://[a-z0-9.-]+(?::[0-9]+)?|\b(?:host(?:name)?|endpoint|server)[\"']?\x20*[:=]\x20*[\"']?[a-z0-9-]+(?:\.[a-z0-9-]+)+(?::[0-9]+)?")),
+    ("identifier", (b"user", b"login", b"client_id", b"clientid", b"access_key", b"accesskey", b"account"), re.compile(rb"(?<![a-z0-9])(?:user(?:_?(?:name|id))?|login(?:_?(?:name|id))?|client_?id|access_?key_?id|account(?:_?(?:name|id))?)[\"']?\x20*[:=]\x20*[\"']?([a-z0-9_.@+-]{3,})")),
+    ("value", (b"pwd", b"pass", b"auth", b"private_key", b"privatekey", b"access_key", b"accesskey", b"credential", b"bearer"), re.compile(rb"(?<![a-z0-9])(?:pwd|pass|auth|private_?key|access_?key|credentials?)[\"']?\x20*[:=]\x20*[\"']?([a-z0-9+/_.=@!#$%-]{6,})|(?<![a-z0-9])bearer\x20+([a-z0-9._-]{12,})")),
+    ("endpoint", (b"://", b"host", b"endpoint", b"server"), re.compile(rb"(?<![a-z0-9])[a-z][a-z0-9+.-]*://[a-z0-9.-]+(?::[0-9]+)?|(?<![a-z0-9])(?:host(?:name)?|endpoint|server)[\"']?\x20*[:=]\x20*[\"']?[a-z0-9-]+(?:\.[a-z0-9-]+)+(?::[0-9]+)?")),
 )
 KINDS = ("assign", "access", "hex", "identifier", "value", "endpoint")
 ROLE = {"assign": "secret", "access": "identifier", "hex": "secret", "identifier": "identifier", "value": "secret", "endpoint": "endpoint"}
@@ -54,7 +53,10 @@ def strong_spans(data: bytes, low: bytes) -> list[tuple[int, int, str]]:
 
 
 def weak_spans(low: bytes) -> list[tuple[int, int, str]]:
-    return [
+    found = []
+    if any(k in low for k in KEYWORDS):
+        found += [(m.start(), m.end(), "value") for m in ASSIGN.finditer(low) if m.end(2) - m.start(2) < ASSIGN_LEAST]
+    return found + [
         (m.start(), m.end(), kind)
         for kind, hints, pattern in WEAK
         if any(h in low for h in hints)
@@ -102,16 +104,17 @@ def scan(data: bytes, reach: int = REACH) -> list[tuple[str, int, int]]:
     """(kind, start, end) of one text given as UTF-8, offsets in code points."""
     low = data.lower()
     strong = strong_spans(data, low)
-    spans = strong + linked(strong, weak_spans(low), reach)
-    if not spans:
+    weak = weak_spans(low)
+    if not strong and not weak:
         return []
     if not data.isascii():
         at, count, place = 0, 0, {}
-        for p in sorted({x for s, e, _ in spans for x in (s, e)}):
+        for p in sorted({x for s, e, _ in strong + weak for x in (s, e)}):
             count += len(data[at:p].decode())
             at = p
             place[p] = count
-        spans = [(place[s], place[e], k) for s, e, k in spans]
+        strong, weak = ([(place[s], place[e], k) for s, e, k in spans] for spans in (strong, weak))
+    spans = strong + linked(strong, weak, reach)
     return [(k, s, e) for s, e, k in sorted(spans, key=lambda x: (x[0], KINDS.index(x[2])))]
 
 
