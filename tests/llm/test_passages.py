@@ -112,6 +112,7 @@ def test_links_are_found_through_members_of_a_class():
     c = b.copy()
     c[REACH + 10 : REACH + 15] = rng.integers(1, 65000, 5)
     assert similar(a[None], b[None])[0] and similar(b[None], c[None])[0] and not similar(a[None], c[None])[0]
+    assert [(r["a"], r["b"]) for r in chain_links([a, b, c], [1, 2, 3])] == [(1, 2), (2, 3)]
     found = chain_links([a, b, c, b], [1, 2, 3, 4])
     assert {frozenset((r["a"], r["b"])) for r in found} >= {frozenset((1, 2)), frozenset((1, 4))}
     assert any(3 in (r["a"], r["b"]) for r in found)
