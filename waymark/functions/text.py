@@ -36,10 +36,20 @@ def with_province(address: Column, neighbour: Column | None = None) -> Column:
     return F.when(address_part(address, "sido").isNotNull(), address).otherwise(F.concat_ws(" ", default, address))
 
 
+def letters(text: Column) -> Column:
+    """The distinct characters of a text."""
+    return F.array_distinct(F.filter(F.split(text, ""), lambda c: c != ""))
+
+
+def set_jaccard(x: Column, y: Column) -> Column:
+    """Shared members by all members of two arrays of distinct members; null if both are empty."""
+    shared = F.size(F.array_intersect(x, y)).cast("double")
+    return F.try_divide(shared, (F.size(x) + F.size(y)).cast("double") - shared)
+
+
 def char_jaccard(a: Column, b: Column) -> Column:
     """Shared characters by all characters of two texts; null if both are empty."""
-    x, y = (F.array_distinct(F.filter(F.split(t, ""), lambda c: c != "")) for t in (a, b))
-    return F.try_divide(F.size(F.array_intersect(x, y)).cast("double"), F.size(F.array_union(x, y)).cast("double"))
+    return set_jaccard(letters(a), letters(b))
 
 
 def match_name(name: Column) -> Column:

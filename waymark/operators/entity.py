@@ -6,9 +6,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from waymark.functions.geo import cell, haversine_m, sql_distance
-from waymark.functions.text import digits, name_similarity
+from waymark.functions.text import digits, letters, match_name, set_jaccard
 from waymark.operators.quality import COMPLETENESS, completeness
-from waymark.plans.durable import connected, first_seeds
+from waymark.plans.durable import components, first_seeds, small_side, written
 from waymark.plans.registry import query
 
 #: Grid of the name rules: a cell is at least 200 m wide anywhere in the country.
@@ -49,9 +49,11 @@ def phone_pairs(rows: DataFrame) -> DataFrame:
 def duplicate_pairs(rows: DataFrame) -> DataFrame:
     """Rule A: same phone, or a very similar name within 50 m, or a similar name within 200 m. Every case has a blocking key."""
     metres = haversine_m(F.col("l.lat"), F.col("l.lng"), F.col("r.lat"), F.col("r.lng"))
-    alike = name_similarity(F.col("l.name"), F.col("r.name"))
-    rule = ((alike > 0.9) & (metres < NEAR_M)) | ((alike > 0.85) & (metres < FAR_M))
-    return phone_pairs(rows).unionByName(grid_pairs(rows, CELL, rule, "name")).distinct()
+    alike = F.when(F.col("l.clean") == F.col("r.clean"), 1.0).otherwise(set_jaccard(F.col("l.letters"), F.col("r.letters")))
+    rule = (metres < FAR_M) & (((alike > 0.9) & (metres < NEAR_M)) | (alike > 0.85))
+    named = rows.withColumn("clean", match_name(F.col("name"))).withColumn("letters", letters(F.col("clean")))
+    named = named.where(F.coalesce(F.col("name") != "", F.lit(False)))  # a name that is missing is like no other
+    return phone_pairs(rows).unionByName(grid_pairs(named, CELL, rule, "clean", "letters")).distinct()
 
 
 def geographic_clusters(rows: DataFrame, eps: float = EPS) -> DataFrame:
@@ -64,8 +66,8 @@ def geographic_clusters(rows: DataFrame, eps: float = EPS) -> DataFrame:
     points = placed.groupBy("lat", "lng").agg(F.min("seq").alias("seq"), F.count("*").alias("n"))
     apart = F.sqrt(F.pow(F.col("l.lat") - F.col("r.lat"), 2) + F.pow(F.col("l.lng") - F.col("r.lng"), 2))
     pairs = grid_pairs(points, eps, apart <= eps).select(F.col("i").alias("a"), F.col("j").alias("b"))
-    labels = connected(pairs)
-    label = F.coalesce("label", F.when(F.col("n") > 1, F.col("p.seq")), F.lit(-1))
+    labels = components(pairs)
+    label = F.coalesce("component", F.when(F.col("n") > 1, F.col("p.seq")), F.lit(-1))
     named = points.alias("p").join(labels, F.col("p.seq") == F.col("node"), "left").select("lat", "lng", label.alias("cluster"))
     return placed.join(named, ["lat", "lng"]).select("seq", "cluster")
 
@@ -104,8 +106,10 @@ def cosine_pairs(weights: DataFrame, least: float, key: str = "seq") -> DataFram
     """Pairs (i, j, cosine) of at least `least`.
 
     Terms are ordered from rare to common; what follows a vector's prefix has a norm below `least`, so two similar
-    vectors share a term of both prefixes, and common terms join nothing.
+    vectors share a term of both prefixes, and common terms join nothing. The weights are written once, as the order,
+    the prefixes and both sides of the join read them.
     """
+    weights = written(weights)
     rare = Window.partitionBy(key).orderBy("df", "term")
     after = 1 - F.coalesce(F.sum(F.col("w") * F.col("w")).over(rare.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
     prefix = weights.withColumn("after", after).where(F.sqrt(F.greatest("after", F.lit(0.0))) >= least - 1e-9).select(key, "term")
@@ -181,20 +185,41 @@ def dup_pairs_rule_b(v):
     return phone_pairs(places).unionByName(both.select("i", "j")).distinct()
 
 
-@query("""WITH w AS (SELECT seq, unnest(list_distinct(string_split(address, ' '))) AS word FROM places WHERE lat IS NOT NULL),
+#: Address words that must be shared, and located places reported for each place.
+SHARED_WORDS, NEIGHBOURS = 2, 10
+
+
+@query(f"""WITH w AS (SELECT seq, unnest(list_distinct(string_split(address, ' '))) AS word FROM places WHERE lat IS NOT NULL),
 q AS (SELECT seq, unnest(list_distinct(string_split(address, ' '))) AS word FROM places WHERE lat IS NULL),
-m AS (SELECT q.seq, w.seq AS other, count(*) AS n FROM q JOIN w USING (word) GROUP BY 1, 2 HAVING count(*) >= 4)
-SELECT seq, other, n FROM (SELECT *, row_number() OVER (PARTITION BY seq ORDER BY other) AS r FROM m) x WHERE r <= 10""")
+m AS (SELECT q.seq, w.seq AS other, count(*) AS n FROM q JOIN w USING (word) GROUP BY 1, 2 HAVING count(*) >= {SHARED_WORDS})
+SELECT seq, other, n FROM (SELECT *, row_number() OVER (PARTITION BY seq ORDER BY other) AS r FROM m) x WHERE r <= {NEIGHBOURS}""")
 def address_neighbours(v):
-    """For places without coordinates, the first ten located ones that share at least four address words.
+    """For places without coordinates, the first ten located ones in input order that share at least two address words."""
+    return sharing_words(v.places, SHARED_WORDS, NEIGHBOURS)
+
+
+def sharing_words(rows: DataFrame, least: int, most: int) -> DataFrame:
+    """(seq, other, n): for rows without latitude, the first `most` located rows that share at least `least` address words.
 
-    Four of an address's four words must agree, so the rarest of them, the last, is a key: common words join nothing.
+    Words are ordered from rare to common over the whole table. Two rows that share `least` words share one among the
+    first (number of words - least + 1) of each, so only those are joined on. Where these are common words still, a key
+    has many located rows, but a row needs only the first `most` of those that qualify on it: located rows are put into
+    runs of one set of words (equal addresses), of which the first `most` are kept.
     """
-    words = F.array_distinct(F.split("address", " "))
-    rows = v.places.select("seq", "lat", words.alias("words")).withColumn("last", F.element_at("words", -1))
-    a = rows.where("lat IS NULL").select("seq", "words", "last")
-    b = rows.where("lat IS NOT NULL").select(F.col("seq").alias("other"), F.col("words").alias("theirs"), "last")
-    shared = F.size(F.array_intersect("words", "theirs")).cast("long")
-    found = a.join(b, "last").select("seq", "other", shared.alias("n")).where("n >= 4")
-    rank = F.row_number().over(Window.partitionBy("seq").orderBy("other"))
-    return found.withColumn("r", rank).where("r <= 10").drop("r")
+    worded = rows.select("seq", F.col("lat").isNull().alias("lost"), F.array_sort(F.array_distinct(F.split("address", " "))).alias("words"))
+    counts = worded.select(F.explode("words").alias("word")).groupBy("word").count()
+    sets = worded.select("lost", "words").distinct()
+    ranked = sets.select("lost", "words", F.explode("words").alias("word")).join(written(counts), "word")
+    order = F.array_sort(F.collect_list(F.struct("count", "word")))
+    ordered = ranked.groupBy("lost", "words").agg(order.alias("order"))
+    keyed = written(ordered.select("lost", "words", F.explode(F.slice("order", 1, F.greatest(F.size("words") - (least - 1), F.lit(0)))["word"]).alias("word")))
+    a = keyed.where("lost").select("word", F.col("words").alias("mine"))
+    b = keyed.where("NOT lost").select("word", F.col("words").alias("theirs"))
+    n = F.size(F.array_intersect("mine", "theirs")).cast("long")
+    pairs = a.join(b, "word").select("mine", "theirs", n.alias("n")).where(F.col("n") >= least).distinct()
+    first = F.row_number().over(Window.partitionBy("words").orderBy("seq"))
+    others = worded.where("NOT lost").withColumn("r", first).where(F.col("r") <= most).select(F.col("words").alias("theirs"), F.col("seq").alias("other"))
+    found = pairs.join(others, "theirs").select("mine", "other", "n")
+    rank = F.row_number().over(Window.partitionBy("mine").orderBy("other"))
+    best = found.withColumn("r", rank).where(F.col("r") <= most).select(F.col("mine").alias("words"), "other", "n")
+    return worded.where("lost").join(best, "words").select("seq", "other", "n")

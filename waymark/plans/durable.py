@@ -8,39 +8,85 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Rows up to which a lookup side is broadcast; beyond it the same join shuffles.
+BROADCAST_ROWS = 200_000
+
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir; a temporary one only where nothing is set (local tests)."""
+    """The folder in spark.checkpoint.dir. Where nothing is set, a temporary one, which only a local master may use."""
     at = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not at:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         at = tempfile.mkdtemp(prefix="waymark-checkpoint-")
         spark.sparkContext.setCheckpointDir(at)
     return at.rstrip("/")
 
 
 def written(df: DataFrame) -> DataFrame:
-    """The table written to the shared folder and read again: computed once."""
-    path = f"{shared_dir(df.sparkSession)}/waymark-{uuid.uuid4().hex}"
+    """The table written to the shared folder and read again: computed once, survives lost executors."""
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/waymark-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    back = spark.read.schema(df.schema).parquet(path)
+    back.written_to = path
+    return back
+
+
+def forget(*tables: DataFrame) -> None:
+    """Delete tables of `written` that nothing will read again."""
+    for df in tables:
+        spark = df.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(df.written_to)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def small_side(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
+    """Mark a lookup table for broadcast if a count shows that it has at most limit narrow rows."""
+    return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
 
 
-def connected(edges: DataFrame) -> DataFrame:
-    """(node, label) of every node of edges (a, b): the least node that it is connected with.
+def free_name(df: DataFrame, name: str) -> str:
+    """The name, lengthened until no column of df has it in any case of letters."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
 
-    Rounds of hooking and jumping: each node takes the least label among its neighbours', then its label's label.
-    Only minima are shuffled per node, so hubs are pre-aggregated; each round is written.
+
+def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
+    """Connected components by alternating large and small stars: rows (node, component), component the least node.
+
+    edges holds long ids; self loops, repeats and nulls are ignored, an empty table gives an empty result.
+    A node's neighbours are only ever reduced to their minimum (pre-aggregated before the shuffle). The minima are
+    written before they are joined back, so that a hub's rows are no group of an aggregate in the join's own stage:
+    the minima are broadcast while they are few, and beyond that Spark can split the hub. Each round is written to
+    the shared folder, and what no later round reads is deleted.
     """
-    both = written(edges.where("a <> b").select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")).where("a <> b")).distinct())
-    labels = written(both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("label")).withColumnRenamed("a", "node"))
-    while True:
-        near = both.join(labels.select(F.col("node").alias("b"), "label"), "b").groupBy(F.col("a").alias("node")).agg(F.min("label").alias("near"))
-        hooked = labels.join(near, "node").select("node", "label", F.least("label", "near").alias("now"))
-        jump = labels.select(F.col("node").alias("now"), F.col("label").alias("far"))
-        after = written(hooked.join(jump, "now").select("node", "label", F.least("now", "far").alias("next")))
-        if after.where(F.col("label") != F.col("next")).isEmpty():
-            return labels
-        labels = after.select("node", F.col("next").alias("label"))
+    pairs = edges.select(F.col(a).alias("a"), F.col(b).alias("b")).where("a <> b")
+    pairs = written(pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
+
+    def mark(df: DataFrame) -> tuple:
+        row = df.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
+        return row[0], row[1]
+
+    seen = mark(pairs)
+    while seen[0]:
+        both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        least = written(both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m")))
+        large = both.join(small_side(least), "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        large = written(large.where("a <> b").distinct())
+        low = written(large.groupBy("a").agg(F.min("b").alias("m")))
+        moved = large.join(small_side(low), "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b")
+        kept = low.select("a", F.col("m").alias("b"))
+        after = written(moved.unionByName(kept).distinct())
+        forget(pairs, least, large, low)
+        pairs, now = after, mark(after)
+        if now == seen:
+            break
+        seen = now
+    roots = pairs.select(F.col("b").alias("node")).distinct().withColumn("component", F.col("node"))
+    return pairs.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(roots)
 
 
 def first_seeds(pairs: DataFrame) -> DataFrame:
