@@ -59,9 +59,9 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
 
     edges holds long ids; self loops, repeats and nulls are ignored, an empty table gives an empty result.
     A node's neighbours are only ever reduced to their minimum (pre-aggregated before the shuffle). The minima are
-    written before they are joined back, so that a hub's rows are no group of an aggregate in the join's own stage:
-    the minima are broadcast while they are few, and beyond that Spark can split the hub. Each round is written to
-    the shared folder, and what no later round reads is deleted.
+    broadcast while a count of the edges shows that they are few; beyond that they are written before they are joined
+    back, so that a hub's rows are no group of an aggregate in the join's own stage and Spark can split them. Each
+    round is written to the shared folder, and what no later round reads is deleted.
     """
     pairs = edges.select(F.col(a).alias("a"), F.col(b).alias("b")).where("a <> b")
     pairs = written(pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
@@ -72,15 +72,17 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
 
     seen = mark(pairs)
     while seen[0]:
+        few = 2 * seen[0] <= BROADCAST_ROWS
+        cut, side = (lambda df: df, F.broadcast) if few else (written, small_side)
         both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = written(both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m")))
-        large = both.join(small_side(least), "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        large = written(large.where("a <> b").distinct())
-        low = written(large.groupBy("a").agg(F.min("b").alias("m")))
-        moved = large.join(small_side(low), "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b")
+        least = cut(both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m")))
+        large = both.join(side(least), "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        large = cut(large.where("a <> b").distinct())
+        low = cut(large.groupBy("a").agg(F.min("b").alias("m")))
+        moved = large.join(side(low), "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b")
         kept = low.select("a", F.col("m").alias("b"))
         after = written(moved.unionByName(kept).distinct())
-        forget(pairs, least, large, low)
+        forget(pairs, *([] if few else [least, large, low]))
         pairs, now = after, mark(after)
         if now == seen:
             break
