@@ -4,7 +4,7 @@ import numpy as np
 import xxhash
 
 from waymark.llm.common import components
-from waymark.llm.simhash import codeword_keys, fingerprint, golay_tables, link, link_keys, simhash_groups
+from waymark.llm.simhash import codeword_keys, fingerprint, golay_tables, keep_one, link, link_keys, simhash_groups
 
 
 def brute_print(text):
@@ -99,6 +99,35 @@ def test_planted_near_fingerprints(spark):
     assert {d: found.get(d, d) for d in want} == want
 
 
+def near_texts(rng):
+    """Three texts whose fingerprints chain: the first and the last are further apart than a link."""
+    words = [f"w{rng.randrange(10**6)}" for _ in range(800)]
+    chain = [" ".join(words)]
+    while len(chain) < 3:
+        words = [*words, *(f"v{rng.randrange(10**6)}" for _ in range(12))]
+        print_ = brute_print(" ".join(words))
+        if 2 < (print_ ^ brute_print(chain[-1])).bit_count() <= 4 and (len(chain) < 2 or (print_ ^ brute_print(chain[0])).bit_count() > 4):
+            chain.append(" ".join(words))
+        elif (print_ ^ brute_print(chain[-1])).bit_count() > 4:
+            words = chain[-1].split(" ")
+    return chain
+
+
+def test_a_row_without_id_links_its_neighbours(spark):
+    chain = near_texts(random.Random(5))
+    docs = [(1, chain[0]), (2, chain[2]), (None, chain[1]), (9, "alone in the world")]
+    got = simhash_groups(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert sorted(((r.doc_id, r.component_id) for r in got), key=repr) == sorted([(1, 1), (2, 1), (None, 1), (9, 9)], key=repr)
+
+
+def test_keep_one_with_clashing_names_and_null_ids(spark):
+    chain = near_texts(random.Random(5))
+    rows = [(2, chain[2], "a", 1), (1, chain[0], "b", 2), (None, chain[1], "c", 3), (None, "lone", "d", 4), (4, None, "e", 5), (4, None, "e", 5)]
+    kept = keep_one(spark.createDataFrame(rows, "doc_id long, text string, id string, row int"))
+    assert kept.columns == ["doc_id", "text", "id", "row"]
+    assert sorted(r.id for r in kept.collect()) == ["b", "d", "e"]
+
+
 def test_components_of_chains_and_stars(spark):
     edges = [(i, i + 1) for i in range(50)] + [(1000, 2000 + i) for i in range(50)] + [(7, 7)]
     got = {r.node: r.component for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}

@@ -1,22 +1,18 @@
-"""Helpers that the corpus operators share: column idioms, durable cuts of lineage, components of a graph."""
+"""Helpers that the corpus operators share: column idioms, appended columns, the held-out fold."""
 
 from __future__ import annotations
 
 import string
-import tempfile
-import uuid
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Rows up to which a lookup side is broadcast; beyond it the same join shuffles.
-BROADCAST_ROWS = 200_000
+from waymark.functions.columns import let
+from waymark.plans.durable import components, forget, free_name, small_side
+from waymark.plans.durable import written as materialise
 
-
-def let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """Bind an array or scalar once, so that a lambda may use it without computing it again per element."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
+__all__ = ["append_columns", "ascii_lower", "components", "forget", "free_name", "held_out", "let", "materialise", "renamed", "sliding", "small_side"]
 
 
 def ascii_lower(text: Column) -> Column:
@@ -50,67 +46,16 @@ def sliding(array: Column, width: int, combine: Callable[[Column, Column], Colum
     return whole
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir; a temporary one only where nothing is set (local tests)."""
-    at = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not at:
-        at = tempfile.mkdtemp(prefix="waymark-checkpoint-")
-        spark.sparkContext.setCheckpointDir(at)
-    return at.rstrip("/")
-
-
-def materialise(df: DataFrame) -> DataFrame:
-    """Write a table to the shared folder and read it again: computed once, survives lost executors."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/waymark-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def small_side(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """Mark a lookup table for broadcast if a count shows that it has at most limit narrow rows."""
-    return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
-
-
-def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
-    """Connected components by alternating large and small stars: rows (node, component), component the least node.
+def append_columns(df: DataFrame, fields: str, make: Callable) -> DataFrame:
+    """All columns of df and new ones: make gets an Arrow record batch and returns one array per field of the DDL.
 
-    edges holds long ids; self loops, repeats and nulls are ignored, an empty table gives an empty result.
-    A node's neighbours are only ever reduced to their minimum (pre-aggregated before the shuffle) and joined
-    back, so a hub is never gathered in one place. Each round is written to the shared folder.
+    A column of df that has the name of a new one is replaced by it.
     """
-    pairs = edges.select(F.col(a).alias("a"), F.col(b).alias("b")).where("a <> b")
-    pairs = materialise(pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
-
-    def mark(df: DataFrame) -> tuple:
-        row = df.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        return row[0], row[1]
-
-    seen = mark(pairs)
-    while seen[0]:
-        both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
-        large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        large = large.where("a <> b").distinct()
-        low = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(low, "a")
-        moved = small.select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b")
-        kept = low.select("a", F.col("m").alias("b"))
-        pairs = materialise(moved.unionByName(kept).distinct())
-        now = mark(pairs)
-        if now == seen:
-            break
-        seen = now
-    roots = pairs.select(F.col("b").alias("node")).distinct().withColumn("component", F.col("node"))
-    return pairs.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(roots)
-
-
-def append_columns(df: DataFrame, fields: str, make: Callable) -> DataFrame:
-    """All columns of df and new ones: make gets an Arrow record batch and returns one array per field of the DDL."""
     import pyarrow as pa
     from pyspark.sql import types as T
 
     added = T.StructType.fromDDL(fields)
+    df = df.drop(*added.names)
 
     def run(batches):
         for batch in batches:
@@ -123,3 +68,8 @@ def append_columns(df: DataFrame, fields: str, make: Callable) -> DataFrame:
 def held_out(key: str) -> Column:
     """The fold that no model may learn from: CRC-32 of the id as text leaves 0 by 5. A null id counts as empty text."""
     return F.crc32(F.coalesce(F.col(key).cast("string"), F.lit("")).cast("binary")) % 5 == 0
+
+
+def renamed(df: DataFrame, *names: str) -> list[str]:
+    """For each wanted name of a helper column, one that df does not have."""
+    return [free_name(df, name) for name in names]

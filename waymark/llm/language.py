@@ -158,10 +158,9 @@ def predict(texts: list[str | None], letters: list[bool], samples: tuple[tuple[s
 def identify(docs: DataFrame, samples: dict[str, str], text: str = "text") -> DataFrame:
     """docs with lang_pred_ and lang_score_ appended."""
     model = tuple(sorted(samples.items()))
-    position = docs.columns.index(text)
 
     def make(batch: pa.RecordBatch) -> list[pa.Array]:
-        labels, scores = predict(batch.column(position).to_pylist(), batch.column(batch.num_columns - 1).to_pylist(), model)
+        labels, scores = predict(batch.column(text).to_pylist(), batch.column(batch.num_columns - 1).to_pylist(), model)
         return [pa.array(labels, pa.string()), pa.array(scores, pa.float64())]
 
     lettered = docs.withColumn("has_letter_", F.coalesce(F.col(text).rlike("\\p{L}"), F.lit(False)))

@@ -271,11 +271,11 @@ def read_model(path: str) -> PieceModel:
 
 def encode(docs: DataFrame, model: PieceModel, text: str = "text") -> DataFrame:
     """docs with ids_ (array of int) appended."""
-    shared, name, position = docs.sparkSession.sparkContext.broadcast(model), model.name(), docs.columns.index(text)
+    shared, name = docs.sparkSession.sparkContext.broadcast(model), model.name()
 
     def make(batch: pa.RecordBatch) -> list[pa.Array]:
         codec = _codec(name, shared)
-        packed = [None if t is None else codec.encode(t) for t in batch.column(position).to_pylist()]
+        packed = [None if t is None else codec.encode(t) for t in batch.column(text).to_pylist()]
         offsets = np.concatenate([[0], np.cumsum([len(p or b"") // 4 for p in packed])]).astype(np.int32)
         values = pa.array(np.frombuffer(b"".join(p or b"" for p in packed), "<i4"))
         mask = pa.array([p is None for p in packed], pa.bool_())
@@ -286,10 +286,10 @@ def encode(docs: DataFrame, model: PieceModel, text: str = "text") -> DataFrame:
 
 def decode(coded: DataFrame, model: PieceModel, ids: str = "ids_") -> DataFrame:
     """coded with decoded_ (string) appended."""
-    shared, name, position = coded.sparkSession.sparkContext.broadcast(model), model.name(), coded.columns.index(ids)
+    shared, name = coded.sparkSession.sparkContext.broadcast(model), model.name()
 
     def make(batch: pa.RecordBatch) -> list[pa.Array]:
-        codec, column = _codec(name, shared), batch.column(position)
+        codec, column = _codec(name, shared), batch.column(ids)
         values, ends = np.asarray(column.values), np.asarray(column.offsets)
         texts = [
             codec.decode(values[a:b].tolist()) if there else None

@@ -120,11 +120,10 @@ def scan(data: bytes, reach: int = REACH) -> list[tuple[str, int, int]]:
 
 def find_secrets(docs: DataFrame, text: str = "text", reach: int = REACH) -> DataFrame:
     """docs with spans_, an array of (kind, start, end), appended."""
-    position = docs.columns.index(text)
     span = pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())])
 
     def make(batch: pa.RecordBatch) -> list[pa.Array]:
-        texts = batch.column(position).cast(pa.binary()).to_pylist()
+        texts = batch.column(text).cast(pa.binary()).to_pylist()
         found = [[{"kind": k, "start": s, "end": e} for k, s, e in scan(t, reach)] if t else [] for t in texts]
         return [pa.array(found, pa.list_(span))]
 

@@ -14,7 +14,8 @@ blocks are compared in tasks of their own; a block comparison emits a spanning f
 pairs. Equal fingerprints are merged before all this.
 
 Defined results: null and empty texts have fingerprint zero, linked like any other; repeated rows and ids are
-kept; component_id is the smallest non-null doc_id reachable (null if there is none). Extra columns are ignored.
+kept; component_id is the smallest non-null doc_id reachable, over rows without an id as well (null if there is
+none); an empty table gives an empty result; extra columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, materialise, small_side
+from .common import components, forget, materialise, renamed, small_side
 
 SHINGLE, SEED, MAX_BITS = 4, 42, 4
 #: Bits of the three segments, and rows of a key that are compared at once.
@@ -197,23 +198,32 @@ def link(prints: DataFrame, block: int = BLOCK) -> DataFrame:
 
 
 def simhash_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", block: int = BLOCK) -> DataFrame:
-    """One row per input row: key, row (hash of the text), print (signed 64-bit fingerprint), component_id."""
+    """One row per input row: key, row (hash of the text), print (signed 64-bit fingerprint), component_id.
+
+    The nodes of the graph are fingerprints, whatever ids their rows have. What is aggregated by fingerprint is
+    written before it is joined back, so that a crowded fingerprint is no group of an aggregate in the join's stage.
+    """
     texts = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"), F.xxhash64(text).alias("row"))
     prints = materialise(texts.mapInArrow(_fingerprints, "doc_id long, row long, print long"))
-    reps = prints.groupBy("print").agg(F.min("doc_id").alias("rep"))
-    found = components(link(reps.where("rep IS NOT NULL"), block))
-    groups = reps.join(found, F.col("rep") == F.col("node"), "left").select(
-        F.col("print").alias("of"), F.coalesce("component", "rep").alias("component_id")
+    nodes = materialise(prints.groupBy("print").agg(F.min("doc_id").alias("least")))
+    found = materialise(components(link(nodes.select("print", F.col("print").alias("rep")), block)))
+    rooted = nodes.join(small_side(found), F.col("print") == F.col("node"), "left").select(
+        F.col("print").alias("of"), F.coalesce("component", "print").alias("root"), "least"
     )
-    return prints.join(groups, F.col("print") == F.col("of")).select(F.col("doc_id").alias(key), "row", "print", "component_id")
+    rooted = materialise(rooted)
+    least = materialise(rooted.groupBy("root").agg(F.min("least").alias("component_id")))
+    groups = materialise(rooted.join(small_side(least), "root").select("of", "component_id", "root"))
+    forget(nodes, found, rooted, least)
+    out = prints.join(small_side(groups), F.col("print") == F.col("of"))
+    return out.select(F.col("doc_id").alias(key), "row", "print", "component_id", "root")
 
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """docs with one row of each group: the smallest id, then the smallest hash of the text. Columns are unchanged."""
     groups = simhash_groups(docs.select(key, text), key, text)
-    group = F.struct("component_id", F.when(F.col("component_id").isNull(), F.col("print")).alias("print"))
     named = F.col(key).isNull().alias("unnamed")
-    first = groups.groupBy(group.alias("group")).agg(F.min(F.struct(named, F.col(key).alias("id"), F.col("row").alias("row"))).alias("first"))
-    first = first.select(F.col("first.id").alias("id__"), F.col("first.row").alias("row__"))
-    kept = docs.join(first, F.col(key).eqNullSafe(F.col("id__")) & (F.xxhash64(text) == F.col("row__")))
-    return kept.dropDuplicates(["id__", "row__"]).select(*docs.columns)
+    first = groups.groupBy("root").agg(F.min(F.struct(named, F.col(key).alias("id"), F.col("row").alias("row"))).alias("first"))
+    id_, row = renamed(docs, "id", "row")
+    first = materialise(first.select(F.col("first.id").alias(id_), F.col("first.row").alias(row)))
+    kept = docs.join(small_side(first), F.col(key).eqNullSafe(F.col(id_)) & F.xxhash64(text).eqNullSafe(F.col(row)))
+    return kept.dropDuplicates([id_, row]).select(*docs.columns)

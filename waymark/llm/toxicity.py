@@ -19,6 +19,7 @@ largest counts; without labels every score is the smoothed prior; other columns
 
 from __future__ import annotations
 
+import hashlib
 import math
 import re
 from dataclasses import dataclass, field
@@ -245,15 +246,14 @@ def score_text(text: str | None, model: ToxicityModel, matcher: Matcher) -> floa
 
 def score(docs: DataFrame, model: ToxicityModel, text: str = "text") -> DataFrame:
     """docs with toxic_score_ appended."""
-    position, name = docs.columns.index(text), repr(model)
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    name = str(hash(name))
+    name = hashlib.sha256(repr(model).encode()).hexdigest()
 
     def make(batch: pa.RecordBatch) -> list[pa.Array]:
         if name not in _matchers:
             _matchers.clear()
             _matchers[name] = Matcher(list(shared.value.weights))
         matcher = _matchers[name]
-        return [pa.array([score_text(t, shared.value, matcher) for t in batch.column(position).to_pylist()], pa.float64())]
+        return [pa.array([score_text(t, shared.value, matcher) for t in batch.column(text).to_pylist()], pa.float64())]
 
     return append_columns(docs, "toxic_score_ double", make)
