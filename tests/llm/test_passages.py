@@ -3,7 +3,7 @@ import random
 import numpy as np
 import pyarrow as pa
 
-from waymark.llm.passages import LEAST, REACH, _classes, compact_windows, mix, passage_classes, shingles, similar
+from waymark.llm.passages import LEAST, REACH, _classes, compact_windows, digests, grow, mix, passage_classes, shingles, similar, sketches
 
 
 def test_compact_windows_against_brute_force():
@@ -98,8 +98,8 @@ def test_planted_passages(spark):
 
 def chain_links(grids, reps, more=False):
     n = len(grids)
-    columns = [pa.array([7] * n), pa.array([0] * n), pa.array([more] * n), pa.array(reps), pa.array([g.tobytes() for g in grids], pa.binary())]
-    batch = pa.RecordBatch.from_arrays(columns, ["min", "block", "more", "rep", "around"])
+    columns = [pa.array([7] * n), pa.array([0] * n), pa.array([more] * n), pa.array(reps), pa.array([-1] * n, pa.int32()), pa.array([g.tobytes() for g in grids], pa.binary())]
+    batch = pa.RecordBatch.from_arrays(columns, ["min", "block", "more", "rep", "side", "around"])
     return [r for out in _classes(iter([batch])) for r in out.to_pylist()]
 
 
@@ -157,3 +157,43 @@ def test_edited_passages_against_brute_force_jaccard(spark):
     assert all(found[d] in (d, d - d % 2) for d in found)
     for kind, firsts in want.items():
         assert sum(found[d] == found[d + 1] for d in firsts) >= 0.97 * len(firsts), kind
+
+
+def test_large_groups_grow_to_the_components_of_all_pairs():
+    rng = np.random.default_rng(9)
+    rows, reps = [], []
+    for family in range(12):
+        base = rng.integers(1, 65000, 129).astype("<u2")
+        for member in range(int(rng.integers(1, 9))):
+            row = base.copy()
+            row[:20] = rng.integers(1, 65000, 20)
+            at = int(rng.integers(50, 100))
+            row[at : at + 5] = rng.integers(1, 65000, 5)
+            row[: int(rng.integers(0, 30))] = 0
+            rows.append(row)
+            reps.append(family * 3 + member % 3)
+    grid, reps = np.array(rows), np.array(reps)
+    order = np.argsort(reps, kind="stable")
+    grid, reps = grid[order], reps[order]
+    n = len(grid)
+
+    def components(links):
+        root = {r: r for r in reps.tolist()}
+
+        def find(x):
+            while root[x] != x:
+                x = root[x]
+            return x
+
+        for x, y in links:
+            root[find(x)] = find(y)
+        return {frozenset(r for r in root if find(r) == k) for k in {find(r) for r in root}}
+
+    for side in (np.full(n, -1), np.arange(n) % 2):
+        pairs = [(i, j) for i in range(n) for j in range(i) if side[0] < 0 or side[i] != side[j]]
+        x, y = (np.array(p) for p in zip(*pairs, strict=True))
+        hit = similar(grid[x], grid[y])
+        want = components(zip(reps[x[hit]].tolist(), reps[y[hit]].tolist(), strict=True))
+        a, b = grow(reps, digests(grid, np.zeros(n, np.int64)), side, sketches(grid), grid)
+        links = list(zip(np.concatenate(a).tolist(), np.concatenate(b).tolist(), strict=True))
+        assert components(links) == want and len(links) < len(set(reps.tolist()))

@@ -11,9 +11,11 @@ interval condition that what both windows cover can hold a passage, and verified
 a stretch of at least `LEAST` positions that holds the centre and whose similarity (common / all shingles, allowing
 shifts of two words) is 0.8 or more. Of windows that a text repeats with equal shingles, one is kept.
 
-Under one key, classes are grown breadth-first: each window that a class reaches is compared with all that no class
-has reached yet, which gives a spanning forest of the links among the windows. Keys with more than `BLOCK` windows
-are dealt to blocks that first keep one of equal windows; then every two blocks are compared in a task of their own.
+Under one key, classes of texts are grown breadth-first: each window of a class is compared with all windows of texts
+that no class has reached yet, which gives a spanning forest of the links among the texts. Sketches of the shingles
+around the centre come first: 64-bit masks whose difference is bounded for windows that share a passage. Keys with
+more than `BLOCK` windows are dealt to blocks that first keep one of equal windows; texts that other keys have linked
+by then count as one, and every two blocks are compared in a task of their own.
 Equal texts are one text throughout. A document's class is the connected component
 over verified links, named by the smallest doc_id in it.
 
@@ -24,6 +26,7 @@ ids stay; extra columns are ignored.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,7 +41,10 @@ SHINGLE, LEAST, HASHES, SIMILARITY = 5, 46, 4, 0.8
 #: Shingles kept on each side of a centre for verification, and shifts in words that are allowed.
 REACH, SHIFTS = 64, (-2, -1, 0, 1, 2)
 #: Windows of a minimum that are compared in one task; bytes of text hashed together.
-BLOCK, TOGETHER = 20_000, 1 << 22
+BLOCK, TOGETHER = 4096, 1 << 22
+#: Shingles of a section of the sketches, rows of a group beyond which tiles of sketches are compared, rows of a tile, and of what is
+#: verified at once.
+SECTION, LARGE, TILE, CHUNK = LEAST // 4, 64, 64, 16_384
 #: Low bits of a key that hold the position while sliding.
 PLACE = np.uint64((1 << 23) - 1)
 
@@ -247,7 +253,8 @@ def similar(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     same = np.zeros(a.shape, bool)
     for s in SHIFTS:
         x, y = (a[:, max(0, -s) : a.shape[1] - max(0, s)], b[:, max(0, s) : b.shape[1] - max(0, -s)])
-        same[:, max(0, -s) : a.shape[1] - max(0, s)] |= (x == y) & (x != 0)
+        same[:, max(0, -s) : a.shape[1] - max(0, s)] |= x == y
+    same &= a != 0
     # common / all >= s over n aligned positions means common >= n * 2s / (1 + s)
     found = np.zeros(len(a), bool)
     some = np.flatnonzero(np.count_nonzero(same, axis=1) >= LEAST * 2 * SIMILARITY / (1 + SIMILARITY) - 1e-3)
@@ -260,13 +267,97 @@ def similar(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return found
 
 
-def forest(group: np.ndarray, reps: np.ndarray, grid: np.ndarray) -> tuple[list, list]:
-    """Links of a spanning forest of the similar rows of each group; groups are runs, one row of each at a time is compared."""
-    same = digests(grid, group)
+def sketches(grid: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each stretch of three sections around a row's centre: a bit in 64 for each of its shingles, and a count
+    that no sketch may differ by where the row's window does not cover the stretch."""
+    bit = np.where(grid, np.uint64(1) << (grid.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(58)), np.uint64(0))
+    parts = [bit[:, REACH - SECTION * (3 - right) : REACH + SECTION * right + 1] for right in range(4)]
+    short = [np.count_nonzero(p, axis=1) <= 3 * SECTION - max(SHIFTS) for p in parts]
+    return np.stack([np.bitwise_or.reduce(p, axis=1) for p in parts]), np.stack(short).astype(np.uint8) * np.uint8(65)
+
+
+#: Bits in which the sketches may differ: a passage of LEAST shingles has at most 5 without a partner on each side, and
+#: a shift of two words moves at most 2 more over the edge.
+MOST_BITS = 2 * (LEAST - math.ceil(LEAST * 2 * SIMILARITY / (1 + SIMILARITY)) + 2)
+
+
+def may_match(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """Whether sketches of two rows leave a common passage possible: one of LEAST shingles that holds the centre covers
+    three whole sections next to each other and the centre, in both rows."""
+    (x, out_x), (y, out_y) = a, b
+    out = np.zeros(np.broadcast_shapes(x.shape[1:], y.shape[1:]), bool)
+    for part in range(4):
+        out |= np.bitwise_count(x[part] ^ y[part]) + out_x[part] + out_y[part] <= MOST_BITS
+    return out
+
+
+def grow(reps: np.ndarray, same: np.ndarray, side: np.ndarray, sketch: tuple[np.ndarray, np.ndarray], grid: np.ndarray) -> tuple[list, list]:
+    """Links of a spanning forest of the texts of one large group.
+
+    Classes of texts grow one by one: each row of a class's texts is compared with all rows of texts that no class
+    has, a tile of sketches at a time, and a text that one row reaches brings all its rows. Rows of one side (0 or 1)
+    are not compared with each other.
+    """
+    a, b = [], []
+    owner, value = np.unique(reps, return_inverse=True)[1], np.unique(same, return_inverse=True)[1]
+    order = np.argsort(owner, kind="stable")
+    ends = np.cumsum(np.bincount(owner))
+    alive, fresh = np.ones(len(reps), bool), np.ones(value.max() + 1, bool)
+
+    def take(text: int) -> list[int]:
+        """Bring a text into the class: its rows, but for those that equal one already compared."""
+        rows = order[ends[text - 1] if text else 0 : ends[text]]
+        alive[rows] = False
+        rows = rows[fresh[value[rows]]]
+        rows = rows[np.unique(value[rows], return_index=True)[1]]
+        fresh[value[rows]] = False
+        return rows.tolist()
+
+    while alive.any():
+        fresh[:] = True
+        front = take(owner[np.argmax(alive)])
+        while front and alive.any():
+            tile, front, left = front[:TILE], front[TILE:], np.flatnonzero(alive)
+            near = may_match(tuple(x[:, tile, None] for x in sketch), tuple(x[:, None, left] for x in sketch))
+            if side[0] >= 0:
+                near &= side[tile][:, None] != side[left]
+            at, to = np.nonzero(near)
+            f, rows = np.array(tile)[at], left[to]
+            by_text = np.argsort(owner[rows], kind="stable")
+            f, rows, most = f[by_text], rows[by_text], 1
+            while len(rows):  # a few rows of each text at first, as one that matches is enough
+                text = owner[rows]
+                first = np.flatnonzero(np.append(True, text[1:] != text[:-1]))
+                now = np.arange(len(rows)) - np.repeat(first, np.diff(np.append(first, len(rows)))) < most
+                x, y = f[now], rows[now]
+                hit = np.concatenate([similar(grid[x[s : s + CHUNK]], grid[y[s : s + CHUNK]]) for s in range(0, len(x), CHUNK)])
+                met, which = np.unique(owner[y[hit]], return_index=True)
+                a.append(reps[x[hit][which]])
+                b.append(reps[y[hit][which]])
+                for text in met.tolist():
+                    front += take(text)
+                on = ~now & alive[rows]
+                f, rows, most = f[on], rows[on], 4 * most
+    return a, b
+
+
+def forest(group: np.ndarray, reps: np.ndarray, side: np.ndarray, grid: np.ndarray) -> tuple[list, list]:
+    """Links of a spanning forest of the similar rows of each group; groups are runs.
+
+    Of small groups, one row of each at a time is compared with what no class of its group has reached.
+    """
+    same, sketch = digests(grid, group), sketches(grid)
     a, b = [], []
-    unseen, front = np.arange(len(group)), np.zeros(0, np.int64)
+    starts = np.flatnonzero(np.append(True, group[1:] != group[:-1])) if len(group) else np.zeros(0, np.int64)
+    sizes = np.diff(np.append(starts, len(group)))
+    for s, n in zip(starts[sizes > LARGE].tolist(), sizes[sizes > LARGE].tolist(), strict=True):
+        x, y = grow(reps[s : s + n], same[s : s + n], side[s : s + n], tuple(k[:, s : s + n] for k in sketch), grid[s : s + n])
+        a += x
+        b += y
+    unseen, front = np.flatnonzero(np.repeat((sizes > 1) & (sizes <= LARGE), sizes)), np.zeros(0, np.int64)
     while len(unseen):
-        live, start, count = np.unique(group[unseen], return_index=True, return_counts=True)
+        start = np.flatnonzero(np.append(True, group[unseen[1:]] != group[unseen[:-1]]))
+        live, count = group[unseen[start]], np.diff(np.append(start, len(unseen)))
         head, root = unseen[start], np.ones(len(live), bool)
         front = front[np.isin(group[front], live)]
         owner, at = np.unique(group[front], return_index=True)
@@ -276,9 +367,12 @@ def forest(group: np.ndarray, reps: np.ndarray, grid: np.ndarray) -> tuple[list,
         others = np.ones(len(unseen), bool)
         others[start[root]] = False
         rows, heads = unseen[others], np.repeat(head, count)[others]
-        hit = np.zeros(len(rows), bool)
-        for s in range(0, len(rows), 16_384):
-            hit[s : s + 16_384] = similar(grid[heads[s : s + 16_384]], grid[rows[s : s + 16_384]])
+        hit = may_match(tuple(k[:, rows] for k in sketch), tuple(k[:, heads] for k in sketch))
+        hit &= (side[rows] < 0) | (side[rows] != side[heads])
+        some = np.flatnonzero(hit)
+        for s in range(0, len(some), CHUNK):
+            part = some[s : s + CHUNK]
+            hit[part] = similar(grid[heads[part]], grid[rows[part]])
         apart = hit & (reps[rows] != reps[heads])
         a.append(reps[heads[apart]])
         b.append(reps[rows[apart]])
@@ -292,10 +386,10 @@ def forest(group: np.ndarray, reps: np.ndarray, grid: np.ndarray) -> tuple[list,
 def _classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows sorted by (min, block, rep): links (a, b) of each group's forest. If `more`: links of equal rows, then one of each."""
 
-    def work(key: np.ndarray, more: np.ndarray, reps: np.ndarray, grid: np.ndarray) -> pa.RecordBatch:
+    def work(key: np.ndarray, more: np.ndarray, reps: np.ndarray, side: np.ndarray, grid: np.ndarray) -> pa.RecordBatch:
         group = np.concatenate([[0], np.cumsum((key[1:] != key[:-1]).any(axis=1).astype(np.int64), dtype=np.int64)])
         whole = np.flatnonzero(~more)
-        a, b = forest(group[whole], reps[whole], grid[whole])
+        a, b = forest(group[whole], reps[whole], side[whole], grid[whole])
         kept: dict[tuple[int, bytes], int] = {}
         first = np.array([kept.setdefault((group[i], grid[i].tobytes()), i) for i in np.flatnonzero(more)], np.int64)
         apart = reps[first] != reps[more]
@@ -314,8 +408,8 @@ def _classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if not batch.num_rows:
             continue
         key = np.stack([np.asarray(batch.column(0)), np.asarray(batch.column(1)).astype(np.int64)], axis=1)
-        grid = np.frombuffer(b"".join(batch.column(4).to_pylist()), "<u2").reshape(-1, 2 * REACH + 1)
-        now = [key, np.asarray(batch.column(2).to_pylist(), bool), np.asarray(batch.column(3)), grid]
+        grid = np.frombuffer(b"".join(batch.column("around").to_pylist()), "<u2").reshape(-1, 2 * REACH + 1)
+        now = [key, np.asarray(batch.column("more").to_pylist(), bool), np.asarray(batch.column("rep")), np.asarray(batch.column("side")), grid]
         if rest is not None:
             now = [np.concatenate(x) for x in zip(rest, now, strict=True)]
         last = int(np.flatnonzero((now[0] != now[0][-1]).any(axis=1)).max(initial=-1)) + 1
@@ -346,9 +440,10 @@ def passage_links(docs: DataFrame, block: int = BLOCK) -> DataFrame:
 
     dealt = around.join(blocks_of(shared), "min", "left").select(
         "min",
-        F.when(F.col("blocks").isNull(), 0).otherwise(F.pmod(F.xxhash64("rep"), F.col("blocks"))).cast("int").alias("block"),
+        F.when(F.col("blocks").isNull(), 0).otherwise(F.pmod(F.xxhash64("rep"), F.col("blocks"))).cast("long").alias("block"),
         F.col("blocks").isNotNull().alias("more"),
         "rep",
+        F.lit(-1).alias("side"),
         "around",
     )
 
@@ -356,14 +451,20 @@ def passage_links(docs: DataFrame, block: int = BLOCK) -> DataFrame:
         return rows.repartition("min", "block").sortWithinPartitions("min", "block", "rep").mapInArrow(_classes, LINKS)
 
     found = materialise(classes(dealt))
-    again = found.where("around IS NOT NULL").select("min", F.col("a").alias("rep"), "around")
+    linked = materialise(found.where("around IS NULL").select("a", "b").distinct())
+    # the crowded minima: texts that other minima have linked are one text, so that only new links are looked for
+    again = found.where("around IS NOT NULL").select("min", "a", "around")
+    roots = materialise(components(linked))
+    again = again.join(small_side(roots), F.col("a") == F.col("node"), "left")
+    again = materialise(again.select("min", F.coalesce("component", "a").alias("rep"), "around").distinct())
     own = F.when(F.col("blocks").isNull(), 0).otherwise(F.pmod(F.xxhash64("around"), F.col("blocks")).cast("int"))
     others = F.when(F.col("blocks").isNull(), F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), F.col("blocks") - 1))
     again = again.join(blocks_of(again), "min", "left").withColumn("own", own).withColumn("other", F.explode(others))
     pair = F.shiftleft(F.greatest("own", "other").cast("long"), 32) + F.least("own", "other")
-    again = again.select("min", pair.alias("block"), F.lit(False).alias("more"), "rep", "around")
-    links = found.where("around IS NULL").select("a", "b").unionByName(classes(again).select("a", "b"))
-    return links.distinct()
+    side = F.when(F.col("own") == F.col("other"), -1).when(F.col("own") < F.col("other"), 0).otherwise(1)
+    again = again.select("min", pair.alias("block"), F.lit(False).alias("more"), "rep", side.alias("side"), "around")
+    more = materialise(classes(again).select("a", "b").distinct())
+    return linked.unionByName(more)
 
 
 def passage_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", block: int = BLOCK) -> DataFrame:
