@@ -1,28 +1,32 @@
 """Line deduplication with a log-template tree, in DataFrame functions only.
 
 Every line walks a fixed path: its number of tokens, then its first `DEPTH` tokens, where a token with a digit
-counts as a variable field. Below that leaf stand the lines' literal forms (variable fields masked). The form
-found in most documents represents the leaf; a form that agrees with it in at least `SIMILARITY` of their parts
-shares its template, the differing parts being variable as well; any other form is a template of its own. A part
-is one token of lines of up to `PARTS` tokens, else one of `PARTS` equal runs of tokens.
-
-A template found in at least `min_docs` documents recurs: its first line (smallest doc_id, then hash of the text,
-then line number; null ids first) stays, every other is dropped, so that no text is lost altogether.
-
-Tokens are separated by spaces. Defined results: null texts stay null; blank lines are no templates and stay; repeated rows count as one document
-and are treated alike; a document may end up empty but its row stays; all other columns pass unchanged.
+counts as a variable field. Below that leaf stand templates. A line is cut into parts, one token each for lines of up
+to `PARTS` tokens, else `PARTS` equal runs of tokens, and belongs to these templates of its leaf: its literal form,
+and, from `LEAST_PARTS` parts on, each form in which one part is variable (so at least 0.8 of the parts agree). A
+leaf has as many templates as its lines have, whatever other lines stand below it.
+
+A template found in at least `min_docs` documents recurs. A line is assigned to the recurring template of its own
+that is found in most documents (ties: the literal form, then the earlier variable part). Of the lines assigned to a
+template the first stays (smallest doc_id, then hash of the text, then line number; null ids first), every other is
+dropped, so that no text is lost altogether.
+
+Leaves and templates are told apart by two 64-bit hashes together; two different lines are only confused if both
+collide. Tokens are separated by spaces. Defined results: null texts stay null; blank lines are no templates and stay;
+repeated rows count as one document and are treated alike; a document may end up empty but its row stays; an empty
+table stays empty; all other columns pass unchanged, but for lines_in_ and lines_out_, which are replaced.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import let, materialise
+from .common import forget, let, materialise, renamed, small_side
 
-DEPTH, PARTS, SIMILARITY, MIN_DOCS = 3, 8, 0.85, 3
+DEPTH, PARTS, LEAST_PARTS, MIN_DOCS = 3, 8, 5, 3
+#: The variable part of a literal form.
+NONE = -1
 
 
 def _tokens(line: Column) -> Column:
@@ -32,52 +36,18 @@ def _tokens(line: Column) -> Column:
 
 
 def line_table(docs: DataFrame) -> DataFrame:
-    """(key, row, line, leaf, literal, low, high) of every line that has tokens; low and high pack 16-bit hashes of
-    its parts. docs: key, row, text."""
+    """(key, row, line, leaf, n, parts) of every line that has tokens; parts are hashes. docs: key, row, text."""
     lines = docs.select("key", "row", F.posexplode(F.split("text", "\n")).alias("line", "words"))
     lines = lines.where(F.trim("words") != "").select("key", "row", "line", _tokens(F.col("words")).alias("tokens"))
-    lines = lines.select("*", F.size("tokens").alias("n"))
-    parts = F.least(F.col("n"), F.lit(PARTS))
-
-    def edge(j: int) -> Column:
-        return F.floor(j * F.col("n") / parts).cast("int")
-
-    def part(j: int) -> Column:
-        hashed = F.xxhash64(F.slice("tokens", edge(j) + 1, edge(j + 1) - edge(j))).bitwiseAND(F.lit(0xFFFF))
-        return F.when(parts > j, F.shiftleft(hashed, 16 * (j % 4))).otherwise(F.lit(0).cast("bigint"))
-
-    def packed(js: range) -> Column:
-        return reduce(lambda a, b: a.bitwiseOR(b), map(part, js))
-
-    return lines.select(
-        "key",
-        "row",
-        "line",
-        F.xxhash64("n", F.slice("tokens", 1, DEPTH)).alias("leaf"),
-        F.xxhash64("tokens").alias("literal"),
-        "n",
-        packed(range(0, 4)).alias("low"),
-        packed(range(4, 8)).alias("high"),
-    )
-
-
-def with_template(lines: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """lines with the template of each: the literal form that represents it."""
-    forms = lines.groupBy("leaf", "literal", "n", "low", "high", "key", "row").agg(F.lit(1).alias("one"))
-    forms = forms.groupBy("leaf", "literal", "n", "low", "high").agg(F.count("*").alias("docs"))
-    best = forms.groupBy("leaf").agg(F.max(F.struct("docs", "literal", "low", "high")).alias("best"), F.count("*").alias("forms"))
-    best = best.where("forms > 1")
-    best = best.select("leaf", F.col("best.literal").alias("template"), F.col("best.low").alias("low_"), F.col("best.high").alias("high_"))
-    best = materialise(best)  # an aggregate in the join's own stage would keep Spark from splitting a hot leaf
+    lines = lines.select("*", F.size("tokens").alias("n"), F.least(F.size("tokens"), F.lit(PARTS)).alias("p"))
 
-    def differ(a: str, b: str, j: int) -> Column:
-        return (F.shiftrightunsigned(F.col(a).bitwiseXOR(F.col(b)), 16 * j).bitwiseAND(F.lit(0xFFFF)) != 0).cast("int")
+    def part(j: Column) -> Column:
+        at = F.floor(j * F.col("n") / F.col("p")).cast("int")
+        end = F.floor((j + 1) * F.col("n") / F.col("p")).cast("int")
+        return F.xxhash64(F.slice("tokens", at + 1, end - at))
 
-    different = reduce(lambda a, b: a + b, [differ(a, b, j) for a, b in (("low", "low_"), ("high", "high_")) for j in range(4)])
-    parts = F.least(F.col("n"), F.lit(PARTS))
-    moved = forms.join(best, "leaf").where((F.col("literal") != F.col("template")) & (parts - different >= similarity * parts))
-    out = lines.drop("n", "low", "high").join(moved.select("leaf", "literal", "template"), ["leaf", "literal"], "left")
-    return out.withColumn("template", F.coalesce("template", "literal"))
+    parts = F.transform(F.sequence(F.lit(0), F.col("p") - 1), part)
+    return lines.select("key", "row", "line", F.xxhash64("n", F.slice("tokens", 1, DEPTH)).alias("leaf"), "n", parts.alias("parts"))
 
 
 def candidate_lines(lines: DataFrame, min_docs: int) -> DataFrame:
@@ -86,33 +56,54 @@ def candidate_lines(lines: DataFrame, min_docs: int) -> DataFrame:
     return lines.join(materialise(leaves.select("leaf")), "leaf", "left_semi")
 
 
-def dropped_lines(docs: DataFrame, min_docs: int = MIN_DOCS, similarity: float = SIMILARITY) -> DataFrame:
+def memberships(lines: DataFrame) -> DataFrame:
+    """(key, row, line, leaf, variable, form): every template that a line belongs to; variable numbers the part that may vary."""
+    p = F.size("parts")
+    ends_beyond_the_path = F.filter(
+        F.sequence(F.lit(0), p - 1), lambda j: (p >= LEAST_PARTS) & (F.floor((j + 1) * F.col("n") / p) > DEPTH)
+    )
+
+    def form(j: Column) -> Column:
+        kept = F.transform("parts", lambda h, i: F.when(i == j, F.lit(0).cast("bigint")).otherwise(h))
+        return F.struct(j.alias("variable"), F.xxhash64(j, kept).alias("form"))
+
+    every = F.transform(F.concat(F.array(F.lit(NONE)), ends_beyond_the_path), form)
+    return lines.select("key", "row", "line", "leaf", F.explode(every).alias("of")).select("key", "row", "line", "leaf", "of.*")
+
+
+def dropped_lines(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     """(key, row, drops): numbers of the lines to drop, for documents that lose any. docs: key, row, text."""
-    lines = materialise(candidate_lines(materialise(line_table(docs)), min_docs))
-    lines = materialise(with_template(lines, similarity))
-    each = lines.groupBy("leaf", "template", "key", "row").agg(F.min("line").alias("line"))
-    found = each.groupBy("leaf", "template").agg(F.count("*").alias("docs"), F.min(F.struct("key", "row", "line")).alias("first"))
-    found = materialise(found.where(F.col("docs") >= min_docs).select("leaf", "template", "first"))
-    later = lines.join(found, ["leaf", "template"]).where(~F.struct("key", "row", "line").eqNullSafe(F.col("first")))
-    return later.groupBy("key", "row").agg(F.collect_set("line").alias("drops"))
-
-
-def dedup_lines(
-    docs: DataFrame, key: str = "doc_id", text: str = "text", min_docs: int = MIN_DOCS, similarity: float = SIMILARITY
-) -> DataFrame:
+    whole = materialise(line_table(docs))
+    lines = materialise(candidate_lines(whole, min_docs))
+    template = ["leaf", "variable", "form"]
+    members = memberships(lines)
+    found = members.select(*template, "key", "row").distinct().groupBy(*template).agg(F.count("*").alias("docs"))
+    found = materialise(found.where(F.col("docs") >= min_docs))
+    best = F.max(F.struct("docs", (-F.col("variable")).alias("first"), "leaf", "variable", "form")).alias("best")
+    assigned = members.join(small_side(found), template).groupBy("key", "row", "line").agg(best)
+    assigned = materialise(assigned.select("key", "row", "line", *[F.col(f"best.{c}").alias(c) for c in template]))
+    first = materialise(assigned.groupBy(*template).agg(F.min(F.struct("key", "row", "line")).alias("first")))
+    later = assigned.join(small_side(first), template).where(~F.struct("key", "row", "line").eqNullSafe(F.col("first")))
+    drops = materialise(later.groupBy("key", "row").agg(F.collect_set("line").alias("drops")))
+    forget(whole, lines, found, assigned, first)
+    return drops
+
+
+def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", min_docs: int = MIN_DOCS) -> DataFrame:
     """docs with recurring lines taken out of the text, and lines_in_ and lines_out_ (0 for null) appended."""
-    drops = dropped_lines(docs.select(F.col(key).alias("key"), F.xxhash64(text).alias("row"), F.col(text).alias("text")), min_docs, similarity)
-    drops = drops.select(F.col("key").alias("key__"), F.col("row").alias("row__"), F.col("drops").alias("drops__"))
-    joined = docs.join(drops, F.col(key).eqNullSafe(F.col("key__")) & (F.xxhash64(text) == F.col("row__")), "left")
+    docs = docs.drop("lines_in_", "lines_out_")
+    key_, row, lost = renamed(docs, "key__", "row__", "drops__")
+    drops = dropped_lines(docs.select(F.col(key).alias("key"), F.xxhash64(text).alias("row"), F.col(text).alias("text")), min_docs)
+    drops = drops.select(F.col("key").alias(key_), F.col("row").alias(row), F.col("drops").alias(lost))
+    joined = docs.join(drops, F.col(key).eqNullSafe(F.col(key_)) & (F.xxhash64(text) == F.col(row)), "left")
 
     def kept(lines: Column) -> Column:
-        stay = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("drops__"))
+        stay = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col(lost))
         return F.array_join(F.transform(stay, lambda i: F.get(lines, i)), "\n")
 
-    cut = F.when(F.col("drops__").isNull(), F.col(text)).otherwise(let(F.split(text, "\n"), kept))
+    cut = F.when(F.col(lost).isNull(), F.col(text)).otherwise(let(F.split(text, "\n"), kept))
     n_lines = F.when(F.col(text).isNull(), 0).otherwise(F.size(F.split(F.col(text), "\n")))
-    n_drops = F.when(F.col("drops__").isNull(), 0).otherwise(F.size("drops__"))
-    out = joined.select(
+    n_drops = F.when(F.col(lost).isNull(), 0).otherwise(F.size(lost))
+    return joined.select(
         *[(cut if c == text else F.col(c)).alias(c) for c in docs.columns], n_lines.alias("lines_in_"), (n_lines - n_drops).alias("lines_out_")
     )
-    return out
