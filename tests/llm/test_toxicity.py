@@ -1,15 +1,21 @@
 import random
 
-from waymark.llm.toxicity import Matcher, score, train
+from pyspark.sql import functions as F
+
+from waymark.llm.toxicity import Matcher, drawn, quotations, score, train
 
 
 def distance(a, b):
-    row = list(range(len(b) + 1))
+    """Edits between two words; a swap of neighbouring letters is one."""
+    rows = [list(range(len(b) + 1))]
     for i, x in enumerate(a, 1):
-        last, row[0] = row[0], i
+        row = [i]
         for j, y in enumerate(b, 1):
-            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
-    return row[-1]
+            row.append(min(rows[-1][j] + 1, row[-1] + 1, rows[-1][j - 1] + (x != y)))
+            if i > 1 and j > 1 and x == b[j - 2] and y == a[i - 2]:
+                row[-1] = min(row[-1], rows[-2][j - 2] + 1)
+        rows.append(row)
+    return rows[-1][-1]
 
 
 def test_matcher_against_edit_distance():
@@ -22,6 +28,9 @@ def test_matcher_against_edit_distance():
         for _ in range(rng.randint(0, 2)):
             i = rng.randrange(len(w) + 1)
             w[i : i + rng.randint(0, 1)] = rng.choice(["", "a", "t", "ck"])
+        if len(w) > 2 and rng.random() < 0.3:
+            i = rng.randrange(len(w) - 1)
+            w[i], w[i + 1] = w[i + 1], w[i]
         w = "".join(w) + rng.choice(["", "", "is"])
         want = {}
         for t in terms:
@@ -29,8 +38,10 @@ def test_matcher_against_edit_distance():
                 d = distance(w, t[:-1])
                 if d == 0 or (d == 1 and len(t) > 5):
                     want[t] = d
-            elif w.startswith(t):
-                want[t] = 0
+            else:
+                d = min(distance(w[:i], t) for i in range(len(w) + 1))
+                if d == 0 or (d == 1 and len(t) >= 5):
+                    want[t] = d
         assert dict(matcher.match(w)) == want, w
 
 
@@ -64,3 +75,15 @@ def test_held_out_quality_and_edges(spark):
     assert by[9002] > 0.5 and by[9000] == by[9001] < 0.5
     none = score(docs, train(docs, marks.limit(0))).collect()
     assert all(r.toxic_score_ < 0.5 for r in none) and score(docs.limit(0), train(docs.limit(0), marks)).count() == 0
+
+
+def test_draw_is_the_first_by_hash_and_reads_few_rows(spark):
+    ids = spark.range(20_000).select("id", F.lit(True).alias("toxic"))
+    want = sorted(r.id for r in ids.orderBy(F.shiftrightunsigned(F.xxhash64("id"), 1), "id").limit(50).collect())
+    assert sorted(r.id for r in drawn(ids, 50, 20_000).collect()) == want
+    assert drawn(ids.limit(20), 50, 20).count() == 20
+
+
+def test_quotation_and_separators():
+    text = 'he said "you scum-bag" and don\'t. scum/bag'
+    assert list(quotations(text, "scum")) == [True, False]

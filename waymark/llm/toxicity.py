@@ -3,7 +3,8 @@
 The lexicon holds word beginnings and whole words that occur in toxic training documents far more often than
 chance allows. Words are read by the product of the trie and the Levenshtein automaton of distance 1, made
 deterministic as it is used: a state is the set of (trie node, errors) that the letters so far can reach, and
-most words end in the empty state after a few letters. Fuzzy matches count for whole words only.
+most words end in the empty state after a few letters. A swap of two neighbouring letters is one error. Whole words
+of more than `FUZZY_LEAST` - 1 letters and beginnings of at least `FUZZY_LEAST` may have one.
 
 An occurrence is quoted if quotation marks stand on both sides within `WINDOW` characters of it on its line. Each
 (term, errors, quoted) has a weight of its own: the log-ratio of its rates in toxic and clean training documents,
@@ -14,7 +15,8 @@ Bounds of the model (parameters): at most `toxic_docs` and `clean_docs` training
 id, and `terms` lexicon entries. Scoring reads whole texts.
 
 Defined results: null and empty texts get the prior; labels that are null are ignored, of repeated labels the
-largest counts; without labels every score is the smoothed prior; other columns pass unchanged.
+largest counts; of documents that repeat an id one is learnt from; without labels every score is the smoothed prior;
+an empty table gives an empty result; a column named toxic_score_ is replaced, other columns pass unchanged.
 """
 
 from __future__ import annotations
@@ -25,7 +27,7 @@ import re
 from dataclasses import dataclass, field
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import append_columns, held_out, materialise
@@ -34,9 +36,16 @@ SHORTEST, LONGEST = 3, 10
 #: Marks the end of a whole word in the trie.
 END = "$"
 FUZZY_LEAST = 5
+#: In place of an error count: two neighbouring letters are being read in the wrong order.
+SWAP = 2
 WINDOW = 60
 MARKS = "\"'“”„«»‘’"
-EDGES = ".,;:!?()[]{}|<>%&$#*_=+~^/\\-…" + MARKS
+#: What separates words, in learning and in scoring alike; quotation marks are part of it.
+CUT = "[ \\t\\n\\x0B\\f\\r\u00a0\u3000.,;:!?()\\[\\]{}|<>%&$#*_=+~^/\\\\…\"'“”„«»‘’-]+"
+SPLIT = re.compile(f"[^{CUT[1:-2]}]+").findall
+#: Apostrophes inside words are no quotation marks.
+INNER = re.compile(r"(?<=\w)['’](?=\w)").sub
+APART = frozenset(c for c in map(chr, range(0x3100)) if re.fullmatch(CUT, c))
 QUOTED_SHARE, FUZZY_SHARE, DRAWN = 0.25, 0.6, 3.0
 KEPT_WORDS = 400_000
 
@@ -63,24 +72,31 @@ class Matcher:
                 if node == len(self.children):
                     self.children.append({})
             (self.wholes if term.endswith(END) else self.begins)[node] = term
-        self.states: list[frozenset[tuple[int, int]]] = [frozenset([(0, 0)])]
+        self.states: list[frozenset[tuple[int, int, str]]] = [frozenset([(0, 0, "")])]
         self.numbers = {self.states[0]: 0}
         self.steps: list[dict[str, int]] = [{}]
         self.kept: dict[str, tuple[tuple[str, int], ...]] = {}
 
     def _step(self, state: int, c: str) -> int:
+        """The state after one more letter. Members are (node, errors, letter): errors 0 or 1, or SWAP with a letter
+        that was read too early and is due next."""
         found = set()
-        for node, errors in self.states[state]:
+        for node, errors, due in self.states[state]:
             here = self.children[node]
+            if errors == SWAP:
+                if c in here and due in self.children[here[c]]:
+                    found.add((self.children[here[c]][due], 1, ""))
+                continue
             if c in here:
-                found.add((here[c], errors))
+                found.add((here[c], errors, ""))
             if not errors:
-                found.add((node, 1))
+                found.add((node, 1, ""))
+                found.add((node, SWAP, c))
                 for child in here.values():
-                    found.add((child, 1))
+                    found.add((child, 1, ""))
                     if c in self.children[child]:
-                        found.add((self.children[child][c], 1))
-        to = frozenset((n, e) for n, e in found if not (e and (n, 0) in found))
+                        found.add((self.children[child][c], 1, ""))
+        to = frozenset(x for x in found if not (x[1] == 1 and (x[0], 0, "") in found))
         if to not in self.numbers:
             self.numbers[to] = len(self.states)
             self.states.append(to)
@@ -89,7 +105,7 @@ class Matcher:
         return self.numbers[to]
 
     def match(self, word: str) -> tuple[tuple[str, int], ...]:
-        """(term, errors) of each lexicon term that the word is or begins with."""
+        """(term, errors) of each lexicon term that the word is or begins with, with one error at most."""
         found: dict[str, int] = {}
         state = 0
         steps, states = self.steps, self.states
@@ -98,16 +114,19 @@ class Matcher:
             state = self._step(state, c) if to is None else to
             if not states[state]:
                 break
-            for node, errors in states[state]:
-                if not errors and node in self.begins:
-                    found[self.begins[node]] = 0
-        for node, errors in states[state]:
+            for node, errors, _ in states[state]:
+                term = self.begins.get(node)
+                if term and errors != SWAP and (not errors or len(term) >= FUZZY_LEAST):
+                    found[term] = min(errors, found.get(term, 1))
+        for node, errors, _ in states[state]:
+            if errors == SWAP:
+                continue
             ends = [node] if errors else [node, *self.children[node].values()]
             for i, n in enumerate(ends):
-                term = self.wholes.get(n)
                 wrong = errors + (i > 0)
-                if term and (not wrong or len(term) > FUZZY_LEAST):
-                    found[term] = min(wrong, found.get(term, 1))
+                for term, least in ((self.wholes.get(n), FUZZY_LEAST + 1), (self.begins.get(n), FUZZY_LEAST)):
+                    if term and (not wrong or len(term) >= least):
+                        found[term] = min(wrong, found.get(term, 1))
         return tuple(sorted(found.items()))
 
     def of_token(self, token: str) -> tuple[tuple[str, int], ...]:
@@ -115,50 +134,61 @@ class Matcher:
         if known is None:
             if len(self.kept) >= KEPT_WORDS:
                 self.kept.clear()
-            known = self.kept[token] = self.match(token.strip(EDGES))
+            known = self.kept[token] = self.match(token)
         return known
 
     def terms_in(self, text: str) -> dict[tuple[str, int, bool], None]:
         """Every (term, errors, quoted) of a text."""
         low = text.lower()
         found: dict[tuple[str, int, bool], None] = {}
-        for token in set(low.split()):
+        for token in set(SPLIT(low)):
             hits = self.of_token(token)
             if hits:
-                for quoted in {q for q in quotations(low, token)}:
+                for quoted in set(quotations(low, token)):
                     for term, errors in hits:
                         found[term, errors, quoted] = None
         return found
 
 
 def quotations(text: str, token: str):
-    """Whether each occurrence of a token stands in quotation marks."""
-    for m in re.finditer(r"(?<!\S)" + re.escape(token) + r"(?!\S)", text):
-        before = text[max(0, m.start() - WINDOW) : m.start()].rpartition("\n")[2]
-        after = text[m.end() : m.end() + WINDOW].partition("\n")[0]
-        lead = len(token) - len(token.lstrip(EDGES))
-        tail = len(token) - len(token.rstrip(EDGES))
-        before += token[:lead]
-        after = token[len(token) - tail :] + after
-        opened = max(before.rfind(c) for c in MARKS)
-        yield opened >= 0 and any(c in after for c in MARKS) and sum(before.count(c) for c in MARKS) % 2 == 1
+    """Whether each occurrence of a token, as a whole word, stands in quotation marks."""
+    at = text.find(token)
+    while at >= 0:
+        end = at + len(token)
+        if (not at or text[at - 1] in APART) and (end == len(text) or text[end] in APART):
+            before = INNER("", text[max(0, at - WINDOW) : at].rpartition("\n")[2])
+            after = INNER("", text[end : end + WINDOW].partition("\n")[0])
+            yield any(c in after for c in MARKS) and sum(before.count(c) for c in MARKS) % 2 == 1
+        at = text.find(token, end)
+
+
+def drawn(rows: DataFrame, most: int, count: int) -> DataFrame:
+    """The `most` rows that come first by hash of the id. Hashes are uniform, so a bound on them leaves few more rows
+    than are wanted (a count of ids says where it lies), whatever the size of the table; the rest is an exact top-k."""
+    share = (most + 10 * math.sqrt(most) + 100) / max(count, 1)
+    place = F.shiftrightunsigned(F.xxhash64("id"), 1)
+    near = rows if share >= 1 else rows.where(place / float(1 << 63) < share)
+    return near.orderBy(place, "id").limit(most)
 
 
 def training_sample(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str, toxic_docs: int, clean_docs: int) -> tuple[DataFrame, int, int]:
-    """(text, toxic) of the drawn documents, and how many toxic and clean labels the training fold holds."""
+    """(text, toxic) of the drawn documents, and how many toxic and clean labels the training fold holds.
+
+    Of documents that repeat a drawn id, the one with the smallest hash of the text is taken, so the sample is bounded.
+    """
     known = labels.where(~held_out(key) & F.col(label).isNotNull()).groupBy(F.col(key).alias("id")).agg((F.max(label) > 0).alias("toxic"))
+    known = materialise(known.where("id IS NOT NULL"))
     counts = {r.toxic: r["count"] for r in known.groupBy("toxic").count().collect()}
-    rank = F.row_number().over(Window.partitionBy("toxic").orderBy(F.xxhash64("id"), "id"))
-    drawn = known.withColumn("rank", rank).where(F.col("rank") <= F.when(F.col("toxic"), toxic_docs).otherwise(clean_docs))
-    texts = docs.select(F.col(key).alias("id"), F.col(text).alias("text")).join(F.broadcast(drawn.select("id", "toxic")), "id")
-    sample = materialise(texts.where("text IS NOT NULL").select("text", "toxic").distinct())
-    return sample, counts.get(True, 0), counts.get(False, 0)
+    toxic, clean = counts.get(True, 0), counts.get(False, 0)
+    chosen = drawn(known.where("toxic"), toxic_docs, toxic).unionByName(drawn(known.where("NOT toxic"), clean_docs, clean))
+    texts = docs.select(F.col(key).alias("id"), F.col(text).alias("text")).where("text IS NOT NULL").join(F.broadcast(chosen), "id")
+    one = texts.groupBy("id", "toxic").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
+    return materialise(one.select("text", "toxic").distinct()), toxic, clean
 
 
 def lexicon(sample: DataFrame, toxic: int, clean: int, terms: int) -> list[str]:
     """Trie nodes whose share of toxic documents is beyond chance, the most telling first, none above another."""
-    cut = "[\\s.,;:!?()\\[\\]{}|<>%&$#*_=+~^/\\\\…\"'“”„«»‘’-]+"
-    words = F.array_distinct(F.split(F.lower("text"), cut))
+    words = F.array_distinct(F.split(F.lower("text"), CUT))
     words = F.filter(words, lambda w: F.char_length(w) >= SHORTEST)
     heads = F.transform(
         words,
@@ -196,8 +226,8 @@ def train(
     """Learn lexicon, weights and prior from the training fold."""
     sample, n_toxic, n_clean = training_sample(docs, labels, key, text, label, toxic_docs, clean_docs)
     model = ToxicityModel(math.log((n_toxic + 0.5) / (n_clean + 4.5)))
-    drawn = {r.toxic: r["count"] for r in sample.groupBy("toxic").count().collect()}
-    toxic, clean = drawn.get(True, 0), drawn.get(False, 0)
+    sizes = {r.toxic: r["count"] for r in sample.groupBy("toxic").count().collect()}
+    toxic, clean = sizes.get(True, 0), sizes.get(False, 0)
     found = lexicon(sample, toxic, clean, terms) if toxic and clean else []
     if not found:
         return model
