@@ -53,11 +53,13 @@ def line_table(docs: DataFrame) -> DataFrame:
 def candidate_lines(lines: DataFrame, min_docs: int) -> DataFrame:
     """Lines below leaves that hold at least min_docs lines: no other template can recur."""
     leaves = lines.groupBy("leaf").agg(F.count("*").alias("lines")).where(F.col("lines") >= min_docs)
-    return lines.join(materialise(leaves.select("leaf")), "leaf", "left_semi")
+    # leaves grow with the table: the same plan at every size, in which Spark can split a hot leaf's lines
+    return lines.join(materialise(leaves.select("leaf")).hint("merge"), "leaf", "left_semi")
 
 
 def memberships(lines: DataFrame) -> DataFrame:
-    """(key, row, line, leaf, variable, form): every template that a line belongs to; variable numbers the part that may vary."""
+    """(key, row, line, leaf, variable, form): every template that a line belongs to; variable numbers the part that may
+    vary, which the hash in form covers."""
     p = F.size("parts")
     ends_beyond_the_path = F.filter(
         F.sequence(F.lit(0), p - 1), lambda j: (p >= LEAST_PARTS) & (F.floor((j + 1) * F.col("n") / p) > DEPTH)
@@ -75,11 +77,11 @@ def dropped_lines(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     """(key, row, drops): numbers of the lines to drop, for documents that lose any. docs: key, row, text."""
     whole = materialise(line_table(docs))
     lines = materialise(candidate_lines(whole, min_docs))
-    template = ["leaf", "variable", "form"]
+    template = ["leaf", "form"]
     members = memberships(lines)
-    found = members.select(*template, "key", "row").distinct().groupBy(*template).agg(F.count("*").alias("docs"))
+    found = members.select(*template, F.xxhash64("key", "row").alias("doc")).distinct().groupBy(*template).agg(F.count("*").alias("docs"))
     found = materialise(found.where(F.col("docs") >= min_docs))
-    best = F.max(F.struct("docs", (-F.col("variable")).alias("first"), "leaf", "variable", "form")).alias("best")
+    best = F.max(F.struct("docs", (-F.col("variable")).alias("first"), *template)).alias("best")
     assigned = members.join(small_side(found), template).groupBy("key", "row", "line").agg(best)
     assigned = materialise(assigned.select("key", "row", "line", *[F.col(f"best.{c}").alias(c) for c in template]))
     first = materialise(assigned.groupBy(*template).agg(F.min(F.struct("key", "row", "line")).alias("first")))
