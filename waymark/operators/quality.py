@@ -46,7 +46,7 @@ def quality_score(issues: DataFrame, n_places: Column | int) -> DataFrame:
     weight = chain([(F.col("severity") == s, w) for s, w in WEIGHTS.items()], 1)
     lost = F.coalesce(F.sum(weight), F.lit(0))
     n = F.lit(n_places) if isinstance(n_places, int) else n_places
-    return issues.agg(F.when(n == 0, 100.0).otherwise(F.round(F.greatest(F.lit(0.0), 100 - lost / (n * 15) * 100), 1)).alias("score"))
+    return issues.agg(F.when(n == 0, 100.0).otherwise(F.round(F.greatest(F.lit(0.0), 100 - lost / (n * 15) * 100), 1)).alias("score"), lost.alias("lost"))
 
 
 def _in(box: tuple[float, float, float, float]) -> str:
@@ -65,11 +65,12 @@ def coord_issues(v):
     return coordinate_issues(v.places)
 
 
-@query("""SELECT round(greatest(0.0, 100 - sum(CASE severity WHEN 'low' THEN 1 WHEN 'medium' THEN 3 WHEN 'high' THEN 7 ELSE 15 END)
-  / ((SELECT count(*) FROM places) * 15.0) * 100), 1)::DOUBLE AS score FROM quality_issues WHERE l_linenumber = 1""")
+@query("""SELECT round(greatest(0.0, 100 - sum(w) / ((SELECT count(*) FROM places) * 15.0) * 100), 1)::DOUBLE AS score, CAST(sum(w) AS BIGINT) AS lost
+FROM (SELECT CASE severity WHEN 'low' THEN 1 WHEN 'medium' THEN 3 WHEN 'high' THEN 7 ELSE 15 END AS w FROM quality_issues) q""")
 def place_quality_score(v):
-    counted = v.quality_issues.where("l_linenumber = 1").crossJoin(F.broadcast(v.places.agg(F.count("*").alias("n"))))
-    return quality_score(counted, F.max("n"))
+    """The score over all issues, and the weight that it is made from, as the score ends at 0."""
+    n = v.places.agg(F.count("*").alias("n"))
+    return quality_score(v.quality_issues.crossJoin(F.broadcast(n)), F.max("n"))
 
 
 @query("""SELECT issue_type, severity, count(*) AS n, count(*) FILTER (WHERE auto_fixed) AS fixed FROM quality_issues GROUP BY issue_type, severity""")

@@ -75,6 +75,22 @@ FROM {places} CROSS JOIN (SELECT 0 AS k UNION ALL SELECT 1 AS k) kk WHERE seq %
     "raw_categories": """
 SELECT place_id, CASE seq % 9 WHEN 0 THEN '#삼겹살 무한리필' WHEN 1 THEN '초밥뷔페' WHEN 2 THEN '강남맛집' WHEN 3 THEN '수제 햄버거'
   WHEN 4 THEN '짜장면' WHEN 5 THEN '카페 디저트' WHEN 6 THEN '할인 파스타' WHEN 7 THEN '' ELSE 'BBQ' END AS raw FROM {places}""",
+    "details": """
+SELECT p_partkey AS id, p_name AS name,
+  CONCAT(CASE p_partkey % 4 WHEN 0 THEN 'Advertisement 메뉴정보  ' WHEN 1 THEN '리뷰 사진 ' WHEN 2 THEN '' ELSE '평점  ' END,
+    CASE p_partkey % 3 WHEN 0 THEN '삼겹살  무한리필' WHEN 1 THEN '초밥 뷔페' ELSE '모듬 세트' END) AS raw_menu,
+  CONCAT('성인 ', CASE p_partkey % 3 WHEN 0 THEN '고기 무한리필 추천' WHEN 1 THEN '초밥 뷔페' ELSE '샐러드 셀프바' END, ' ', CAST(3 + p_partkey % 60 AS STRING), ',900원\n',
+    '안녕하세요 오늘은 후기 리뷰 20,000원\n', CASE WHEN p_partkey % 5 = 0 THEN '콜라 2,000원' ELSE '점심 고기 무한리필' END, ' ',
+    CAST(7 + p_partkey % 11 AS STRING), ',000 원\n김\n성인 초밥 뷔페 12,000원') AS section,
+  CONCAT('var a = 1; ', CASE p_partkey % 4 WHEN 0 THEN '"latitude": ' WHEN 1 THEN 'poi_lat = ' WHEN 2 THEN 'mapLat: ' ELSE 'x: ' END, '37.', CAST(p_partkey % 90 + 10 AS STRING), ', ',
+    CASE p_partkey % 4 WHEN 0 THEN '"longitude": ' WHEN 1 THEN 'poi_lng = ' WHEN 2 THEN 'mapLng: ' ELSE 'y: ' END, CASE WHEN p_partkey % 7 = 0 THEN '99.' ELSE '126.' END, CAST(p_partkey % 80 + 10 AS STRING), ';') AS script,
+  CONCAT('aData = [{{"menu":{{"list":[{{"menu":" ', p_type, ' ","price":"', CAST((p_partkey % 130) * 1000 AS STRING), '원"}},{{"menu":"B","price":"8000원"}}]}}}}];') AS menu_script,
+  CASE p_partkey % 5 WHEN 0 THEN NULL WHEN 1 THEN '' WHEN 2 THEN '24시간 영업' WHEN 3 THEN '11:00 - 22:00' ELSE '연중무휴' END AS open_hours,
+  CASE WHEN p_partkey % 3 = 0 THEN '15:00~16:00' WHEN p_partkey % 3 = 1 THEN '' END AS break_time,
+  CASE WHEN p_partkey % 4 = 0 THEN '월요일' END AS holiday,
+  CONCAT(CASE p_partkey % 3 WHEN 0 THEN 'https://i/' WHEN 1 THEN '//i/' ELSE 'data:' END, CAST(p_partkey AS STRING), '|http://j/', CAST(p_partkey % 9 AS STRING), '||ftp://k|https://m|https://n|https://o|https://q|https://m') AS image_list,
+  CASE p_partkey % 6 WHEN 0 THEN '폐업 안내, 운영중단' WHEN 1 THEN '준비중입니다' WHEN 2 THEN '준비중 오픈 예정' WHEN 3 THEN '리모델링 후 이전' WHEN 4 THEN NULL ELSE '정상 영업' END AS notice
+FROM {part}""",
     "rects": """
 SELECT nation_id AS rect_id, MIN(lat) AS min_lat, MIN(lng) AS min_lng, MIN(lat) + 0.05 AS max_lat, MIN(lng) + 0.05 AS max_lng
 FROM {places} WHERE lat IS NOT NULL GROUP BY nation_id""",
