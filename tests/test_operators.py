@@ -15,7 +15,7 @@ from waymark.functions.text import format_phone, name_similarity, plausible_phon
 from waymark.operators.entity import duplicate_pairs, golden_records
 from waymark.operators.lifecycle import upsert
 from waymark.operators.logs import adaptive_delays, delay_after
-from waymark.plans.durable import connected, first_seeds
+from waymark.plans.durable import components, first_seeds, forget, free_name, written
 from waymark.sources.tables import append_distinct, insert_statements, read, write_by_month, write_json_lines
 from waymark.streaming import windows
 
@@ -92,12 +92,25 @@ def test_greedy_groups_against_the_loop(spark):
     assert first_seeds(spark.createDataFrame([], "i long, j long")).count() == 0
 
 
-def test_connected(spark):
+def test_components(spark):
     edges = [(i, i + 1) for i in range(30)] + [(100, 101), (7, 7)]
-    got = {r.node: r.label for r in connected(spark.createDataFrame(edges, "a long, b long")).collect()}
+    got = {r.node: r.component for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {i: 0 for i in range(31)} | {100: 100, 101: 100}
 
 
+def test_written_tables_can_be_deleted(spark):
+    table = written(spark.range(5))
+    assert table.count() == 5
+    forget(table)
+    with pytest.raises(Exception, match="PATH_NOT_FOUND|does not exist"):
+        spark.read.parquet(table.written_to).count()
+
+
+def test_free_names(spark):
+    df = spark.createDataFrame([(1, 2)], "id int, ID__ int")
+    assert free_name(df, "id") == "id_" and free_name(df, "id_") == "id_" and free_name(df, "id__") == "id___"
+
+
 def place(seq, name, lat, lng, phone):
     return (seq, str(seq), name, "addr" if seq % 2 else "", lat, lng, phone)
 

@@ -2,6 +2,9 @@
 
 import glob
 import os
+import shutil
+import subprocess
+import sys
 from decimal import Decimal
 
 import duckdb
@@ -53,6 +56,14 @@ def test_library_stands_without_corpus_operators():
             assert "waymark.llm" not in open(path, encoding="utf-8").read(), path
 
 
+def test_entry_imports_and_runs_without_corpus_operators(tmp_path):
+    root = os.path.join(os.path.dirname(__file__), "..")
+    shutil.copytree(f"{root}/waymark", tmp_path / "waymark", ignore=shutil.ignore_patterns("llm", "__pycache__"))
+    shutil.copy(f"{root}/__spark_entry__.py", tmp_path)
+    code = "import __spark_entry__ as e; q, o = e.queries(), e.oracle_sql(); assert len(q) > 130 and set(o) <= set(q) and 'op1_decontaminate' not in q and 'pipeline' not in q"
+    subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env={**os.environ, "PYTHONPATH": str(tmp_path)}, check=True)
+
+
 def plan(df):
     return df._jdf.queryExecution().optimizedPlan().toString() + df._jdf.queryExecution().executedPlan().toString()
 
