@@ -4,11 +4,12 @@ The lexicon holds word beginnings and whole words that occur in toxic training d
 chance allows. Words are read by the product of the trie and the Levenshtein automaton of distance 1, made
 deterministic as it is used: a state is the set of (trie node, errors) that the letters so far can reach, and
 most words end in the empty state after a few letters. A swap of two neighbouring letters is one error. Whole words
-of more than `FUZZY_LEAST` - 1 letters and beginnings of at least `FUZZY_LEAST` may have one.
+of at least `FUZZY_LEAST` letters and beginnings of at least `BEGIN_LEAST` may have one.
 
 An occurrence is quoted if quotation marks stand on both sides within `WINDOW` characters of it on its line. Each
 (term, errors, quoted) has a weight of its own: the log-ratio of its rates in toxic and clean training documents,
-drawn towards a fraction of the term's plain weight while there are few cases. A document's score is the logistic
+drawn towards a fraction of the term's plain weight while there are few cases (towards none for beginnings with an
+error, which are common in harmless words, so that these count by their own cases only). A document's score is the logistic
 of the prior log-odds plus, for each term found, the largest weight among its occurrences.
 
 Bounds of the model (parameters): at most `toxic_docs` and `clean_docs` training documents, drawn by hash of the
@@ -35,7 +36,9 @@ from .common import append_columns, held_out, materialise
 SHORTEST, LONGEST = 3, 10
 #: Marks the end of a whole word in the trie.
 END = "$"
-FUZZY_LEAST = 5
+#: Letters from which a whole word may have an error, and a beginning: shorter beginnings with an error are common in
+#: harmless words.
+FUZZY_LEAST, BEGIN_LEAST = 5, 8
 #: In place of an error count: two neighbouring letters are being read in the wrong order.
 SWAP = 2
 WINDOW = 60
@@ -116,7 +119,7 @@ class Matcher:
                 break
             for node, errors, _ in states[state]:
                 term = self.begins.get(node)
-                if term and errors != SWAP and (not errors or len(term) >= FUZZY_LEAST):
+                if term and errors != SWAP and (not errors or len(term) >= BEGIN_LEAST):
                     found[term] = min(errors, found.get(term, 1))
         for node, errors, _ in states[state]:
             if errors == SWAP:
@@ -124,7 +127,7 @@ class Matcher:
             ends = [node] if errors else [node, *self.children[node].values()]
             for i, n in enumerate(ends):
                 wrong = errors + (i > 0)
-                for term, least in ((self.wholes.get(n), FUZZY_LEAST + 1), (self.begins.get(n), FUZZY_LEAST)):
+                for term, least in ((self.wholes.get(n), FUZZY_LEAST + 1), (self.begins.get(n), BEGIN_LEAST)):
                     if term and (not wrong or len(term) >= least):
                         found[term] = min(wrong, found.get(term, 1))
         return tuple(sorted(found.items()))
@@ -253,7 +256,8 @@ def train(
             if case == (0, False):
                 ratios[case] = ratio
             else:
-                prior = ratios[0, False] * (FUZZY_SHARE if case[0] else 1) * (QUOTED_SHARE if case[1] else 1)
+                share = (FUZZY_SHARE if term.endswith(END) else 0.0) if case[0] else 1.0
+                prior = ratios[0, False] * share * (QUOTED_SHARE if case[1] else 1)
                 n = bad + good
                 ratios[case] = (DRAWN * prior + n * ratio) / (DRAWN + n)
         model.weights[term] = ratios
