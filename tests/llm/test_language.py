@@ -24,6 +24,20 @@ def test_phrase_counts_against_brute_force():
         assert row == [brute_phrases(t, s, set(s)) for _, s in samples]
 
 
+def test_large_alphabets_count_every_character():
+    rng = random.Random(8)
+    han, hangul = [chr(0x4E00 + i) for i in range(3000)], [chr(0xAC00 + i) for i in range(2500)]
+    samples = tuple((n, "".join(rng.choice(letters) if rng.random() < 0.7 else letters[0] for _ in range(4000))) for n, letters in (("ko", hangul), ("zh", han)))
+    class_of, tables, _ = parsers(samples)
+    texts = [s[i : i + 200] + rng.choice("x漢") for _, s in samples for i in range(0, 3000, 700)]
+    got = count_phrases(texts, class_of, tables)
+    for t, row in zip(texts, got.tolist(), strict=True):
+        assert row == [brute_phrases(t, s, set(s)) for _, s in samples]
+    assert sum(t.owner.nbytes + t.target.nbytes + t.base.nbytes for t in tables) < 2_000_000
+    rare = ["".join(rng.choice(letters[-500:]) for _ in range(60)) for letters in (hangul, han)]
+    assert predict(rare, [True, True], samples)[0] == ["ko", "zh"]
+
+
 def test_edges():
     assert predict([None, "", "12 !", "ab"], [False, False, False, True], ()) == (["und"] * 4, [0.0] * 4)
     labels, scores = predict(["abab" * 20_000, "xyx", "12"], [True, True, False], (("a", "abab"), ("b", "xyxy")))

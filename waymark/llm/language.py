@@ -2,13 +2,16 @@
 
 For each language a suffix automaton of a bounded labelled sample is built. A text is cut greedily into the
 longest phrases that occur in the sample; the language that needs the fewest phrases wins, phrases counted in
-units of log2(sample length) per character, so that samples of unequal length compare fairly. The automaton is
-completed (a missing transition ends the phrase and starts the next at the root), laid out as one dense table,
-and many pieces of texts step through it together.
+units of log2(sample length) per character, so that samples of unequal length compare fairly. A character that
+a sample lacks costs a phrase of the longest sample and a trifle, so no label gains by a short sample. The automaton is
+completed (a missing transition ends the phrase and starts the next at the root). Its transitions, at most three
+a character of the sample, lie in one array in which each state has a base at which no two states collide, so a
+language costs about a megabyte whatever its alphabet, and many pieces of texts step through it together.
 
-Bounds of the model (parameters): the `languages` commonest labels, per label at most `docs_each` documents,
-`clip` characters of each and `chars_each` in all. Prediction reads whole texts; texts are cut into pieces of
-`PIECE` characters, which adds at most one phrase per cut to every language alike.
+Bounds of the model (parameters): per label at most `docs_each` documents, `clip` characters of each and
+`chars_each` in all; of more than `languages` labels the commonest. Every character of the samples counts.
+Prediction reads whole texts; texts are cut into pieces of `PIECE` characters, which adds at most one phrase per
+cut to every language alike.
 
 Defined results: null texts and texts without a letter get `und` and score 0, as do all texts if nothing could
 be learned; ties go to the language first in code order; repeated rows are kept; all input columns are passed on.
@@ -17,6 +20,7 @@ be learned; ties go to the language first in code order; repeated rows are kept;
 from __future__ import annotations
 
 from collections import Counter
+from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
@@ -30,12 +34,16 @@ UNKNOWN = "und"
 PIECE = 1024
 #: Characters that are stepped through together.
 TOGETHER = 1 << 22
-#: Character classes: 0 pads, 1 is any character outside the samples.
-PAD, OTHER, CLASSES = 0, 1, 250
+#: What a character that a sample lacks costs beside a phrase of the longest sample, in bits: decides where all is equal.
+STRANGE = 1e-6
+#: Bases of a state that are tried at once.
+TRIED = 256
+#: Class of any character outside the samples of all languages.
+OTHER = 0
 
 
 def training_sample(
-    docs: DataFrame, key: str, text: str, label: str, languages: int = 64, docs_each: int = 40, clip: int = 1500, chars_each: int = 24_000
+    docs: DataFrame, key: str, text: str, label: str, languages: int = 512, docs_each: int = 40, clip: int = 1500, chars_each: int = 24_000
 ) -> dict[str, str]:
     """Label -> sample text, from labelled rows outside the held-out fold; rows are drawn by hash of id and text."""
     rows = docs.where(~held_out(key) & F.col(label).isNotNull() & F.col(text).rlike("\\p{L}"))
@@ -80,34 +88,83 @@ def suffix_automaton(sequence: list[int]) -> list[dict[int, int]]:
     return nexts
 
 
-def parsing_table(nexts: list[dict[int, int]], classes: int) -> np.ndarray:
-    """Completed automaton, flat: an entry is the next row's offset << 2 with the number of phrases that end."""
-    root = np.array([nexts[0].get(c, 0) for c in range(classes)], np.int64)
-    missing = (root * classes) << 2 | np.where(root == 0, 2, 1)
-    table = np.repeat(missing[None, :], len(nexts), axis=0)
-    table[0] = (root * classes) << 2 | (root == 0)
-    for state, out in enumerate(nexts):
-        if out:
-            table[state, list(out)] = (np.array(list(out.values())) * classes) << 2
-    table[:, PAD] = (np.arange(len(nexts)) * classes) << 2
-    return table.astype(np.int32).ravel()
+@dataclass
+class Parser:
+    """Completed automaton: state s reads class c at base[s] + c; the entry counts only if s owns it."""
+
+    base: np.ndarray
+    owner: np.ndarray
+    target: np.ndarray
+    root: np.ndarray
+
+    def step(self, state: np.ndarray, symbol: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Next states, the places where no transition was found, and the phrases that end there."""
+        at = self.base[state] + symbol
+        following = self.target[at]
+        missing = np.flatnonzero(self.owner[at] != state)
+        started = self.root[symbol[missing]]
+        ended = (state[missing] != 0).astype(np.int32) + (started == 0)
+        following[missing] = started
+        return following, missing, ended
+
+
+def parser(nexts: list[dict[int, int]], classes: int) -> Parser:
+    """Lay out an automaton: states with several transitions take the first base that fits, the others fill the gaps."""
+    root = np.zeros(classes, np.int32)
+    root[list(nexts[0])] = list(nexts[0].values())
+    size = sum(map(len, nexts)) + 2 * classes
+    owner, target, base = np.full(size, -1, np.int32), np.zeros(size, np.int32), np.zeros(len(nexts), np.int32)
+
+    def room(least: int) -> None:
+        nonlocal owner, target
+        if least > len(owner):
+            more = max(least, 2 * len(owner)) - len(owner)
+            owner, target = np.append(owner, np.full(more, -1, np.int32)), np.append(target, np.zeros(more, np.int32))
+
+    def place(state: int, at: int) -> None:
+        base[state] = at
+        symbols = np.fromiter(nexts[state], np.int64) + at
+        owner[symbols], target[symbols] = state, list(nexts[state].values())
+
+    several = sorted((s for s in range(1, len(nexts)) if len(nexts[s]) > 1), key=lambda s: (-len(nexts[s]), s))
+    low, many = 0, 0
+    for state in several:
+        symbols = np.array(sorted(nexts[state]))
+        if len(symbols) != many:
+            low, many = 0, len(symbols)
+        while True:
+            room(low + TRIED + 2 * classes)
+            bases = low + np.flatnonzero(owner[low + symbols[0] : low + symbols[0] + TRIED] < 0)
+            for symbol in symbols[1:]:
+                bases = bases[owner[bases + symbol] < 0]
+            if len(bases):
+                place(state, int(bases[0]))
+                break
+            low += TRIED
+    single = np.array([s for s in range(1, len(nexts)) if len(nexts[s]) == 1], np.int64)
+    room(classes + int((owner >= 0).sum()) + len(single) + classes)
+    free = np.flatnonzero(owner[classes:] < 0)[: len(single)] + classes
+    symbols = np.array([next(iter(nexts[s])) for s in single], np.int64)
+    base[single], owner[free], target[free] = free - symbols, single, [next(iter(nexts[s].values())) for s in single]
+    room(int(base.max(initial=0)) + classes)
+    return Parser(base, owner, target, root)
 
 
 @lru_cache(maxsize=2)
-def parsers(samples: tuple[tuple[str, str], ...]) -> tuple[np.ndarray, list[np.ndarray], np.ndarray]:
-    """Class of each code point, a table per language, and the bits that a phrase costs in each."""
-    common = [c for c, _ in Counter("".join(s for _, s in samples)).most_common(CLASSES)]
-    class_of = np.full(0x110000, OTHER, np.uint8)
+def parsers(samples: tuple[tuple[str, str], ...]) -> tuple[np.ndarray, list[Parser], np.ndarray]:
+    """Class of each code point, a parser per language, and the bits that a phrase costs in each."""
+    common = [c for c, _ in Counter("".join(s for _, s in samples)).most_common()]
+    class_of = np.full(0x110000, OTHER, np.int32)
     for i, c in enumerate(common):
-        class_of[ord(c)] = i + 2
-    tables = []
+        class_of[ord(c)] = i + 1
+    made = []
     for _, sample in samples:
         coded = class_of[np.frombuffer(sample.encode("utf-32-le"), np.uint32)]
-        tables.append(parsing_table(suffix_automaton(coded[coded != OTHER].tolist()), len(common) + 2))
-    return class_of, tables, np.log2([len(s) + 1 for _, s in samples])
+        made.append(parser(suffix_automaton(coded.tolist()), len(common) + 1))
+    return class_of, made, np.log2([len(s) + 1 for _, s in samples])
 
 
-def count_phrases(texts: list[str], class_of: np.ndarray, tables: list[np.ndarray]) -> np.ndarray:
+def count_phrases(texts: list[str], class_of: np.ndarray, tables: list[Parser]) -> np.ndarray:
     """Phrases of each text (rows) in each language (columns)."""
     sizes = np.array([len(t) for t in texts], np.int64)
     coded = class_of[np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32)]
@@ -123,16 +180,22 @@ def count_phrases(texts: list[str], class_of: np.ndarray, tables: list[np.ndarra
     at = [np.zeros(len(owner), np.int32) for _ in tables]
     ended = [np.zeros(len(owner), np.int32) for _ in tables]
     for step, n in enumerate(running.tolist()):
-        symbol = coded[start[:n] + step].astype(np.int32)
+        symbol = coded[start[:n] + step]
         for table, state, count in zip(tables, at, ended, strict=True):
-            got = table[(state[:n] >> 2) + symbol]
-            state[:n] = got
-            count[:n] += got & 3
+            state[:n], missing, phrases_there = table.step(state[:n], symbol)
+            count[missing] += phrases_there
     for k, (state, count) in enumerate(zip(at, ended, strict=True)):
-        phrases[:, k] = np.bincount(owner, count + (state >> 2 > 0), len(texts)).astype(np.int64)
+        phrases[:, k] = np.bincount(owner, count + (state > 0), len(texts)).astype(np.int64)
     return phrases
 
 
+def count_strange(texts: list[str], class_of: np.ndarray, tables: list[Parser]) -> np.ndarray:
+    """Characters of each text, none of which is empty, that each language's sample lacks."""
+    coded = class_of[np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32)]
+    starts = np.cumsum([0] + [len(t) for t in texts[:-1]])
+    return np.stack([np.add.reduceat((table.root == 0).astype(np.int32)[coded], starts) for table in tables], axis=1)
+
+
 def predict(texts: list[str | None], letters: list[bool], samples: tuple[tuple[str, str], ...]) -> tuple[list[str], list[float]]:
     """Language and score of each text."""
     labels, scores = [UNKNOWN] * len(texts), [0.0] * len(texts)
@@ -146,7 +209,8 @@ def predict(texts: list[str | None], letters: list[bool], samples: tuple[tuple[s
             n += 1
         part, some = some[:n], some[n:]
         lowered = [texts[i].lower() for i in part]
-        cost = count_phrases(lowered, class_of, tables) * bits
+        strange = count_strange(lowered, class_of, tables)
+        cost = count_phrases(lowered, class_of, tables) * bits + strange * (bits.max() - bits + STRANGE)
         best = cost.argmin(axis=1)
         for row, i in enumerate(part):
             least = cost[row, best[row]]
