@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from waymark.functions.geo import cell, haversine_m, sql_distance
-from waymark.functions.text import digits, letters, match_name, set_jaccard
+from waymark.functions.text import ADDRESS_PARTS, address_part, digits, letters, match_name, set_jaccard
 from waymark.operators.quality import COMPLETENESS, completeness
 from waymark.plans.durable import components, first_seeds, small_side, written
 from waymark.plans.registry import query
@@ -136,24 +136,41 @@ def dup_pairs_rule_a(v):
     return duplicate_pairs(v.places)
 
 
-@query("""WITH RECURSIVE p AS (SELECT seq, coalesce(lat, 0.0) AS lat, coalesce(lng, 0.0) AS lng FROM places),
+CLUSTERS_SQL = """p AS (SELECT seq, coalesce(lat, 0.0) AS lat, coalesce(lng, 0.0) AS lng FROM places),
 u AS (SELECT lat, lng, min(seq) AS seq, count(*) AS n FROM p GROUP BY lat, lng),
 e AS (SELECT a.seq AS i, b.seq AS j FROM u a JOIN u b ON a.lat BETWEEN b.lat - 0.002 AND b.lat + 0.002 AND sqrt(pow(a.lat - b.lat, 2) + pow(a.lng - b.lng, 2)) <= 0.002 AND a.lat <> 0),
 r(i, j) AS (SELECT i, j FROM e UNION SELECT r.i, e.j FROM r JOIN e ON r.j = e.i),
-m AS (SELECT i, min(j) AS c, count(*) AS k FROM r GROUP BY i)
-SELECT p.seq, CASE WHEN m.k > 1 THEN m.c WHEN u.n > 1 THEN u.seq ELSE -1 END AS cluster FROM p JOIN u USING (lat, lng) LEFT JOIN m ON m.i = u.seq""")
+m AS (SELECT i, min(j) AS c, count(*) AS k FROM r GROUP BY i),
+g AS (SELECT p.seq, p.lat, p.lng, CASE WHEN m.k > 1 THEN m.c WHEN u.n > 1 THEN u.seq ELSE -1 END AS cluster FROM p JOIN u USING (lat, lng) LEFT JOIN m ON m.i = u.seq)"""
+
+
+@query(f"WITH RECURSIVE {CLUSTERS_SQL} SELECT seq, cluster FROM g")
 def geo_clusters(v):
     return geographic_clusters(v.places)
 
 
-@query()
+# the loop over rows in order as a fold: each list holds a row and its earlier neighbours, the result the seeds so far
+GROUPS_SQL = PAIRS_SQL + """,
+lists AS (SELECT j AS n, list_prepend(j, list(i)) AS l FROM pairs GROUP BY j UNION ALL SELECT i, [i] FROM pairs WHERE i NOT IN (SELECT j FROM pairs) GROUP BY i),
+seeds AS (SELECT unnest(list_reduce(list(l ORDER BY n), lambda acc, x: CASE WHEN len(list_intersect(acc, x[2:])) > 0 THEN acc ELSE list_append(acc, x[1]) END, CAST([] AS BIGINT[]))) AS seed FROM lists),
+grouped AS (SELECT j AS member, min(i) AS seed FROM pairs JOIN seeds ON i = seed GROUP BY j UNION ALL SELECT seed, seed FROM seeds)"""
+
+
+@query(f"WITH {GROUPS_SQL} SELECT member, seed FROM grouped")
 def dup_groups(v):
-    """Greedy groups of rule A; tests hold them against the sequential loop."""
+    """Greedy groups of rule A."""
     return first_seeds(duplicate_pairs(v.places))
 
 
-@query()
+@query(f"""WITH {GROUPS_SQL},
+m AS (SELECT g.seed, p.*, CASE WHEN lat <> 0 AND lng <> 0 THEN 2.0 ELSE 0 END + CASE WHEN name <> '' THEN 1 ELSE 0 END + CASE WHEN address <> '' THEN 1 ELSE 0 END + CASE WHEN phone <> '' THEN 0.5 ELSE 0 END AS score
+  FROM places p JOIN grouped g ON p.seq = g.member),
+k AS (SELECT *, row_number() OVER (PARTITION BY seed ORDER BY score DESC, seq) AS rank FROM m),
+o AS (SELECT *, CASE WHEN rank = 1 THEN -1 ELSE seq END AS o FROM k)
+SELECT seed, max(place_id) FILTER (WHERE rank = 1) AS place_id, arg_min(name, o) FILTER (WHERE name <> '') AS name, arg_min(address, o) FILTER (WHERE address <> '') AS address,
+  arg_min(lat, o) FILTER (WHERE lat <> 0) AS lat, arg_min(lng, o) FILTER (WHERE lng <> 0) AS lng, arg_min(phone, o) FILTER (WHERE phone <> '') AS phone, count(*) AS merged FROM o GROUP BY seed""")
 def golden_places(v):
+    """The kept record of each group, its gaps filled from the others."""
     return golden_records(v.places, first_seeds(duplicate_pairs(v.places)))
 
 
@@ -171,7 +188,12 @@ def tfidf_similar_pairs(v):
     return cosine_pairs(tfidf_weights(v.places, text), 0.9).select("i", "j", F.round("cosine", 6).alias("cosine"))
 
 
-@query()
+@query(f"""WITH RECURSIVE {CLUSTERS_SQL}, {WORDS},
+sim AS (SELECT a.seq AS i, b.seq AS j, sum(a.w * b.w) AS cosine FROM w a JOIN w b ON a.term = b.term AND a.seq < b.seq GROUP BY 1, 2 HAVING sum(a.w * b.w) > 0.85),
+d AS (SELECT seq, regexp_replace(phone, '[^0-9]', '', 'g') AS d FROM places)
+SELECT a.seq AS i, b.seq AS j FROM d a JOIN d b ON a.d = b.d AND a.seq < b.seq WHERE length(a.d) >= 8
+UNION SELECT s.i, s.j FROM sim s JOIN g ga ON ga.seq = s.i JOIN g gb ON gb.seq = s.j JOIN places a ON a.seq = s.i JOIN places b ON b.seq = s.j
+WHERE (ga.cluster = gb.cluster AND ga.cluster <> -1) OR (s.cosine > 0.9 AND {APART} < 100)""")
 def dup_pairs_rule_b(v):
     """Rule B: same phone, or cosine over 0.85 in one cluster, or cosine over 0.9 within 100 m."""
     places = v.places
@@ -223,3 +245,49 @@ def sharing_words(rows: DataFrame, least: int, most: int) -> DataFrame:
     rank = F.row_number().over(Window.partitionBy("mine").orderBy("other"))
     best = found.withColumn("r", rank).where(F.col("r") <= most).select(F.col("mine").alias("words"), "other", "n")
     return worded.where("lost").join(best, "words").select("seq", "other", "n")
+
+
+#: How sure an estimated position is.
+ESTIMATE_CONFIDENCE = 0.6
+
+
+@query(f"""WITH a AS (SELECT seq, lat, lng, nullif(regexp_extract(address, '{ADDRESS_PARTS["road"]}', 1), '') AS road, nullif(regexp_extract(address, '{ADDRESS_PARTS["dong"]}', 1), '') AS dong,
+  list_distinct(string_split(address, '')) AS s FROM places),
+c AS (SELECT q.seq, w.seq AS other, w.lat, w.lng, len(list_intersect(q.s, w.s)) * 1.0 / len(list_distinct(list_concat(q.s, w.s))) AS sim
+  FROM a q JOIN a w ON q.lat IS NULL AND w.lat IS NOT NULL AND (q.road = w.road OR q.dong = w.dong)),
+b AS (SELECT *, row_number() OVER (PARTITION BY seq ORDER BY sim DESC, other) AS r FROM c)
+SELECT a.seq, coalesce(a.lat, b.lat) AS lat, coalesce(a.lng, b.lng) AS lng, b.other AS from_seq,
+  CASE WHEN a.lat IS NOT NULL THEN 'given' WHEN b.seq IS NOT NULL THEN 'estimated' ELSE 'none' END AS source,
+  CAST(CASE WHEN a.lat IS NOT NULL THEN 1.0 WHEN b.seq IS NOT NULL THEN {ESTIMATE_CONFIDENCE} ELSE 0.0 END AS DOUBLE) AS confidence FROM a LEFT JOIN b ON a.seq = b.seq AND b.r = 1""")
+def estimated_locations(v):
+    """Every place with its position: its own, else that of the place with the likest address on its road or in its quarter."""
+    return estimate_locations(v.places)
+
+
+def estimate_locations(rows: DataFrame) -> DataFrame:
+    """(seq, lat, lng, from_seq, source, confidence) of every row: given, estimated or none.
+
+    A row without latitude takes the position of the located row that shares its road or its quarter and whose address
+    has the most characters in common with its own (Jaccard over distinct characters; ties: first row). Two rows without
+    road, or without quarter, do not share it. Likeness depends on the characters only, so both sides are first reduced
+    to (part, set of characters) with its first located row; a road that holds a third of all rows is few sets.
+    """
+    parts = F.array(*[F.when(address_part(F.col("address"), p).isNotNull(), F.concat(F.lit(p), address_part(F.col("address"), p))) for p in ("road", "dong")])
+    chars = F.array_sort(letters(F.col("address")))
+    keyed = rows.select("seq", "lat", "lng", chars.alias("chars"), F.explode(F.filter(parts, lambda p: p.isNotNull())).alias("part"))
+    first = F.min_by(F.struct("seq", "lat", "lng"), "seq").alias("first")
+    known = keyed.where("lat IS NOT NULL AND lng IS NOT NULL").groupBy("part", F.col("chars").alias("theirs")).agg(first)
+    lost = keyed.where("lat IS NULL OR lng IS NULL")
+    alike = set_jaccard(F.col("chars"), F.col("theirs"))
+    # the greatest likeness and then the smallest row: the greatest of (likeness, -seq)
+    best = F.max_by("first", F.struct(alike, -F.col("first.seq"))).alias("best")
+    pairs = lost.select("part", "chars").distinct().join(known, "part")
+    by_set = pairs.groupBy("part", "chars").agg(best, F.max(alike).alias("alike"))
+    found = lost.select("seq", "part", "chars").join(by_set, ["part", "chars"]).groupBy("seq").agg(F.max_by("best", F.struct("alike", -F.col("best.seq"))).alias("best"))
+    own = F.col("lat").isNotNull() & F.col("lng").isNotNull()
+    out = rows.select("seq", "lat", "lng").join(found, "seq", "left")
+    return out.select(
+        "seq", F.when(own, F.col("lat")).otherwise(F.col("best.lat")).alias("lat"), F.when(own, F.col("lng")).otherwise(F.col("best.lng")).alias("lng"),
+        F.when(~own, F.col("best.seq")).alias("from_seq"), F.when(own, "given").when(F.col("best").isNotNull(), "estimated").otherwise("none").alias("source"),
+        F.when(own, 1.0).when(F.col("best").isNotNull(), ESTIMATE_CONFIDENCE).otherwise(0.0).alias("confidence"),
+    )

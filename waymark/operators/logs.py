@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -153,33 +153,93 @@ def delay_after(events: list[bool], delay: float = 2.0, low: float = 0.5, high:
     return delay, ok, failed
 
 
-def adaptive_delays(log: DataFrame, key: str, order: list[str], success: Column) -> DataFrame:
-    """(key, delay, n): the final delay of each key. Rows come sorted and are folded as they stream by, so no key is gathered."""
+def folded(log: DataFrame, key: str, order: list[str], columns: list[Column], start: tuple, step: Callable, schema: str) -> DataFrame:
+    """(key, state..., n): a state of each key after all its rows in order.
+
+    step(state, row values as lists) gives the next state. Rows come sorted and are folded as they stream by, so no key
+    is gathered; one key's rows are one sequence and stay in one task. Null keys make one state, an empty table no row.
+    """
+    names, width = [part.split()[0] for part in schema.split(",")], len(columns)
 
     def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        now, state, n = None, (2.0, 0, 0), 0
+        now, state, n, began = None, start, 0, False
         for batch in batches:
             out = []
-            for name, part in batch.groupby("key", sort=False):
-                if now is not None and name != now:
-                    out.append((now, state[0], n))
-                    state, n = (2.0, 0, 0), 0
-                now, n = name, n + len(part)
-                state = delay_after(part["ok"].tolist(), state[0], ok=state[1], failed=state[2])
-            yield pd.DataFrame(out, columns=["key", "delay", "n"])
-        if now is not None:
-            yield pd.DataFrame([(now, state[0], n)], columns=["key", "delay", "n"])
+            for name, part in batch.groupby("key", sort=False, dropna=False):
+                name = None if pd.isna(name) else name
+                if began and name != now:
+                    out.append((now, *state, n))
+                    state, n = start, 0
+                now, n, began = name, n + len(part), True
+                state = step(state, *(part[f"v{i}"].tolist() for i in range(width)))
+            yield pd.DataFrame(out, columns=["key", *names, "n"])
+        if began:
+            yield pd.DataFrame([(now, *state, n)], columns=["key", *names, "n"])
+
+    values = [c.alias(f"v{i}") for i, c in enumerate(columns)]
+    sort = [f"o{i}" for i in range(len(order))]
+    rows = log.select(F.col(key).alias("key"), *[F.col(c).alias(o) for c, o in zip(order, sort, strict=True)], *values)
+    rows = rows.repartition("key").sortWithinPartitions("key", *sort)
+    return rows.mapInPandas(fold, f"key long, {schema}, n long").withColumnRenamed("key", key)
+
+
+def adaptive_delays(log: DataFrame, key: str, order: list[str], success: Column) -> DataFrame:
+    """(key, delay, n): the final delay of each key."""
+
+    def step(state: tuple, outcomes: list[bool]) -> tuple:
+        return delay_after(outcomes, state[0], ok=state[1], failed=state[2])
+
+    return folded(log, key, order, [success], (2.0, 0, 0), step, "delay double, ok long, failed long").drop("ok", "failed")
 
-    rows = log.select(F.col(key).alias("key"), *order, success.alias("ok")).repartition("key").sortWithinPartitions("key", *order)
-    return rows.mapInPandas(fold, "key long, delay double, n long").withColumnRenamed("key", key)
 
+# each event as a struct of the state's own shape, folded in order
+DELAY_SQL = """WITH o AS (SELECT user_id, list({'delay': 0.0::DOUBLE, 'ok': (event_type <> 'error')::INT, 'failed': 0} ORDER BY ts, event_id) AS l FROM events GROUP BY user_id),
+f AS (SELECT user_id, len(l) AS n, list_reduce(l, lambda s, x: CASE WHEN x.ok = 1 AND s.ok = 4 THEN {'delay': greatest(0.5::DOUBLE, s.delay * 0.9::DOUBLE), 'ok': 0, 'failed': 0}
+  WHEN x.ok = 1 THEN {'delay': s.delay, 'ok': s.ok + 1, 'failed': 0}
+  ELSE {'delay': least(30.0::DOUBLE, s.delay * (1.5::DOUBLE + (s.failed + 1)::DOUBLE * 0.2::DOUBLE)), 'ok': 0, 'failed': s.failed + 1} END, {'delay': 2.0::DOUBLE, 'ok': 0, 'failed': 0}) AS s FROM o)
+SELECT user_id, round(s.delay, 6) AS delay, n FROM f"""
 
-@query()
+
+@query(DELAY_SQL)
 def adaptive_delay(v):
     out = adaptive_delays(v.crawl_log, "user_id", ["created_at", "id"], F.col("status") == "completed")
     return out.withColumn("delay", F.round("delay", 6))
 
 
+#: Fixed values of a host's health: loss and gain of an outcome, failures that switch it off, idle seconds that switch it on.
+LOSS, GAIN, OFF_AFTER, IDLE_S = 10, 5, 3, 3600
+
+
+def health_after(state: tuple, outcomes: list[bool], seconds: list[float]) -> tuple:
+    """(score, failures, active, last) after outcomes at times in order; an idle hour forgives a host that is off."""
+    score, failures, active, last = state
+    for ok, at in zip(outcomes, seconds, strict=True):
+        if not active and at - last > IDLE_S:
+            active, failures = True, 0
+        if ok:
+            score, failures = min(100, score + GAIN), max(0, failures - 1)
+        else:
+            score, failures = max(0, score - LOSS), failures + 1
+            active = active and failures < OFF_AFTER
+        last = at
+    return score, failures, active, last
+
+
+@query(f"""WITH o AS (SELECT user_id % 50 AS host, list({{'score': (status = 'completed')::INT, 'failures': 0, 'active': true, 'last': epoch_us(created_at)}} ORDER BY created_at, id) AS l FROM crawl_log GROUP BY 1),
+f AS (SELECT host, len(l) AS n, list_reduce(l, lambda s, x: CASE WHEN x.score = 1 THEN {{'score': least(100, s.score + {GAIN}),
+  'failures': CASE WHEN NOT s.active AND x.last - s.last > {IDLE_S * 1_000_000}::BIGINT THEN 0 ELSE greatest(0, s.failures - 1) END, 'active': s.active OR x.last - s.last > {IDLE_S * 1_000_000}::BIGINT, 'last': x.last}}
+  WHEN NOT s.active AND x.last - s.last > {IDLE_S * 1_000_000}::BIGINT THEN {{'score': greatest(0, s.score - {LOSS}), 'failures': 1, 'active': true, 'last': x.last}}
+  ELSE {{'score': greatest(0, s.score - {LOSS}), 'failures': s.failures + 1, 'active': s.active AND s.failures + 1 < {OFF_AFTER}, 'last': x.last}} END,
+  {{'score': 100, 'failures': 0, 'active': true, 'last': 0::BIGINT}}) AS s FROM o)
+SELECT host, CAST(s.score AS BIGINT) AS score, CAST(s.failures AS BIGINT) AS failures, s.active AS active, n FROM f""")
+def host_health(v):
+    """Score, failures and use of each host after its whole log."""
+    log = v.crawl_log.withColumn("host", F.col("user_id") % 50)
+    at = F.unix_micros(F.col("created_at").cast("timestamp")) / 1e6
+    out = folded(log, "host", ["created_at", "id"], [F.col("status") == "completed", at], (100, 0, True, 0.0), health_after, "score long, failures long, active boolean, last double")
+    return out.drop("last")
+
+
 @query("WITH d(name, tier, expected) AS (VALUES " + ", ".join(f"('{d[0]}', {d[1]}, {d[2]})" for d in DISTRICTS) + """)
 SELECT CAST(t AS BIGINT) AS tier, count(name) AS districts, CAST(coalesce(sum(expected), 0) AS BIGINT) AS expected FROM (SELECT unnest(range(1, 6)) AS t) s LEFT JOIN d ON d.tier = t GROUP BY t""")
 def coverage_by_tier(v):

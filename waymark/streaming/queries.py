@@ -6,6 +6,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from waymark.operators.logs import DELAY_SQL
 from waymark.plans.durable import shared_dir
 from waymark.plans.registry import query
 from waymark.streaming.windows import adaptive_delays, hourly_failures, read_events
@@ -31,9 +32,9 @@ def stream_failure_hourly(v):
     return out.select(F.col("hour").cast("timestamp_ntz").alias("hour"), "n")
 
 
-@query()
+@query(DELAY_SQL)
 def stream_adaptive_delay(v):
-    """Delays per key after the last batch; tests hold them against the batch form."""
+    """Delays per key after the last batch. Outcomes count in order within a batch, so files are to arrive in order."""
     out = _complete(v, adaptive_delays(read_events(v.spark, f"{v.sf_dir}/events.parquet"), "user_id"), "update")
     last = out.groupBy("user_id").agg(F.max_by("delay", "batch_").alias("delay"), F.max_by("n", "batch_").alias("n"))
     return last.withColumn("delay", F.round("delay", 6))
