@@ -187,3 +187,49 @@ def test_streams(spark, tmp_path):
     failures = stream.withColumn("error_message", F.lit("No such element"))
     windows.run_available(windows.failure_patterns(failures), f"{tmp_path}/p", f"{tmp_path}/pc")
     assert read(spark, f"{tmp_path}/p").where("NOT changed").count() == 0
+
+
+def test_folded_states_equal_the_loop(spark):
+    from waymark.operators.logs import folded, health_after
+
+    start = (100, 0, True, 0.0)
+    rows = [(None if k == 4 else k, i, (i * 7 + k) % 4 == 0, float(i * 900 + (5000 if i % 11 == 0 else 0))) for k in range(5) for i in range(60)]
+    log = spark.createDataFrame(rows, "host long, i long, ok boolean, at double")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 7)
+    try:
+        schema = "score long, failures long, active boolean, last double"
+        got = folded(log, "host", ["i"], [F.col("ok"), F.col("at")], start, health_after, schema).collect()
+        assert folded(log.limit(0), "host", ["i"], [F.col("ok"), F.col("at")], start, health_after, schema).collect() == []
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    want = {}
+    for host, i, ok, at in rows:
+        want.setdefault(host, []).append((ok, at))
+    assert len(got) == len(want)
+    for r in got:
+        state = health_after(start, *map(list, zip(*want[r.host])))
+        assert (r.score, r.failures, r.active, r.last, r.n) == (*state, 60)
+
+
+def test_health_of_a_host():
+    from waymark.operators.logs import health_after
+
+    off = health_after((100, 0, True, 0.0), [False] * 3, [1.0, 2.0, 3.0])
+    assert off == (70, 3, False, 3.0)
+    assert health_after(off, [True], [3603.0]) == (75, 2, False, 3603.0)
+    assert health_after(off, [False], [3604.0]) == (60, 1, True, 3604.0)
+
+
+def test_estimated_locations_ties_and_missing_parts(spark):
+    from waymark.operators.entity import estimate_locations
+
+    rows = [
+        (1, "서울 강남구 가나로 12", 37.1, 127.1), (2, "서울 강남구 가나로 12", 37.2, 127.2), (3, "서울 강남구 가나로 99", 37.3, 127.3),
+        (4, "서울 강남구 가나로 12", None, None), (5, "부산", None, None), (6, "부산", 35.1, 129.1), (7, None, None, None),
+        (8, "서울 다라동 5", 37.8, 127.8), (9, "가나로 다라동 5", None, None), (10, "마바로 1", None, 127.0),
+    ]
+    got = {r.seq: r for r in estimate_locations(spark.createDataFrame(rows, "seq long, address string, lat double, lng double")).collect()}
+    assert (got[4].from_seq, got[4].lat, got[4].lng, got[4].source, got[4].confidence) == (1, 37.1, 127.1, "estimated", 0.6)
+    assert got[9].from_seq == 8
+    assert [got[i].source for i in (1, 5, 6, 7, 10)] == ["given", "none", "given", "none", "none"]
+    assert got[5].lat is None and got[10].lng is None and got[1].from_seq is None
