@@ -148,6 +148,29 @@ def op10_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
 
 
+def ranks_path() -> str:
+    """Rank file of op13: WAYMARK_RANKS, else the public one that is installed."""
+    if path := os.environ.get("WAYMARK_RANKS"):
+        return path
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.tiktoken")
+
+
+def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .bytebpe import decode, encode, read_ranks
+
+    tokens = read_ranks(ranks_path())
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    coded = decode(encode(docs, tokens).drop("text"), tokens)
+    return coded.select(
+        "doc_id",
+        F.size("ids_").cast("long").alias("n_tokens"),
+        F.sha2(F.concat_ws(" ", F.col("ids_").cast("array<string>")), 256).alias("ids_sha256"),
+        F.sha2("decoded_", 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op2_sentencepiece": op2_sentencepiece,
@@ -159,4 +182,5 @@ QUERIES = {
     "op8_lines": op8_lines,
     "op9_passages": op9_passages,
     "op10_neighbours": op10_neighbours,
+    "op13_byte_bpe": op13_byte_bpe,
 }
