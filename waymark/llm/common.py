@@ -12,7 +12,7 @@ from waymark.functions.columns import let
 from waymark.plans.durable import components, forget, free_name, small_side
 from waymark.plans.durable import written as materialise
 
-__all__ = ["append_columns", "ascii_lower", "components", "forget", "free_name", "held_out", "let", "materialise", "renamed", "sliding", "small_side"]
+__all__ = ["append_columns", "ascii_lower", "components", "forget", "free_name", "held_out", "let", "materialise", "portions", "renamed", "sliding", "small_side"]
 
 
 def ascii_lower(text: Column) -> Column:
@@ -46,10 +46,24 @@ def sliding(array: Column, width: int, combine: Callable[[Column, Column], Colum
     return whole
 
 
-def append_columns(df: DataFrame, fields: str, make: Callable) -> DataFrame:
+def portions(batch, column: str, size: int):
+    """The batch in slices of consecutive rows whose texts or lists hold about size bytes or elements together."""
+    import numpy as np
+    import pyarrow.compute as pc
+
+    array = batch.column(column)
+    lengths = pc.list_value_length(array) if array.type.num_fields else pc.binary_length(array)
+    group = np.cumsum(np.asarray(pc.fill_null(lengths, 0), np.int64)) // size
+    ends = [*(np.flatnonzero(np.diff(group)) + 1).tolist(), batch.num_rows]
+    for start, end in zip([0, *ends], ends, strict=False):
+        yield batch.slice(start, end - start)
+
+
+def append_columns(df: DataFrame, fields: str, make: Callable, by: str | None = None, size: int = 1 << 21) -> DataFrame:
     """All columns of df and new ones: make gets an Arrow record batch and returns one array per field of the DDL.
 
-    A column of df that has the name of a new one is replaced by it.
+    A column of df that has the name of a new one is replaced by it. by: make gets slices of a batch that hold
+    about size bytes (or elements) of this column, so that what it needs does not grow with the rows of a batch.
     """
     import pyarrow as pa
     from pyspark.sql import types as T
@@ -58,9 +72,10 @@ def append_columns(df: DataFrame, fields: str, make: Callable) -> DataFrame:
     df = df.drop(*added.names)
 
     def run(batches):
-        for batch in batches:
-            columns = [*batch.columns, *make(batch)]
-            yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names, *added.names])
+        for whole in batches:
+            for batch in portions(whole, by, size) if by else [whole]:
+                columns = [*batch.columns, *make(batch)]
+                yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names, *added.names])
 
     return df.mapInArrow(run, T.StructType([*df.schema.fields, *added.fields]))
 

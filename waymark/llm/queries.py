@@ -148,6 +148,48 @@ def op10_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
 
 
+def with_periods(docs: DataFrame) -> DataFrame:
+    """The texts that op12 reads: of the documents whose id's CRC-32 divides by 10, words from one on repeat a stretch.
+
+    Null ids have no checksum; their texts stay.
+    """
+    from .common import let
+
+    check = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    mixed = F.floor(check / 10)
+
+    def repeated(words):
+        n = F.size(words)
+        return let(mixed % n, lambda a: let((1 + F.floor((n - a) / (3 + mixed % 8))).cast("int"), lambda p: tiled(words, n, a.cast("int"), p)))
+
+    def tiled(words, n, a, p):
+        stretch = F.flatten(F.array_repeat(F.slice(words, a + 1, p), F.ceil((n - a) / p).cast("int")))
+        return F.array_join(F.concat(F.slice(words, F.lit(1), a), F.slice(stretch, F.lit(1), n - a)), " ")
+
+    words = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    new = let(words, lambda w: F.when(F.size(w) > 0, repeated(w)).otherwise(F.col("text")))
+    return docs.withColumn("text", F.when((check % 10 == 0) & F.col("text").isNotNull(), new).otherwise(F.col("text")))
+
+
+def op12_periodic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .periodic import periodic_runs
+
+    out = periodic_runs(with_periods(table(spark, sf_dir, "documents").select("doc_id", "text"))).drop("text")
+    best = F.array_min(F.transform("runs_", lambda r: F.struct((-r["length"]).alias("shorter"), r["start"].alias("start"), r["period"].alias("period"))))
+    told = F.transform("runs_", lambda r: F.concat_ws(",", *(r[k].cast("string") for k in ("start", "length", "period"))))
+    out = out.withColumn("best", best)
+    return out.select(
+        "doc_id",
+        F.size("runs_").cast("long").alias("n_runs"),
+        F.col("best.start").alias("start"),
+        (-F.col("best.shorter")).alias("length"),
+        F.col("best.period").alias("period"),
+        F.expr("-1000 * best.shorter div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform(told, lambda t: F.concat(t, F.lit("\n"))), ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed_", 256).alias("collapsed_sha256"),
+    )
+
+
 def ranks_path() -> str:
     """Rank file of op13: WAYMARK_RANKS, else the public one that is installed."""
     if path := os.environ.get("WAYMARK_RANKS"):
@@ -182,5 +224,6 @@ QUERIES = {
     "op8_lines": op8_lines,
     "op9_passages": op9_passages,
     "op10_neighbours": op10_neighbours,
+    "op12_periodic": op12_periodic,
     "op13_byte_bpe": op13_byte_bpe,
 }
