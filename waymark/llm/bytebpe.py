@@ -43,7 +43,7 @@ CONTROL_SPACES = (9, 10, 11, 12, 13, 0x85)
 #: Characters that are scanned together, and the length of a block of the scan.
 TOGETHER, BLOCK = 1 << 20, 256
 #: Slices kept with their ids per worker, the longest kept, and the longest that is merged by plain passes.
-KEPT, KEPT_BYTES, SHORT = 250_000, 64, 128
+KEPT, KEPT_BYTES, SHORT = 100_000, 64, 128
 #: Rank of a pair that is no token.
 NEVER = 1 << 30
 
@@ -329,7 +329,7 @@ def encode(docs: DataFrame, tokens: list[bytes], text: str = "text") -> DataFram
         at = pa.array(ends.astype(np.int32))
         return [pa.ListArray.from_arrays(at, pa.array(ids), mask=mask), pa.ListArray.from_arrays(at, pa.array(offsets), mask=mask)]
 
-    return append_columns(docs, "ids_ array<int>, offsets_ array<int>", make)
+    return append_columns(docs, "ids_ array<int>, offsets_ array<int>", make, by=text)
 
 
 def decode(coded: DataFrame, tokens: list[bytes], ids: str = "ids_", offsets: str = "offsets_") -> DataFrame:
@@ -349,7 +349,7 @@ def decode(coded: DataFrame, tokens: list[bytes], ids: str = "ids_", offsets: st
         data = ranks.decode(values, np.repeat(starts, each) + np.asarray(at.flatten()), int(sizes.sum()))
         return [pa.array([data[a : a + n] if ok else None for a, n, ok in zip(starts.tolist(), sizes.tolist(), there, strict=True)], pa.binary())]
 
-    return append_columns(coded, "decoded_ binary", make)
+    return append_columns(coded, "decoded_ binary", make, by=ids)
 
 
 def decode_span(coded: DataFrame, tokens: list[bytes], start: str, stop: str, ids: str = "ids_", offsets: str = "offsets_") -> DataFrame:
