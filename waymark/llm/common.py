@@ -59,25 +59,28 @@ def portions(batch, column: str, size: int):
         yield batch.slice(start, end - start)
 
 
-def append_columns(df: DataFrame, fields: str, make: Callable, by: str | None = None, size: int = 1 << 21) -> DataFrame:
+def append_columns(df: DataFrame, fields: str, make: Callable, by: str | None = None, size: int = 1 << 21, without: str | None = None) -> DataFrame:
     """All columns of df and new ones: make gets an Arrow record batch and returns one array per field of the DDL.
 
     A column of df that has the name of a new one is replaced by it. by: make gets slices of a batch that hold
     about size bytes (or elements) of this column, so that what it needs does not grow with the rows of a batch.
+    without: a column that make reads and the result leaves out.
     """
     import pyarrow as pa
     from pyspark.sql import types as T
 
     added = T.StructType.fromDDL(fields)
     df = df.drop(*added.names)
+    passed = [f for f in df.schema.fields if f.name != without]
+    names = [f.name for f in passed]
 
     def run(batches):
         for whole in batches:
             for batch in portions(whole, by, size) if by else [whole]:
-                columns = [*batch.columns, *make(batch)]
-                yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names, *added.names])
+                columns = [*(c for c, name in zip(batch.columns, batch.schema.names, strict=True) if name != without), *make(batch)]
+                yield pa.RecordBatch.from_arrays(columns, [*names, *added.names])
 
-    return df.mapInArrow(run, T.StructType([*df.schema.fields, *added.fields]))
+    return df.mapInArrow(run, T.StructType([*passed, *added.fields]))
 
 
 def held_out(key: str) -> Column:

@@ -40,4 +40,31 @@ SELECT conv_id, count(*) AS n_turns,
 FROM each GROUP BY conv_id
 """
 
-ORACLES = {"op1_decontaminate": OP1, "op6_chat": OP6}
+OP11 = r"""
+WITH cells AS (SELECT list(list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, z: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END) ORDER BY i) AS cell
+  FROM (SELECT CAST(unnest(range(256)) AS BIGINT) AS i)),
+docs AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+aims AS (SELECT unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS word FROM benchmark),
+terms AS (SELECT r, unnest(w) AS word FROM docs),
+hexes AS (SELECT word, hex(word) AS x FROM (SELECT word FROM terms UNION SELECT word FROM aims)),
+codes AS (SELECT word, list_transform(range(0, length(x) // 2), lambda i: CAST(
+    16 * (instr('0123456789ABCDEF', x[2 * i + 1 : 2 * i + 1]) - 1) + instr('0123456789ABCDEF', x[2 * i + 2 : 2 * i + 2]) - 1 AS BIGINT)) AS bytes FROM hexes),
+hashed AS (SELECT word, xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), bytes), lambda c, b: xor(c >> 8, cell[(xor(c, b) & 255) + 1])), 4294967295) % 10000 AS bucket
+  FROM codes, cells),
+s AS (SELECT bucket, count(*) AS n FROM terms JOIN hashed USING (word) GROUP BY bucket),
+t AS (SELECT bucket, count(*) AS n FROM aims JOIN hashed USING (word) GROUP BY bucket),
+gains AS (SELECT s.bucket, CAST(floor(1000 * ln((coalesce(t.n, 0) + 1)::DOUBLE * ((SELECT sum(n) FROM s) + 10000)::DOUBLE
+    / ((s.n + 1)::DOUBLE * ((SELECT coalesce(sum(n), 0) FROM t) + 10000)::DOUBLE))) AS BIGINT) AS gain FROM s LEFT JOIN t USING (bucket)),
+weights AS (SELECT r, sum(gain) AS weight FROM terms JOIN hashed USING (word) JOIN gains USING (bucket) GROUP BY r),
+drawn AS (SELECT r, doc_id, len(w) AS n_features, coalesce(weight, 0) AS weight, list_reduce(list_prepend(CAST(0 AS BIGINT), list_transform(range(1, 9),
+    lambda i: CAST(instr('0123456789abcdef', sha256('2024:' || coalesce(CAST(doc_id AS VARCHAR), ''))[i : i]) - 1 AS BIGINT))), lambda a, d: a * 16 + d) AS h FROM docs LEFT JOIN weights USING (r)),
+scored AS (SELECT *, weight + CAST(floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296::DOUBLE))) AS BIGINT) AS score FROM drawn),
+ranks AS (SELECT r, row_number() OVER (ORDER BY score DESC, doc_id NULLS FIRST) AS rank, count(*) OVER () AS n FROM scored WHERE n_features >= 20)
+SELECT doc_id, CAST(n_features AS BIGINT) AS n_features, CAST(weight AS BIGINT) AS weight, CAST(score AS BIGINT) AS score,
+  CAST(CASE WHEN rank <= n * 10 // 100 THEN rank END AS BIGINT) AS rank
+FROM scored LEFT JOIN ranks USING (r)
+"""
+
+ORACLES = {"op1_decontaminate": OP1, "op6_chat": OP6, "op11_importance": OP11}

@@ -148,6 +148,13 @@ def op10_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
 
 
+def op11_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .importance import importance_sample
+
+    out = importance_sample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return out.select("doc_id", *(F.col(f"{name}_").alias(name) for name in ("features", "weight", "score", "rank"))).withColumnRenamed("features", "n_features")
+
+
 def with_periods(docs: DataFrame) -> DataFrame:
     """The texts that op12 reads: of the documents whose id's CRC-32 divides by 10, words from one on repeat a stretch.
 
@@ -224,6 +231,7 @@ QUERIES = {
     "op8_lines": op8_lines,
     "op9_passages": op9_passages,
     "op10_neighbours": op10_neighbours,
+    "op11_importance": op11_importance,
     "op12_periodic": op12_periodic,
     "op13_byte_bpe": op13_byte_bpe,
 }
