@@ -114,13 +114,18 @@ def priced_lines(v):
     return found.select("id", F.col("rank").cast("long").alias("rank"), "x.price", "x.recommended")
 
 
-def script_coordinates(script: Column) -> Column:
-    """(lat, lng) by the first pair of names that both have a number; null outside the country."""
+def script_pair(script: Column) -> Column:
+    """(lat, lng) by the first pair of names that both have a number."""
     pairs = []
     for lat, lng in COORDINATES:
         y, x = (extract(script, f"(?i){n}{NUMBER}").try_cast("double") for n in (lat, lng))
         pairs.append(F.when(y.isNotNull() & x.isNotNull(), F.struct(y.alias("lat"), x.alias("lng"))))
-    found = F.coalesce(*pairs)
+    return F.coalesce(*pairs)
+
+
+def script_coordinates(script: Column) -> Column:
+    """The coordinates of a script; null outside the country."""
+    found = script_pair(script)
     return F.when(within(found["lat"], found["lng"], KOREA), found)
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from waymark.operators import details, entity, grid, lifecycle, logs, migrate, quality, reports, search, stats  # noqa: F401
+from waymark.operators import detail_pages, details, entity, grid, lifecycle, logs, migrate, opening, quality, reports, search, stats  # noqa: F401
 from waymark.plans.registry import ORACLES, QUERIES
 from waymark.sources import pages  # noqa: F401
 from waymark.streaming import queries as streaming  # noqa: F401

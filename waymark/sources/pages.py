@@ -9,23 +9,12 @@ from waymark.functions.columns import extract
 from waymark.functions.text import first_link, strip_ordinal
 from waymark.plans.registry import query
 
-#: What a list scan keeps of each entry of a page's embedded list.
-POI = "struct<list:array<struct<v_rid:string,nm:string,addr:string,phone:string,lat:double,lng:double,score:double>>>"
-
-
 def unescape_html(text: Column) -> Column:
     for written, raw in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")):
         text = F.replace(text, F.lit(written), F.lit(raw))
     return text
 
 
-def embedded_list(json: Column) -> Column:
-    """Entries of a list-section text that have an id and a name, with ordinals taken off the names."""
-    entries = F.from_json(json, POI)["list"]
-    kept = F.filter(entries, lambda e: (F.coalesce(e["v_rid"], F.lit("")) != "") & (F.coalesce(e["nm"], F.lit("")) != ""))
-    return F.transform(kept, lambda e: F.struct(e["v_rid"].alias("place_id"), strip_ordinal(e["nm"]).alias("name"), e["addr"].alias("address"), e["lat"].alias("lat"), e["lng"].alias("lng"), e["score"].alias("score")))
-
-
 @query(r"""SELECT page_id, count(*) AS links, count(DISTINCT u) AS distinct_links FROM (SELECT page_id, unnest(regexp_extract_all(html, 'href="([^"]+)"', 1)) AS u FROM pages) x GROUP BY page_id""")
 def page_links(v):
     links = F.regexp_extract_all("html", F.lit('href="([^"]+)"'), 1)

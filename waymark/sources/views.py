@@ -48,6 +48,18 @@ SELECT p_partkey AS id, CASE p_partkey % 6 WHEN 0 THEN '영업시간: 11:30 - 23
   WHEN 1 THEN '7월 4일(금) 7월 5일(토) 영업시간: 11:00 - 23:00 영업시간: 16:00 - 22:00 브레이크타임 15:00~16:00'
   WHEN 2 THEN '오늘(목) 영업시간: 00:00 - 24:00' WHEN 3 THEN '18:00~02:00 월요일 휴무'
   WHEN 4 THEN '25:10 - 26:70' ELSE NULL END AS hours_text FROM {part}""",
+    "hours_lines": """
+SELECT id, CASE WHEN id % 17 = 0 THEN NULL WHEN id % 17 = 1 THEN '' ELSE CONCAT(
+  CASE id % 4 WHEN 0 THEN '영업 중\n' WHEN 1 THEN '오늘 09:00 - 10:00\n' ELSE '' END,
+  SUBSTR('월화수목금토일', CAST(1 + id % 7 AS INT), 1), '요일 ',
+  CASE size % 4 WHEN 0 THEN CONCAT('영업시간: ', LPAD(CAST(8 + id % 5 AS STRING), 2, '0'), ':30 - ', CAST(20 + id % 4 AS STRING), ':00')
+    WHEN 1 THEN CONCAT('오전 ', CAST(7 + id % 6 AS STRING), '시 ~ 오후 ', CAST(8 + id % 5 AS STRING), '시')
+    WHEN 2 THEN CONCAT(CAST(9 + id % 3 AS STRING), '시-', CAST(21 + id % 3 AS STRING), '시') ELSE CONCAT(CAST(9 + id % 3 AS STRING), ':00~', CAST(18 + id % 5 AS STRING), ':30') END, '\n',
+  CASE WHEN id % 11 = 0 THEN '' ELSE SUBSTR('월화수목금토일', CAST(1 + (id + size) % 7 AS INT), 1) END, ': ', CASE id % 3 WHEN 0 THEN '휴무' WHEN 1 THEN '11:00-22:00' ELSE '' END, '\n',
+  CASE WHEN id % 6 < 2 THEN CONCAT('11:00 ~ 21:', CAST(10 + size % 50 AS STRING), '\n') ELSE '' END,
+  CASE id % 5 WHEN 0 THEN CONCAT('휴무일: ', SUBSTR('월화수목금토일', CAST(1 + size % 7 AS INT), 1)) WHEN 1 THEN CONCAT('매주 ', SUBSTR('월화수목금토일', CAST(1 + size % 7 AS INT), 1), '요일 휴무')
+    WHEN 2 THEN '7월 5일(토) 12:00 - 20:00' WHEN 3 THEN '화 11:00-22:00' ELSE '' END) END AS lines
+FROM (SELECT p_partkey AS id, p_size AS size FROM {part}) p""",
     "menu_json": """
 SELECT p_partkey AS id, CASE WHEN p_partkey % 9 = 0 THEN NULL WHEN p_partkey % 9 = 1 THEN '[]'
   ELSE CONCAT('[{{"name":"', p_name, '","price":"', CAST(p_size * 1000 AS STRING), '원","price_numeric":', CAST(p_size * 1000 AS STRING),
@@ -91,6 +103,29 @@ SELECT p_partkey AS id, p_name AS name,
   CONCAT(CASE p_partkey % 3 WHEN 0 THEN 'https://i/' WHEN 1 THEN '//i/' ELSE 'data:' END, CAST(p_partkey AS STRING), '|http://j/', CAST(p_partkey % 9 AS STRING), '||ftp://k|https://m|https://n|https://o|https://q|https://m') AS image_list,
   CASE p_partkey % 6 WHEN 0 THEN '폐업 안내, 운영중단' WHEN 1 THEN '준비중입니다' WHEN 2 THEN '준비중 오픈 예정' WHEN 3 THEN '리모델링 후 이전' WHEN 4 THEN NULL ELSE '정상 영업' END AS notice
 FROM {part}""",
+    "list_json": """
+SELECT seq AS page_id, name AS keyword, address AS rect_area, CASE WHEN seq % 41 = 0 THEN 'no list' WHEN seq % 43 = 0 THEN '{{}}' ELSE CONCAT('{{"poi_section":{{"list":[{{"v_rid":"', place_id, '","nm":"', CASE WHEN seq % 6 = 0 THEN '' ELSE name END,
+  '","branch":"', CASE seq % 3 WHEN 0 THEN '강남점' ELSE '' END, '","addr":"', address, '","road_addr":"', address, ' 1층","phone":"02-', LPAD(CAST(seq % 10000 AS STRING), 4, '0'), '-1234","distance":"', CAST(seq % 90 AS STRING), 'm","category":"고기",',
+  CASE WHEN seq % 4 = 0 THEN '' ELSE CONCAT('"lat":37.', CAST(seq % 90 + 10 AS STRING), '1,"lng":126.', CAST(seq % 80 + 10 AS STRING), '1,') END, '"score":', CAST(seq % 100 AS STRING), ',"user_score":', CAST(seq % 5 AS STRING), '.5,',
+  CASE WHEN seq % 5 = 0 THEN '' ELSE CONCAT('"review_cnt":', CAST(seq % 70 AS STRING), ',"image_list":["https://i/', place_id, '","https://j/1"],"keyword":["회식","', CAST(seq % 9 AS STRING), '"],') END, '"open_status":"영업 중"}},{{"v_rid":"', place_id,
+  'b","nm":"둘째 ', name, '"}},{{"nm":"번호 없음"}}]}}}}') END AS list_data FROM {places}""",
+    "list_pages": """
+SELECT seq AS page_id, CONCAT('<html><body><div class="List"><a class="PoiBlock New" href="', CASE WHEN seq % 5 = 0 THEN '/x.php?id=1' ELSE CONCAT('/profile.php?k=1&amp;rid=R', place_id, '&amp;z=2') END, '" ',
+  CASE seq % 3 WHEN 0 THEN 'data-lat' ELSE 'data-latitude' END, '="', CASE WHEN seq % 6 = 0 THEN 'n/a' ELSE CONCAT('37.', CAST(seq % 90 + 10 AS STRING)) END, '" ', CASE seq % 4 WHEN 0 THEN '' WHEN 1 THEN CONCAT('data-lng="127.', CAST(seq % 8 + 1 AS STRING), '"') ELSE CONCAT('data-longitude="126.', CAST(seq % 80 + 10 AS STRING), '"') END, '>',
+  CASE WHEN seq % 7 = 0 THEN '' ELSE CONCAT('<h2>', CASE seq % 4 WHEN 0 THEN '12. ' WHEN 1 THEN '3.' WHEN 2 THEN '7 ' ELSE '' END, name, CASE seq % 3 WHEN 0 THEN '<span class="Info__Title__Place">강남점 </span>' ELSE '' END, '</h2>') END,
+  '<p class="Score"><span>', CASE WHEN seq % 8 = 0 THEN '8.5' ELSE CAST(seq % 100 AS STRING) END, '</span></p><span class="score-text">', CASE WHEN seq % 9 = 0 THEN '-' ELSE CONCAT(CAST(seq % 5 AS STRING), '.4') END, '</span><span class="Category">고기</span> <span class="Category"> </span><span class="Category">뷔페 &amp; 회</span></a>',
+  '<a class="Other" href="/profile.php?rid=no"><h2>다른 곳</h2></a><a class="PoiBlock" href="/profile.php?rid=S', place_id, '"><h2>', CAST(seq % 30 AS STRING), '. ', address, '</h2></a></div>', CASE WHEN seq % 2 = 0 THEN '</body></html>' ELSE '' END) AS html FROM {places}""",
+    "detail_pages": """
+SELECT id AS page_id, CONCAT('<!DOCTYPE html><html><head><title>', name, '</title><script>', script, '</script><script type="text/javascript">', menu_script, '</script></head><body><h1>', name, '</h1><!-- <p>메뉴정보</p> -->\n',
+  CASE id % 9 WHEN 0 THEN '' WHEN 1 THEN '<div class="menu-box"><p>메뉴정보</p><div>준비중</div></div>' ELSE CONCAT('<div class="menu-box"><p>메뉴정보</p><ul><li><p>', raw_menu, '</p><p>', CAST(5 + id % 30 AS STRING), ',900원</p></li><li><p>공기밥&amp;찌개 추천</p><p>',
+    CASE WHEN id % 6 = 0 THEN ',' ELSE CONCAT(CAST(1 + id % 3 AS STRING), ',000') END, ' 원</p></li><li><p>음료</p><p>0원</p></li><li><p>', name, '</p><p>시가</p></li><li><p>', name, '</p></li></ul></div>') END, '\n<ul><li>주차 가능</li>',
+  CASE id % 5 WHEN 0 THEN '' WHEN 1 THEN '<li>영업시간: <b>25:10 - 26:70</b></li>' ELSE CONCAT('<li>영업시간: <b>', LPAD(CAST(9 + id % 4 AS STRING), 2, '0'), ':00 - 22:30</b> 라스트오더: 21:', CAST(10 + id % 50 AS STRING), CASE WHEN id % 2 = 0 THEN ' 브레이크타임 15:00~16:00 월요일 휴무' ELSE '' END, '</li><li>휴무 없음</li>') END,
+  '</ul>\n<img src="', SPLIT_PART(image_list, '|', 1), '">', CASE WHEN id % 6 = 0 THEN '' ELSE CONCAT('<img alt="a > b" src="', SPLIT_PART(image_list, '|', 2), '"/><img src="https://m">') END,
+  '<p class="desc-intro">', COALESCE(notice, ''), CASE WHEN id % 4 = 0 THEN ' 전통 있는 무한리필 고기집' ELSE '' END, '</p><div class="summary">짧다</div>\n<div class="info">', section, '</div>\n',
+  CASE WHEN id % 7 = 0 THEN '<a href="/list.dc?query=4">강남구 맛집</a>' ELSE CONCAT('<a href="/list.dc?query=1">서울특별시</a> <a href="/list.dc?query=2">', CASE id % 3 WHEN 0 THEN '강남구' WHEN 1 THEN '마포구' ELSE '서울' END,
+    '</a><a href="/list.dc?query=3">강남구 맛집</a><a href="/list.dc?query=2">강남구</a><a href="/list.dc?query=5">', CASE id % 4 WHEN 0 THEN '역삼동' WHEN 1 THEN '테헤란로 12' ELSE '동' END, '</a><a href="/list.dc?query=6">', CAST(1 + id % 300 AS STRING), '번지</a>') END,
+  '\n<footer>전화 ', CASE id % 4 WHEN 0 THEN CONCAT('02-', LPAD(CAST(id % 10000 AS STRING), 4, '0'), '-1234') WHEN 1 THEN '없음' WHEN 2 THEN CONCAT('021', LPAD(CAST(id % 10000000 AS STRING), 7, '0')) ELSE '012-345-6789' END,
+  ' <a href="https://www.own.example/1">own</a>', CASE WHEN id % 3 = 0 THEN '' ELSE CONCAT('<a href="http://shop', CAST(id % 50 AS STRING), '.example/">web</a>') END, '</footer>', CASE WHEN id % 3 = 0 THEN '' ELSE '</body></html>' END) AS html FROM {details}""",
     "rects": """
 SELECT nation_id AS rect_id, MIN(lat) AS min_lat, MIN(lng) AS min_lng, MIN(lat) + 0.05 AS max_lat, MIN(lng) + 0.05 AS max_lng
 FROM {places} WHERE lat IS NOT NULL GROUP BY nation_id""",
