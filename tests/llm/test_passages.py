@@ -3,7 +3,7 @@ import random
 import numpy as np
 import pyarrow as pa
 
-from waymark.llm.passages import LEAST, REACH, _classes, compact_windows, digests, grow, mix, passage_classes, shingles, similar, sketches
+from waymark.llm.passages import LEAST, REACH, _classes, compact_windows, digests, grow, may_match, mix, passage_classes, shingles, similar, sketches
 
 
 def test_compact_windows_against_brute_force():
@@ -122,6 +122,56 @@ def test_links_are_found_through_members_of_a_class():
     assert sorted(r["a"] for r in found if r["around"] is not None) == [1, 2, 3]
 
 
+def test_rows_without_id_link_others(spark):
+    rng = random.Random(21)
+
+    def prose(n):
+        return " ".join("".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(n))
+
+    one, two, alone = prose(80), prose(80), prose(90)
+    docs = [(1, f"{prose(40)} {one}"), (2, f"{two} {prose(40)}"), (3, prose(200)), (None, f"{one} {prose(60)} {two}"), (None, prose(100)), (None, alone), (None, f"{alone} {prose(5)}")]
+    docs += [(None, docs[3][1])] * 3
+    got = passage_classes(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert len(got) == len(docs)
+    found = {r.doc_id: (r.class_id, r.repeated) for r in got if r.doc_id is not None}
+    assert found == {1: (1, True), 2: (1, True), 3: (3, False)}
+    assert sorted(((r.class_id, r.repeated) for r in got if r.doc_id is None), key=repr) == [(1, True)] * 4 + [(None, False)] + [(None, True)] * 2
+
+
+def test_sketches_let_every_similar_pair_through():
+    rng = np.random.default_rng(6)
+    rows, others = [], []
+    for k in range(30_000):
+        left, right = [(64, 64), (0, 64), (64, 0), (int(rng.integers(0, 65)), int(rng.integers(0, 65)))][k % 4]
+        if left + right + 1 < LEAST:
+            left = 64
+        a = np.zeros(2 * REACH + 1, "<u2")
+        a[REACH - left : REACH + right + 1] = rng.integers(1, 65000, left + right + 1)
+        b = a.copy()
+        misses = int(rng.integers(0, (left + right + 1) // 9 + 2))
+        at = int(rng.integers(REACH - left, max(REACH - left + 1, REACH + right + 2 - misses)))
+        if k % 3 == 0:
+            b[at : at + misses] = rng.integers(1, 65000, len(b[at : at + misses]))
+        elif k % 3 == 1:
+            places = rng.choice(np.arange(REACH - left, REACH + right + 1), min(misses, left + right + 1), replace=False)
+            b[places] = rng.integers(1, 65000, len(places))
+        else:
+            shift = int(rng.integers(-2, 3))
+            b[at:] = np.roll(a, shift)[at:]
+            b[at : at + misses] = rng.integers(1, 65000, len(b[at : at + misses]))
+            outside = a == 0
+            b[outside] = 0
+        rows.append(a)
+        others.append(b)
+    a, b = np.array(rows), np.array(others)
+    hit = np.flatnonzero(similar(a, b))
+    jaccard = np.array([len(set(a[i]) & set(b[i]) - {0}) / len((set(a[i]) | set(b[i])) - {0}) for i in hit])
+    passed = may_match(sketches(a), sketches(b))
+    assert (jaccard >= 0.8).sum() > 10_000 and passed[hit[jaccard >= 0.8]].all()
+    c = rng.integers(1, 65000, a.shape).astype("<u2")
+    assert may_match(sketches(c), sketches(c[::-1])).mean() < 0.06
+
+
 def test_chain_of_edits_does_not_depend_on_blocks(spark):
     rng = random.Random(8)
     words = ["".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(50)]

@@ -13,15 +13,17 @@ shifts of two words) is 0.8 or more. Of windows that a text repeats with equal s
 
 Under one key, classes of texts are grown breadth-first: each window of a class is compared with all windows of texts
 that no class has reached yet, which gives a spanning forest of the links among the texts. Sketches of the shingles
-around the centre come first: 64-bit masks whose difference is bounded for windows that share a passage. Keys with
+around the centre come first: 128-bit masks whose difference is bounded for windows that share a passage, by a bound
+that grows with the shorter window. Keys with
 more than `BLOCK` windows are dealt to blocks that first keep one of equal windows; texts that other keys have linked
 by then count as one, and every two blocks are compared in a task of their own.
-Equal texts are one text throughout. A document's class is the connected component
-over verified links, named by the smallest doc_id in it.
+Equal texts are one text throughout, and texts are the nodes, whatever ids their rows have. A document's class is the
+connected component over verified links, named by the smallest doc_id in it.
 
 Defined results: texts of fewer than `LEAST` + 4 words, empty and null ones have no passages and are classes of
-their own (class_id null where doc_id is); a passage that repeats within one text links nothing; repeated rows and
-ids stay; extra columns are ignored.
+their own (class_id null where doc_id is); rows without id link others as all do, and a class of such rows alone has a
+null class_id; a passage that repeats within one text links nothing; repeated rows and ids stay; an empty table gives
+an empty one; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -267,31 +269,38 @@ def similar(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return found
 
 
-def sketches(grid: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For each stretch of three sections around a row's centre: a bit in 64 for each of its shingles, and a count
-    that no sketch may differ by where the row's window does not cover the stretch."""
-    bit = np.where(grid, np.uint64(1) << (grid.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(58)), np.uint64(0))
-    parts = [bit[:, REACH - SECTION * (3 - right) : REACH + SECTION * right + 1] for right in range(4)]
-    short = [np.count_nonzero(p, axis=1) <= 3 * SECTION - max(SHIFTS) for p in parts]
-    return np.stack([np.bitwise_or.reduce(p, axis=1) for p in parts]), np.stack(short).astype(np.uint8) * np.uint8(65)
+#: Of a passage of n shingles, n less the least common ones may be without a partner, on each side; a shift moves twice the
+#: largest one over the edges of a stretch. A window of n shingles can be part of a passage an eighth longer.
+_longest = [min(2 * REACH + 1, math.ceil(n * (1 + SIMILARITY) / (2 * SIMILARITY)) + max(SHIFTS)) for n in range(2 * REACH + 2)]
+MOST_BITS = np.array([2 * (n - math.ceil(n * 2 * SIMILARITY / (1 + SIMILARITY)) + 2 * max(SHIFTS)) for n in _longest], np.uint8)
 
 
-#: Bits in which the sketches may differ: a passage of LEAST shingles has at most 5 without a partner on each side, and
-#: a shift of two words moves at most 2 more over the edge.
-MOST_BITS = 2 * (LEAST - math.ceil(LEAST * 2 * SIMILARITY / (1 + SIMILARITY)) + 2)
+def sketches(grid: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For each stretch of three sections around a row's centre: a bit in 128 (two words) for each of its shingles, and a
+    count that no sketch may differ by where the row's window does not cover the stretch; and the bits by which
+    sketches of this row may differ, which grow with its window."""
+    place = grid.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(57)
+    bit = np.where(grid, np.uint64(1) << (place & np.uint64(63)), np.uint64(0))
+    words = [np.where(place >> np.uint64(6) == w, bit, np.uint64(0)) for w in np.arange(2, dtype=np.uint64)]
+    stretches = [slice(REACH - SECTION * (3 - right), REACH + SECTION * right + 1) for right in range(4)]
+    short = [np.count_nonzero(grid[:, s], axis=1) <= 3 * SECTION - max(SHIFTS) for s in stretches]
+    masks = np.stack([np.bitwise_or.reduce(w[:, s], axis=1) for s in stretches for w in words])
+    return masks, np.stack(short).astype(np.uint8) * np.uint8(60), MOST_BITS[np.count_nonzero(grid, axis=1)][None]
 
 
-def may_match(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
-    """Whether sketches of two rows leave a common passage possible: one of LEAST shingles that holds the centre covers
-    three whole sections next to each other and the centre, in both rows."""
-    (x, out_x), (y, out_y) = a, b
+def may_match(a: tuple[np.ndarray, np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray, np.ndarray]) -> np.ndarray:
+    """Whether sketches of two rows leave a common passage possible: one of LEAST shingles or more that holds the centre
+    covers three whole sections next to each other and the centre, in both rows."""
+    (x, out_x, most_x), (y, out_y, most_y) = a, b
+    most = np.minimum(most_x[0], most_y[0])
     out = np.zeros(np.broadcast_shapes(x.shape[1:], y.shape[1:]), bool)
     for part in range(4):
-        out |= np.bitwise_count(x[part] ^ y[part]) + out_x[part] + out_y[part] <= MOST_BITS
+        bits = np.bitwise_count(x[2 * part] ^ y[2 * part]) + np.bitwise_count(x[2 * part + 1] ^ y[2 * part + 1])
+        out |= bits + out_x[part] + out_y[part] <= most
     return out
 
 
-def grow(reps: np.ndarray, same: np.ndarray, side: np.ndarray, sketch: tuple[np.ndarray, np.ndarray], grid: np.ndarray) -> tuple[list, list]:
+def grow(reps: np.ndarray, same: np.ndarray, side: np.ndarray, sketch: tuple[np.ndarray, np.ndarray, np.ndarray], grid: np.ndarray) -> tuple[list, list]:
     """Links of a spanning forest of the texts of one large group.
 
     Classes of texts grow one by one: each row of a class's texts is compared with all rows of texts that no class
@@ -424,14 +433,18 @@ LINKS = "a long, b long, min long, around binary"
 
 
 def passage_links(docs: DataFrame, block: int = BLOCK) -> DataFrame:
-    """Verified links (a, b) between representatives. docs: doc_id, of (hash of the text), text."""
+    """Verified links (a, b) between texts, by their hashes. docs: doc_id (may be null), of (hash of the text), text."""
     windows = docs.select("of", "text").mapInArrow(_windows, WINDOWS)
     shared = windows.repartition("min").sortWithinPartitions("min", "of", "centre").mapInArrow(_shared, WINDOWS)
     shared = materialise(shared)
-    reps = docs.where("doc_id IS NOT NULL").groupBy("of").agg(F.min("doc_id").alias("rep"))
+    # a text is read from the row with its smallest id; one that only rows without id have, from any of them
+    reps = docs.groupBy("of").agg(F.min("doc_id").alias("id"))
     mine = shared.groupBy("of").agg(F.collect_set(F.struct("min", "centre", "reach")).alias("windows")).join(reps, "of")
-    mine = mine.select(F.col("of").alias("of__"), "rep", "windows")
-    texts = docs.join(mine, (F.col("of") == F.col("of__")) & (F.col("doc_id") == F.col("rep"))).select("rep", "text", "windows")
+    mine = mine.select(F.col("of").alias("rep"), "id", "windows")
+    texts = docs.join(mine, (F.col("of") == F.col("rep")) & (F.col("doc_id") == F.col("id"))).select("rep", "text", "windows")
+    unnamed = docs.where("doc_id IS NULL").dropDuplicates(["of"]).select("of", "text")
+    unnamed = unnamed.join(mine.where("id IS NULL"), F.col("of") == F.col("rep")).select("rep", "text", "windows")
+    texts = texts.unionByName(unnamed)
     around = texts.mapInArrow(_around, "min long, rep long, around binary")
 
     def blocks_of(rows: DataFrame) -> DataFrame:
@@ -472,10 +485,14 @@ def passage_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", bl
     base = docs.select(F.col(key).cast("long").alias("doc_id"), F.xxhash64(text).alias("of"), F.col(text).alias("text"))
     long_enough = F.coalesce(F.size(F.split(F.trim("text"), "[ \\t-\\r]+")) >= LEAST + SHINGLE - 1, F.lit(False))
     named = base.select("doc_id", "of", long_enough.alias("long"))
-    reps = named.where("long").groupBy("of").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"))
+    reps = named.where("long").groupBy("of").agg(F.min("doc_id").alias("least"), F.count("*").alias("copies"))
     found = components(passage_links(base, block))
-    classes = reps.join(found, F.col("rep") == F.col("node"), "left").select(
-        F.col("of").alias("of__"), F.coalesce("component", "rep").alias("class"), (F.col("node").isNotNull() | (F.col("copies") > 1)).alias("twice")
+    rooted = materialise(
+        reps.join(found, F.col("of") == F.col("node"), "left").select(
+            "of", "least", F.coalesce("component", "of").alias("root"), (F.col("node").isNotNull() | (F.col("copies") > 1)).alias("twice")
+        )
     )
+    least = materialise(rooted.groupBy("root").agg(F.min("least").alias("class")))
+    classes = materialise(rooted.join(small_side(least), "root").select(F.col("of").alias("of__"), "class", "twice"))
     out = named.join(classes, F.col("long") & (F.col("of") == F.col("of__")), "left")
     return out.select(F.col("doc_id").alias(key), F.coalesce("class", "doc_id").alias("class_id"), F.coalesce("twice", F.lit(False)).alias("repeated"))
