@@ -269,10 +269,10 @@ def similar(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return found
 
 
-#: Of a passage of n shingles, n less the least common ones may be without a partner, on each side; a shift moves twice the
-#: largest one over the edges of a stretch. A window of n shingles can be part of a passage an eighth longer.
-_longest = [min(2 * REACH + 1, math.ceil(n * (1 + SIMILARITY) / (2 * SIMILARITY)) + max(SHIFTS)) for n in range(2 * REACH + 2)]
-MOST_BITS = np.array([2 * (n - math.ceil(n * 2 * SIMILARITY / (1 + SIMILARITY)) + 2 * max(SHIFTS)) for n in _longest], np.uint8)
+#: Of the places that two windows share, a ninth may be without a partner, on each side, as all other places of a passage
+#: are misses themselves; a shift makes a window reach two words further, and moves that many over each edge of a stretch.
+_shared_places = np.minimum(np.arange(2 * REACH + 2) + max(SHIFTS), 2 * REACH + 1)
+MOST_BITS = np.array([2 * (n - math.ceil(n * 2 * SIMILARITY / (1 + SIMILARITY)) + 2 * max(SHIFTS)) for n in _shared_places.tolist()], np.uint8)
 
 
 def sketches(grid: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
