@@ -221,7 +221,7 @@ def test_health_of_a_host():
 
 
 def test_estimated_locations_ties_and_missing_parts(spark):
-    from waymark.operators.entity import estimate_locations
+    from waymark.operators.addresses import estimate_locations
 
     rows = [
         (1, "서울 강남구 가나로 12", 37.1, 127.1), (2, "서울 강남구 가나로 12", 37.2, 127.2), (3, "서울 강남구 가나로 99", 37.3, 127.3),

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from waymark.functions.columns import blank_to_null, chain, count_where, extract, first_match, present, total
-from waymark.functions.geo import haversine_m, sql_distance, within
+from waymark.functions.geo import geodesic_m, geodesic_sql, haversine_m, sql_distance, within
 from waymark.operators.quality import KOREA
 from waymark.plans.registry import query
 
@@ -244,6 +244,21 @@ def city_mismatch(v):
     return out.select("place_id", "city", F.round("m", 3).alias("metres"), (F.col("m") > CITY_REACH_M).alias("mismatch"))
 
 
+_CENTRES = " ".join(f"WHEN contains(address, '{c}') THEN [{y}, {x}]" for c, (y, x) in CITY_CENTRES.items())
+
+
+@query(f"""WITH RECURSIVE c AS (SELECT place_id AS id, lat AS lat1, lng AS lng1, CASE {_CENTRES} END AS p FROM places WHERE lat IS NOT NULL AND lng IS NOT NULL),
+pts AS (SELECT id, lat1, lng1, CAST(p[1] AS DOUBLE) AS lat2, CAST(p[2] AS DOUBLE) AS lng2 FROM c WHERE p IS NOT NULL), {geodesic_sql('pts')}
+SELECT id AS place_id, round(metres, 3) AS metres, metres > {CITY_REACH_M} AS mismatch FROM geo""")
+def city_geodesic(v):
+    """Distance on the ellipsoid to the centre of the first city that the address names."""
+    a = F.col("address")
+    centre = chain([(a.contains(c), F.struct(F.lit(y).alias("y"), F.lit(x).alias("x"))) for c, (y, x) in CITY_CENTRES.items()])
+    placed = v.places.where("lat IS NOT NULL AND lng IS NOT NULL").select("place_id", "lat", "lng", centre.alias("c")).where("c IS NOT NULL")
+    out = placed.select("place_id", geodesic_m(F.col("lat"), F.col("lng"), F.col("c.y"), F.col("c.x")).alias("m"))
+    return out.select("place_id", F.round("m", 3).alias("metres"), (F.col("m") > CITY_REACH_M).alias("mismatch"))
+
+
 @query("""SELECT seq, printf('%.6f,%.6f,%.6f,%.6f', lat - s, lng - s, lat + s, lng + s) AS rect, lng AS x, lat AS y
 FROM (SELECT seq, lat, lng, (1000 + 500 * (seq % 3)) * 0.009 / 1000 / 2 AS s FROM places WHERE lat IS NOT NULL) q""")
 def point_grids(v):

@@ -6,9 +6,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from waymark.functions.geo import cell, haversine_m, sql_distance
-from waymark.functions.text import ADDRESS_PARTS, address_part, digits, letters, match_name, set_jaccard
+from waymark.functions.text import digits, letters, match_name, set_jaccard
 from waymark.operators.quality import COMPLETENESS, completeness
-from waymark.plans.durable import components, first_seeds, small_side, written
+from waymark.plans.durable import components, first_seeds, written
 from waymark.plans.registry import query
 
 #: Grid of the name rules: a cell is at least 200 m wide anywhere in the country.
@@ -205,89 +205,3 @@ def dup_pairs_rule_b(v):
     near = haversine_m(F.col("lat1"), F.col("lng1"), F.col("lat2"), F.col("lng2")) < 100
     both = similar.join(a, "i").join(b, "j").where(((F.col("c1") == F.col("c2")) & (F.col("c1") != -1)) | ((F.col("cosine") > 0.9) & near))
     return phone_pairs(places).unionByName(both.select("i", "j")).distinct()
-
-
-#: Address words that must be shared, and located places reported for each place.
-SHARED_WORDS, NEIGHBOURS = 2, 10
-
-
-@query(f"""WITH w AS (SELECT seq, unnest(list_distinct(string_split(address, ' '))) AS word FROM places WHERE lat IS NOT NULL),
-q AS (SELECT seq, unnest(list_distinct(string_split(address, ' '))) AS word FROM places WHERE lat IS NULL),
-m AS (SELECT q.seq, w.seq AS other, count(*) AS n FROM q JOIN w USING (word) GROUP BY 1, 2 HAVING count(*) >= {SHARED_WORDS})
-SELECT seq, other, n FROM (SELECT *, row_number() OVER (PARTITION BY seq ORDER BY other) AS r FROM m) x WHERE r <= {NEIGHBOURS}""")
-def address_neighbours(v):
-    """For places without coordinates, the first ten located ones in input order that share at least two address words."""
-    return sharing_words(v.places, SHARED_WORDS, NEIGHBOURS)
-
-
-def sharing_words(rows: DataFrame, least: int, most: int) -> DataFrame:
-    """(seq, other, n): for rows without latitude, the first `most` located rows that share at least `least` address words.
-
-    Words are ordered from rare to common over the whole table. Two rows that share `least` words share one among the
-    first (number of words - least + 1) of each, so only those are joined on. Where these are common words still, a key
-    has many located rows, but a row needs only the first `most` of those that qualify on it: located rows are put into
-    runs of one set of words (equal addresses), of which the first `most` are kept.
-    """
-    worded = rows.select("seq", F.col("lat").isNull().alias("lost"), F.array_sort(F.array_distinct(F.split("address", " "))).alias("words"))
-    counts = worded.select(F.explode("words").alias("word")).groupBy("word").count()
-    sets = worded.select("lost", "words").distinct()
-    ranked = sets.select("lost", "words", F.explode("words").alias("word")).join(written(counts), "word")
-    order = F.array_sort(F.collect_list(F.struct("count", "word")))
-    ordered = ranked.groupBy("lost", "words").agg(order.alias("order"))
-    keyed = written(ordered.select("lost", "words", F.explode(F.slice("order", 1, F.greatest(F.size("words") - (least - 1), F.lit(0)))["word"]).alias("word")))
-    a = keyed.where("lost").select("word", F.col("words").alias("mine"))
-    b = keyed.where("NOT lost").select("word", F.col("words").alias("theirs"))
-    n = F.size(F.array_intersect("mine", "theirs")).cast("long")
-    pairs = a.join(b, "word").select("mine", "theirs", n.alias("n")).where(F.col("n") >= least).distinct()
-    first = F.row_number().over(Window.partitionBy("words").orderBy("seq"))
-    others = worded.where("NOT lost").withColumn("r", first).where(F.col("r") <= most).select(F.col("words").alias("theirs"), F.col("seq").alias("other"))
-    found = pairs.join(others, "theirs").select("mine", "other", "n")
-    rank = F.row_number().over(Window.partitionBy("mine").orderBy("other"))
-    best = found.withColumn("r", rank).where(F.col("r") <= most).select(F.col("mine").alias("words"), "other", "n")
-    return worded.where("lost").join(best, "words").select("seq", "other", "n")
-
-
-#: How sure an estimated position is.
-ESTIMATE_CONFIDENCE = 0.6
-
-
-@query(f"""WITH a AS (SELECT seq, lat, lng, nullif(regexp_extract(address, '{ADDRESS_PARTS["road"]}', 1), '') AS road, nullif(regexp_extract(address, '{ADDRESS_PARTS["dong"]}', 1), '') AS dong,
-  list_distinct(string_split(address, '')) AS s FROM places),
-c AS (SELECT q.seq, w.seq AS other, w.lat, w.lng, len(list_intersect(q.s, w.s)) * 1.0 / len(list_distinct(list_concat(q.s, w.s))) AS sim
-  FROM a q JOIN a w ON q.lat IS NULL AND w.lat IS NOT NULL AND (q.road = w.road OR q.dong = w.dong)),
-b AS (SELECT *, row_number() OVER (PARTITION BY seq ORDER BY sim DESC, other) AS r FROM c)
-SELECT a.seq, coalesce(a.lat, b.lat) AS lat, coalesce(a.lng, b.lng) AS lng, b.other AS from_seq,
-  CASE WHEN a.lat IS NOT NULL THEN 'given' WHEN b.seq IS NOT NULL THEN 'estimated' ELSE 'none' END AS source,
-  CAST(CASE WHEN a.lat IS NOT NULL THEN 1.0 WHEN b.seq IS NOT NULL THEN {ESTIMATE_CONFIDENCE} ELSE 0.0 END AS DOUBLE) AS confidence FROM a LEFT JOIN b ON a.seq = b.seq AND b.r = 1""")
-def estimated_locations(v):
-    """Every place with its position: its own, else that of the place with the likest address on its road or in its quarter."""
-    return estimate_locations(v.places)
-
-
-def estimate_locations(rows: DataFrame) -> DataFrame:
-    """(seq, lat, lng, from_seq, source, confidence) of every row: given, estimated or none.
-
-    A row without latitude takes the position of the located row that shares its road or its quarter and whose address
-    has the most characters in common with its own (Jaccard over distinct characters; ties: first row). Two rows without
-    road, or without quarter, do not share it. Likeness depends on the characters only, so both sides are first reduced
-    to (part, set of characters) with its first located row; a road that holds a third of all rows is few sets.
-    """
-    parts = F.array(*[F.when(address_part(F.col("address"), p).isNotNull(), F.concat(F.lit(p), address_part(F.col("address"), p))) for p in ("road", "dong")])
-    chars = F.array_sort(letters(F.col("address")))
-    keyed = rows.select("seq", "lat", "lng", chars.alias("chars"), F.explode(F.filter(parts, lambda p: p.isNotNull())).alias("part"))
-    first = F.min_by(F.struct("seq", "lat", "lng"), "seq").alias("first")
-    known = keyed.where("lat IS NOT NULL AND lng IS NOT NULL").groupBy("part", F.col("chars").alias("theirs")).agg(first)
-    lost = keyed.where("lat IS NULL OR lng IS NULL")
-    alike = set_jaccard(F.col("chars"), F.col("theirs"))
-    # the greatest likeness and then the smallest row: the greatest of (likeness, -seq)
-    best = F.max_by("first", F.struct(alike, -F.col("first.seq"))).alias("best")
-    pairs = lost.select("part", "chars").distinct().join(known, "part")
-    by_set = pairs.groupBy("part", "chars").agg(best, F.max(alike).alias("alike"))
-    found = lost.select("seq", "part", "chars").join(by_set, ["part", "chars"]).groupBy("seq").agg(F.max_by("best", F.struct("alike", -F.col("best.seq"))).alias("best"))
-    own = F.col("lat").isNotNull() & F.col("lng").isNotNull()
-    out = rows.select("seq", "lat", "lng").join(found, "seq", "left")
-    return out.select(
-        "seq", F.when(own, F.col("lat")).otherwise(F.col("best.lat")).alias("lat"), F.when(own, F.col("lng")).otherwise(F.col("best.lng")).alias("lng"),
-        F.when(~own, F.col("best.seq")).alias("from_seq"), F.when(own, "given").when(F.col("best").isNotNull(), "estimated").otherwise("none").alias("source"),
-        F.when(own, 1.0).when(F.col("best").isNotNull(), ESTIMATE_CONFIDENCE).otherwise(0.0).alias("confidence"),
-    )

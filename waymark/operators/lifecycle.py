@@ -81,11 +81,6 @@ def legal_changes(checks: DataFrame) -> DataFrame:
     return checks.join(F.broadcast(table), ["status", "new_status"], "left_semi")
 
 
-@query(CHECK_SQL + " SELECT place_id, status, new_status FROM d WHERE (status = 'open' AND new_status IN ('suspended', 'closed')) OR (status = 'suspended' AND new_status IN ('open', 'closed'))")
-def status_transitions(v):
-    return legal_changes(status_checks(v.places, review_activity(v.reviews))).select("place_id", "status", "new_status")
-
-
 def upsert(target: DataFrame, batch: DataFrame, key: str, order: str, keep_old: list[str], overwrite: list[str]) -> DataFrame:
     """target with a batch applied in order: the last non-null value wins in keep_old columns, the last value in overwrite columns."""
     latest = [F.max_by(F.col(c), F.when(F.col(c).isNotNull(), F.col(order))).alias(f"new_{c}") for c in keep_old]
@@ -158,8 +153,3 @@ def category_ids(v):
     """Ids for a small dimension, by name."""
     names = v.places.select(F.col("refill_type").alias("name")).distinct()
     return names.select("name", F.dense_rank().over(Window.partitionBy(F.lit(1)).orderBy("name")).cast("long").alias("id"))
-
-
-def fallback(*columns: Column) -> Column:
-    """First value that is neither null nor blank."""
-    return F.coalesce(*[F.when(F.trim(c) != "", c) for c in columns])

@@ -40,10 +40,14 @@ def bursts(failures: DataFrame, key: str, most: int = 10, least: int = 5, minute
     return plain.withColumn("blocked", F.col("worded") | quick)
 
 
-@query("""WITH w AS (SELECT *, lower(error_message) LIKE '%403%' OR lower(error_message) LIKE '%rate limit%' AS worded FROM failures),
+_WORDED = " OR ".join(f"contains(lower(error_message), '{w}')" for w in BLOCK_WORDS)
+BURST_SQL = f"""WITH w AS (SELECT *, {_WORDED} AS worded FROM failures),
 b AS (SELECT event_id, worded, count(*) OVER x AS n, date_diff('microsecond', min(ts) OVER x, ts) AS span FROM w
   WINDOW x AS (PARTITION BY user_id, worded ORDER BY ts, event_id ROWS BETWEEN 9 PRECEDING AND CURRENT ROW))
-SELECT event_id, worded OR (n >= 5 AND span < 300000000) AS blocked FROM b""")
+SELECT event_id, worded OR (n >= 5 AND span < 300000000) AS blocked FROM b"""
+
+
+@query(BURST_SQL)
 def burst_detect(v):
     return bursts(v.failures, "user_id").select("event_id", "blocked")
 
@@ -225,12 +229,15 @@ def health_after(state: tuple, outcomes: list[bool], seconds: list[float]) -> tu
     return score, failures, active, last
 
 
-@query(f"""WITH o AS (SELECT user_id % 50 AS host, list({{'score': (status = 'completed')::INT, 'failures': 0, 'active': true, 'last': epoch_us(created_at)}} ORDER BY created_at, id) AS l FROM crawl_log GROUP BY 1),
+HEALTH_SQL = f"""o AS (SELECT user_id % 50 AS host, list({{'score': (status = 'completed')::INT, 'failures': 0, 'active': true, 'last': epoch_us(created_at)}} ORDER BY created_at, id) AS l FROM crawl_log GROUP BY 1),
 f AS (SELECT host, len(l) AS n, list_reduce(l, lambda s, x: CASE WHEN x.score = 1 THEN {{'score': least(100, s.score + {GAIN}),
   'failures': CASE WHEN NOT s.active AND x.last - s.last > {IDLE_S * 1_000_000}::BIGINT THEN 0 ELSE greatest(0, s.failures - 1) END, 'active': s.active OR x.last - s.last > {IDLE_S * 1_000_000}::BIGINT, 'last': x.last}}
   WHEN NOT s.active AND x.last - s.last > {IDLE_S * 1_000_000}::BIGINT THEN {{'score': greatest(0, s.score - {LOSS}), 'failures': 1, 'active': true, 'last': x.last}}
   ELSE {{'score': greatest(0, s.score - {LOSS}), 'failures': s.failures + 1, 'active': s.active AND s.failures + 1 < {OFF_AFTER}, 'last': x.last}} END,
-  {{'score': 100, 'failures': 0, 'active': true, 'last': 0::BIGINT}}) AS s FROM o)
+  {{'score': 100, 'failures': 0, 'active': true, 'last': 0::BIGINT}}) AS s FROM o)"""
+
+
+@query(f"""WITH {HEALTH_SQL}
 SELECT host, CAST(s.score AS BIGINT) AS score, CAST(s.failures AS BIGINT) AS failures, s.active AS active, n FROM f""")
 def host_health(v):
     """Score, failures and use of each host after its whole log."""

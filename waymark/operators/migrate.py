@@ -81,8 +81,8 @@ def _values(pairs: list[tuple[str, str]]) -> str:
     return ", ".join(f"('{k}', '{c}', {i})" for i, (k, c) in enumerate(pairs))
 
 
-PAIRS_MANY = [(k, c) for c, ks in KEYWORDS.items() for k in ks.split()]
-PAIRS_EXACT = [(k, c) for c, ks in EXACT.items() for k in ks.split()]
+PAIRS_MANY = [(k, c) for c, ks in KEYWORDS.items() for k in ks]
+PAIRS_EXACT = [(k, c) for c, ks in EXACT.items() for k in ks]
 
 
 @query(f"""WITH d(k, c, o) AS (VALUES {_values(PAIRS_MANY)}),

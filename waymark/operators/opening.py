@@ -13,6 +13,20 @@ def _first(group: int) -> str:
     return "coalesce(" + ", ".join(f"nullif(regexp_extract(x, '{p}', {group}), '')" for p in H.LINE_HOURS) + ")"
 
 
+def fill_sql(source: str) -> str:
+    """Oracle text: gaps of known(id, d, h) filled but for the days of shut(id, d, o), up to shown(id, o, x); source has every id."""
+    return f"""counted AS (SELECT id, d IN ('토', '일') AS weekend, h, count(*) AS n FROM known GROUP BY ALL),
+common AS (SELECT id, weekend, arg_max(h, n * 1.0 + 0.0) AS h FROM (SELECT *, row_number() OVER (PARTITION BY id, weekend ORDER BY n DESC, h DESC) AS r FROM counted) x
+  WHERE r = 1 AND n >= CASE WHEN weekend THEN 1 ELSE 2 END GROUP BY id, weekend),
+free AS (SELECT h.id, days.o, days.d FROM {source} h CROSS JOIN days WHERE NOT EXISTS (SELECT 1 FROM known k WHERE k.id = h.id AND k.d = days.d)
+  AND NOT EXISTS (SELECT 1 FROM shut WHERE shut.id = h.id AND shut.d = days.d)),
+filled AS (SELECT id, d, h FROM known UNION ALL SELECT free.id, free.d, common.h FROM free JOIN common ON common.id = free.id AND common.weekend = (free.d IN ('토', '일'))),
+lone AS (SELECT id, min(h) AS h FROM filled GROUP BY id HAVING count(*) = 1),
+every AS (SELECT * FROM filled UNION ALL SELECT free.id, free.d, lone.h FROM free JOIN lone USING (id) WHERE NOT EXISTS (SELECT 1 FROM filled g WHERE g.id = free.id AND g.d = free.d)),
+shown AS (SELECT e.id, o, e.d || ': ' || h AS x FROM every e JOIN days USING (d) UNION ALL
+  SELECT shut.id, days.o, shut.d || ': 휴무' FROM shut JOIN days USING (d) WHERE shut.id IN (SELECT id FROM every) AND NOT EXISTS (SELECT 1 FROM every e WHERE e.id = shut.id AND e.d = shut.d))"""
+
+
 # each line's weekday is the last one named up to it; the last hours of a weekday win
 LINES_SQL = f"""days AS (SELECT unnest(range(7)) AS o, unnest(['월', '화', '수', '목', '금', '토', '일']) AS d),
 l AS (SELECT id, unnest(range(len(string_split(lines, chr(10))))) AS i, unnest(string_split(lines, chr(10))) AS x FROM hours_lines),
@@ -27,16 +41,7 @@ f AS (SELECT id, i, 1 AS p, unnest(regexp_extract_all(x, '{H.LINE_CLOSED[0]}', 1
   SELECT id, i, 2, unnest(regexp_extract_all(x, '{H.LINE_CLOSED[1]}', 1)), 0 FROM l UNION ALL SELECT id, i, 3, unnest(regexp_extract_all(x, '{H.LINE_CLOSED[2]}', 1)), 0 FROM l UNION ALL
   SELECT id, i, 4, unnest(regexp_extract_all(x, '{H.LINE_CLOSED[3]}', 1)), 0 FROM l),
 shut AS (SELECT id, d, min(i * 10 + p) AS o FROM f GROUP BY id, d),
-counted AS (SELECT id, d IN ('토', '일') AS weekend, h, count(*) AS n FROM known GROUP BY ALL),
-common AS (SELECT id, weekend, arg_max(h, n * 1.0 + 0.0) AS h FROM (SELECT *, row_number() OVER (PARTITION BY id, weekend ORDER BY n DESC, h DESC) AS r FROM counted) x
-  WHERE r = 1 AND n >= CASE WHEN weekend THEN 1 ELSE 2 END GROUP BY id, weekend),
-free AS (SELECT h.id, days.o, days.d FROM hours_lines h CROSS JOIN days WHERE NOT EXISTS (SELECT 1 FROM known k WHERE k.id = h.id AND k.d = days.d)
-  AND NOT EXISTS (SELECT 1 FROM shut WHERE shut.id = h.id AND shut.d = days.d)),
-filled AS (SELECT id, d, h FROM known UNION ALL SELECT free.id, free.d, common.h FROM free JOIN common ON common.id = free.id AND common.weekend = (free.d IN ('토', '일'))),
-lone AS (SELECT id, min(h) AS h FROM filled GROUP BY id HAVING count(*) = 1),
-every AS (SELECT * FROM filled UNION ALL SELECT free.id, free.d, lone.h FROM free JOIN lone USING (id) WHERE NOT EXISTS (SELECT 1 FROM filled g WHERE g.id = free.id AND g.d = free.d)),
-shown AS (SELECT e.id, o, e.d || ': ' || h AS x FROM every e JOIN days USING (d) UNION ALL
-  SELECT shut.id, days.o, shut.d || ': 휴무' FROM shut JOIN days USING (d) WHERE shut.id IN (SELECT id FROM every) AND NOT EXISTS (SELECT 1 FROM every e WHERE e.id = shut.id AND e.d = shut.d))"""
+{fill_sql("hours_lines")}"""
 
 
 @query(f"""WITH {LINES_SQL}

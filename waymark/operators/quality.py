@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 from waymark.functions import hours as H
 from waymark.functions.columns import blank_to_null, chain, count_where, present, total
 from waymark.functions.geo import within
-from waymark.functions.price import parse_price
+from waymark.functions.price import AMOUNT, BAND, CONDITIONS, INQUIRY, RANGES, SINGLES, TIMES, parse_price
 from waymark.functions.text import address_part, error_class, find_phone, format_phone, menu_items, normalise_address, plausible_phone, refill_type, repair_phone
+from waymark.operators.opening import fill_sql
+from waymark.plans.durable import value_at, written
 from waymark.plans.registry import query
 
 #: Boxes as (min_lat, max_lat, min_lng, max_lng), severities and their weights.
@@ -157,13 +159,58 @@ def address_components(v):
     )
 
 
-@query("""WITH p AS (SELECT id, id % 10 AS k, price_text, CAST(regexp_extract(price_text, '([0-9]+)원', 1) AS VARCHAR) AS d FROM price_text),
-n AS (SELECT id, k, CASE WHEN k IN (3, 4) THEN CAST(regexp_extract(replace(d, ',', ''), '[0-9]+') AS BIGINT) END AS amount FROM p)
-SELECT id, CASE k WHEN 0 THEN 'single' WHEN 1 THEN 'range' WHEN 2 THEN 'time_based' WHEN 3 THEN 'conditional' WHEN 4 THEN 'range' WHEN 5 THEN 'inquiry' WHEN 6 THEN 'range'
-  WHEN 7 THEN 'time_based' ELSE 'unknown' END AS price_type,
-  CASE k WHEN 0 THEN 10000 WHEN 1 THEN 10000 WHEN 2 THEN 1000 WHEN 6 THEN 20000 WHEN 7 THEN 18000 ELSE amount END AS min_price,
-  CASE k WHEN 0 THEN 10000 WHEN 1 THEN 15000 WHEN 2 THEN 12000 WHEN 6 THEN 29999 WHEN 7 THEN 22000 ELSE amount END AS max_price,
-  CASE k WHEN 0 THEN 0.9 WHEN 1 THEN 0.9 WHEN 2 THEN 0.85 WHEN 3 THEN 0.8 WHEN 4 THEN 0.7 WHEN 5 THEN 0.9 WHEN 6 THEN 0.8 WHEN 7 THEN 0.85 ELSE 0.0 END::DOUBLE AS confidence FROM n""")
+def _below_sql(part: str) -> str:
+    """Oracle text: a Korean number below ten thousand, its digits written 0 to 9."""
+    units = " + ".join(
+        f"CASE WHEN contains({part}, '{u}') THEN coalesce(TRY_CAST(nullif(regexp_extract({part}, '([0-9]*){u}', 1), '') AS BIGINT), 1) * {n} ELSE 0 END" for u, n in (("천", 1000), ("백", 100), ("십", 10))
+    )
+    return f"({units} + coalesce(TRY_CAST(nullif(regexp_extract({part}, '([0-9]+)$', 1), '') AS BIGINT), 0))"
+
+
+def _matches_sql(stage: str, pattern: str, group: int, first: bool) -> str:
+    """Oracle text: (id, stage, i, s) of the matches of a pattern in t.x."""
+    found = f"regexp_extract_all(x, '{pattern}', {group})"
+    if first:
+        return f"SELECT id, '{stage}' AS stage, 0::BIGINT AS i, ({found})[1] AS s FROM t WHERE len({found}) > 0"
+    return f"SELECT id, '{stage}' AS stage, unnest(range(len({found}))) AS i, unnest({found}) AS s FROM t"
+
+
+_CANDIDATES = " UNION ALL ".join(
+    [_matches_sql(f"r{i}{g}", p, g, True) for i, p in enumerate(RANGES) for g in (1, 2)]
+    + [_matches_sql(f"t{name}{k}", rf"{w}\s*({AMOUNT})", 1, False) for name, words in TIMES.items() for k, w in enumerate(words)]
+    + [_matches_sql(f"c{i}", p, 1, True) for i, p in enumerate(CONDITIONS)] + [_matches_sql(f"s{i}", p, 1, False) for i, p in enumerate(SINGLES)]
+)
+_TIME_OF = " ".join(f"WHEN stage LIKE 't{name}%' THEN '{name}'" for name in TIMES)
+
+
+def _slot(stage: str) -> str:
+    return f"max(v) FILTER (WHERE stage = '{stage}')"
+
+
+#: Every candidate of a text as a row with its amount, then the first stage that has a price.
+PRICE_SQL = rf"""t AS (SELECT id, trim(regexp_replace(regexp_replace(trim(price_text), '(가격|요금|비용)\s*:', ' ', 'g'), '\s+', ' ', 'g')) AS x FROM price_text),
+m AS ({_CANDIDATES}),
+n AS (SELECT *, regexp_extract(s, '([0-9]+)만([0-9]+)?천?원?', 1) AS m1, regexp_extract(s, '([0-9]+)만([0-9]+)?천?원?', 2) AS m2,
+  translate(regexp_extract(s, '([일이삼사오육칠팔구십백천만억]+)원?', 1), '영일이삼사오육칠팔구', '0123456789') AS k, regexp_extract(replace(regexp_extract(s, '([0-9,]+)원?', 1), ',', ''), '([0-9]{{1,18}})', 1) AS d FROM m),
+k AS (SELECT *, regexp_extract(k, '^(.*)억', 1) AS k1, regexp_replace(k, '^.*억', '') AS k2 FROM n), l AS (SELECT *, regexp_extract(k2, '^(.*)만', 1) AS k3, regexp_replace(k2, '^.*만', '') AS k4 FROM k),
+a AS (SELECT id, stage, i, s, nullif(CASE WHEN m1 <> '' THEN CAST(m1 AS BIGINT) * 10000 + coalesce(TRY_CAST(nullif(m2, '') AS BIGINT), 0) * 1000
+  WHEN k <> '' THEN CASE WHEN contains(k, '억') THEN CASE WHEN k1 = '' THEN 1 ELSE {_below_sql('k1')} END * 100000000 ELSE 0 END + CASE WHEN contains(k2, '만') THEN CASE WHEN k3 = '' THEN 1 ELSE {_below_sql('k3')} END * 10000 ELSE 0 END + {_below_sql('k4')}
+  ELSE TRY_CAST(nullif(d, '') AS BIGINT) END, 0) AS v FROM l),
+w AS (SELECT id, CASE {_TIME_OF} END AS name, arg_max(v, stage || lpad(CAST(i AS VARCHAR), 6, '0')) AS v FROM a WHERE stage LIKE 't%' AND v IS NOT NULL GROUP BY 1, 2),
+times AS (SELECT id, min(v) AS low, max(v) AS high FROM w GROUP BY id),
+g AS (SELECT id, {", ".join(f"{_slot(f'r{i}{j}')} AS r{i}{j}" for i in range(len(RANGES)) for j in (1, 2))}, {", ".join(f"{_slot(f'c{i}')} AS c{i}" for i in range(len(CONDITIONS)))},
+  count(*) FILTER (WHERE stage LIKE 's%' AND v > 1000) AS many, min(v) FILTER (WHERE stage LIKE 's%' AND v > 1000) AS low, max(v) FILTER (WHERE stage LIKE 's%' AND v > 1000) AS high FROM a GROUP BY id),
+b AS (SELECT t.*, g.* EXCLUDE (id), times.low AS tlow, times.high AS thigh, CAST(nullif(regexp_extract(x, '{BAND}', 1), '') AS BIGINT) AS band, CASE WHEN contains(x, '만') THEN 10000 ELSE 1000 END AS unit
+  FROM t LEFT JOIN g USING (id) LEFT JOIN times USING (id)),
+stage AS (SELECT *, CASE WHEN coalesce(x, '') = '' THEN 'unknown' WHEN regexp_matches(x, '{INQUIRY}') THEN 'inquiry' {" ".join(f"WHEN r{i}1 IS NOT NULL AND r{i}2 IS NOT NULL THEN 'r{i}'" for i in range(len(RANGES)))}
+  WHEN band IS NOT NULL THEN 'band' WHEN tlow IS NOT NULL THEN 'time' {" ".join(f"WHEN c{i} IS NOT NULL THEN 'c{i}'" for i in range(len(CONDITIONS)))} WHEN many = 1 THEN 'one' WHEN many > 1 THEN 'many' ELSE 'unknown' END AS st FROM b),
+parsed AS (SELECT id, CASE WHEN st IN ('unknown', 'inquiry') THEN st WHEN st LIKE 'r%' OR st IN ('band', 'many') THEN 'range' WHEN st = 'time' THEN 'time_based' WHEN st = 'one' THEN 'single' ELSE 'conditional' END AS price_type,
+  CASE st {" ".join(f"WHEN 'r{i}' THEN r{i}1" for i in range(len(RANGES)))} WHEN 'band' THEN band * unit WHEN 'time' THEN tlow {" ".join(f"WHEN 'c{i}' THEN c{i}" for i in range(len(CONDITIONS)))} WHEN 'one' THEN low WHEN 'many' THEN low END AS min_price,
+  CASE st {" ".join(f"WHEN 'r{i}' THEN r{i}2" for i in range(len(RANGES)))} WHEN 'band' THEN (band + 1) * unit - 1 WHEN 'time' THEN thigh {" ".join(f"WHEN 'c{i}' THEN c{i}" for i in range(len(CONDITIONS)))} WHEN 'one' THEN high WHEN 'many' THEN high END AS max_price,
+  CASE WHEN st = 'unknown' THEN 0.0 WHEN st IN ('inquiry', 'one') OR st LIKE 'r%' THEN 0.9 WHEN st = 'time' THEN 0.85 WHEN st = 'many' THEN 0.7 ELSE 0.8 END::DOUBLE AS confidence FROM stage)"""
+
+
+@query(f"WITH {PRICE_SQL} SELECT id, price_type, CAST(min_price AS BIGINT) AS min_price, CAST(max_price AS BIGINT) AS max_price, confidence FROM parsed")
 def price_parse(v):
     return v.price_text.select("id", F.inline(F.array(parse_price(F.col("price_text"))))).drop("condition")
 
@@ -174,37 +221,51 @@ def price_points(prices: DataFrame) -> DataFrame:
     return prices.select(F.explode(both).alias("price"))
 
 
-@query("""WITH p AS (SELECT id % 10 AS k, CAST(nullif(regexp_extract(price_text, '([0-9]+)원', 1), '') AS BIGINT) AS d, id FROM price_text),
-x AS (SELECT unnest(CASE k WHEN 0 THEN [10000] WHEN 1 THEN [10000, 15000] WHEN 2 THEN [1000, 12000] WHEN 3 THEN [d] WHEN 4 THEN [d] WHEN 6 THEN [20000, 29999]
-  WHEN 7 THEN [18000, 22000] ELSE [] END) AS price FROM p), s AS (SELECT price, row_number() OVER (ORDER BY price) AS r, count(*) OVER () AS n FROM x)
+@query(f"""WITH {PRICE_SQL},
+x AS (SELECT min_price AS price FROM parsed WHERE min_price > 0 UNION ALL SELECT max_price FROM parsed WHERE max_price > 0 AND max_price <> min_price), s AS (SELECT price, row_number() OVER (ORDER BY price) AS r, count(*) OVER () AS n FROM x)
 SELECT count(*) AS points, min(price) AS low, max(price) AS high, max(price) FILTER (WHERE r = n // 2 + 1) AS median, round(avg(price), 6) AS mean,
   count(*) FILTER (WHERE price <= 10000) AS to_10k, count(*) FILTER (WHERE price > 10000 AND price <= 20000) AS to_20k,
   count(*) FILTER (WHERE price > 20000 AND price <= 30000) AS to_30k, count(*) FILTER (WHERE price > 30000) AS above FROM s""")
 def price_distribution(v):
-    """The upper median comes from counts per price, which stay few however many rows there are."""
+    """The upper median comes from running counts over ranges of prices."""
     points = price_points(v.price_text.select(F.inline(F.array(parse_price(F.col("price_text"))))))
-    counts = points.groupBy("price").agg(F.count("*").alias("n"))
+    counts = written(points.groupBy("price").agg(F.count("*").alias("n")))
     p, n = F.col("price"), F.col("n")
     stats = counts.agg(
         F.sum(n).alias("points"), F.min(p).alias("low"), F.max(p).alias("high"), F.round(F.sum(p * n) / F.sum(n), 6).alias("mean"),
         F.sum(F.when(p <= 10000, n).otherwise(0)).alias("to_10k"), F.sum(F.when((p > 10000) & (p <= 20000), n).otherwise(0)).alias("to_20k"),
         F.sum(F.when((p > 20000) & (p <= 30000), n).otherwise(0)).alias("to_30k"), F.sum(F.when(p > 30000, n).otherwise(0)).alias("above"),
     )
-    upto = counts.alias("a").join(counts.alias("b"), F.col("b.price") <= F.col("a.price")).groupBy("a.price").agg(F.sum("b.n").alias("upto"))
-    median = upto.crossJoin(F.broadcast(stats.select("points"))).where(F.col("upto") >= F.floor(F.col("points") / 2) + 1).agg(F.min("price").alias("median"))
-    return stats.crossJoin(F.broadcast(median))
+    return stats.withColumn("median", F.lit(value_at(counts, "price", "n", lambda every: every // 2 + 1)).cast("long"))
+
+
+def _first_of(patterns: tuple[str, ...], text: str) -> str:
+    return "coalesce(" + ", ".join(f"nullif(regexp_extract({text}, '{p}', 1), '')" for p in patterns) + ")"
+
+
+_BREAK = "coalesce(" + ", ".join(f"CASE WHEN regexp_matches(hours_text, '{p}') THEN regexp_extract(hours_text, '{p}', 1) || '-' || regexp_extract(hours_text, '{p}', 2) END" for p in H.BREAKS) + ")"
 
 
-@query("""SELECT id, CASE id % 6 WHEN 0 THEN '22:30' END AS last_order, CASE id % 6 WHEN 1 THEN '15:00-16:00' END AS break_time,
-  CASE id % 6 WHEN 0 THEN '690-1410' WHEN 1 THEN '660-1380,960-1320,900-960' WHEN 2 THEN '0-1440' WHEN 3 THEN '1080-120' WHEN 4 THEN '1510-1630' END AS ranges FROM hours_text""")
+def _spans_sql(text: str) -> str:
+    """Oracle text: ranges of a text as a list of structs of minutes."""
+    ends = [f"regexp_extract_all({text}, '{H.SPAN}', {g})" for g in (1, 2)]
+    minute = "CAST(split_part({0}, ':', 1) AS INT) * 60 + CAST(split_part({0}, ':', 2) AS INT)"
+    return f"list_transform(list_zip({ends[0]}, {ends[1]}), lambda z: {{'a': {minute.format('z[1]')}, 'b': {minute.format('z[2]')}}})"
+
+
+@query(f"""SELECT id, {_first_of(H.LAST_ORDERS, 'hours_text')} AS last_order, {_BREAK} AS break_time,
+  CASE WHEN hours_text IS NOT NULL THEN array_to_string(list_transform({_spans_sql('hours_text')}, lambda r: r.a || '-' || r.b), ',') END AS ranges FROM hours_text""")
 def hours_ranges(v):
     t = F.col("hours_text")
     shown = F.array_join(F.transform(H.ranges(t), lambda r: F.concat_ws("-", r["start"].cast("string"), r["end"].cast("string"))), ",")
     return v.hours_text.select("id", H.last_order(t).alias("last_order"), H.break_time(t).alias("break_time"), shown.alias("ranges"))
 
 
-@query("""SELECT id, CASE id % 6 WHEN 4 THEN 'hour 25,hour 26,minute 70' WHEN 5 THEN NULL ELSE '' END AS format_issues,
-  CASE id % 6 WHEN 3 THEN 'late start 1080-120' WHEN 5 THEN NULL ELSE '' END AS logic_issues FROM hours_text""")
+@query(rf"""WITH h AS (SELECT id, hours_text, {_spans_sql('hours_text')} AS spans, {_spans_sql(f"coalesce({_BREAK}, '')")} AS breaks,
+  regexp_extract_all(hours_text, '(\d{{1,2}}):(\d{{2}})', 1) AS hs, regexp_extract_all(hours_text, '(\d{{1,2}}):(\d{{2}})', 2) AS ms FROM hours_text)
+SELECT id, CASE WHEN hours_text IS NOT NULL THEN array_to_string(flatten(list_transform(list_zip(hs, ms), lambda z: list_concat(CASE WHEN CAST(z[1] AS INT) > 24 THEN ['hour ' || z[1]] ELSE [] END, CASE WHEN CAST(z[2] AS INT) > 59 THEN ['minute ' || z[2]] ELSE [] END))), ',') END AS format_issues,
+  CASE WHEN hours_text IS NOT NULL THEN array_to_string(list_concat(list_transform(list_filter(spans, lambda r: r.a <> 0 AND r.b <> 0 AND r.a >= r.b AND r.b > 12), lambda r: 'late start ' || r.a || '-' || r.b),
+    CASE WHEN len(spans) > 0 THEN list_transform(list_filter(breaks, lambda b: b.a <> 0 AND b.b <> 0 AND len(list_filter(spans, lambda r: r.a <> 0 AND r.b <> 0 AND r.a <= b.a AND b.a <= r.b)) = 0), lambda b: 'break outside ' || b.a || '-' || b.b) ELSE [] END), ',') END AS logic_issues FROM h""")
 def hours_issues(v):
     t = F.col("hours_text")
     return v.hours_text.select(
@@ -212,11 +273,22 @@ def hours_issues(v):
     )
 
 
-@query("""WITH days AS (SELECT unnest(['월', '화', '수', '목', '금', '토', '일']) AS d, unnest(range(7)) AS o)
-SELECT id, CASE id % 6 WHEN 0 THEN (SELECT string_agg(d || ': 11:30-23:30', ', ' ORDER BY o) FROM days) || ' / 라스트오더: 22:30'
-  WHEN 1 THEN '금: 11:00-23:00, 토: 16:00-22:00, 일: 16:00-22:00' WHEN 2 THEN (SELECT string_agg(d || ': 00:00-24:00', ', ' ORDER BY o) FROM days)
-  WHEN 3 THEN (SELECT string_agg(d || ': 18:00-02:00', ', ' ORDER BY o) FROM days) WHEN 4 THEN (SELECT string_agg(d || ': 25:10-26:70', ', ' ORDER BY o) FROM days) END AS open_hours
-FROM hours_text""")
+_DATED = r"\d{1,2}월\s*\d{1,2}일\s*\(([월화수목금토일])\)"
+_OPEN = r"영업시간\s*[:：]?\s*" + H.SPAN
+_TODAY = r"오늘\s*\(([월화수목금토일])\)[^영]*?영업시간\s*[:：]?\s*" + H.SPAN
+
+
+@query(rf"""WITH days AS (SELECT unnest(range(7)) AS o, unnest(['월', '화', '수', '목', '금', '토', '일']) AS d),
+e AS (SELECT id, hours_text AS x, regexp_extract_all(hours_text, '{_DATED}', 1) AS dated, list_transform(list_zip(regexp_extract_all(hours_text, '{_OPEN}', 1), regexp_extract_all(hours_text, '{_OPEN}', 2)), lambda z: z[1] || '-' || z[2]) AS hs,
+  CASE WHEN regexp_matches(hours_text, '{_TODAY}') THEN regexp_extract(hours_text, '{_TODAY}', 2) || '-' || regexp_extract(hours_text, '{_TODAY}', 3)
+    WHEN regexp_matches(hours_text, '{H.SPAN}') THEN regexp_extract(hours_text, '{H.SPAN}', 1) || '-' || regexp_extract(hours_text, '{H.SPAN}', 2) END AS one FROM hours_text),
+p AS (SELECT *, len(list_distinct(hs)) <= 1 AS same FROM e),
+z AS (SELECT id, unnest(range(1, 1 + CASE WHEN same THEN len(dated) ELSE least(len(dated), len(hs)) END)) AS i, dated, hs, same FROM p WHERE len(dated) > 0 AND len(hs) > 0),
+known AS (SELECT id, dated[i] AS d, arg_max(CASE WHEN same THEN hs[1] ELSE hs[i] END, i) AS h FROM z GROUP BY id, dated[i] UNION ALL
+  SELECT id, days.d, one FROM p CROSS JOIN days WHERE NOT (len(dated) > 0 AND len(hs) > 0) AND one IS NOT NULL),
+shut AS (SELECT id, d, min(i) AS o FROM (SELECT id, unnest(regexp_extract_all(x, '([월화수목금토일])요일\s*휴무', 1)) AS d, unnest(range(len(regexp_extract_all(x, '([월화수목금토일])요일\s*휴무', 1)))) AS i FROM e) q GROUP BY id, d),
+{fill_sql('e')}
+SELECT id, (SELECT string_agg(shown.x, ', ' ORDER BY o) FROM shown WHERE shown.id = e.id) || coalesce(' / 라스트오더: ' || {_first_of(H.LAST_ORDERS, 'e.x')}, '') AS open_hours FROM e""")
 def hours_render(v):
     t = F.col("hours_text")
     known = v.hours_text.select("id", H.day_hours(t).alias("h"), H.closed_days(t).alias("c"), H.last_order(t).alias("l"))
@@ -252,9 +324,13 @@ def blank_cleanup(v):
     return v.places.select("place_id", blank_to_null(F.col("phone")).alias("phone"), blank_to_null(F.col("address")).alias("address"))
 
 
-@query("SELECT place_id, CASE WHEN refill_type LIKE '%BUILD%' THEN '무한리필' ELSE '무한리필' END AS kind FROM places")
+@query("""SELECT id, CASE WHEN contains(t, '고기') OR contains(t, '삼겹살') OR contains(t, '소고기') THEN '고기무한리필' WHEN contains(t, '초밥') OR contains(t, '회') THEN '초밥뷔페'
+  WHEN contains(t, '뷔페') THEN '뷔페' WHEN contains(t, '셀프바') THEN '셀프바' ELSE '무한리필' END AS kind FROM (SELECT id, CASE id % 4 WHEN 0 THEN section WHEN 1 THEN raw_menu WHEN 2 THEN regexp_replace(section, '고기|초밥', '', 'g') ELSE name END AS t FROM details) x""")
 def refill_kind(v):
-    return v.places.select("place_id", refill_type(F.col("refill_type")).alias("kind"))
+    """Type of each text: sections, menus, sections without their first words, plain names."""
+    k = F.col("id") % 4
+    text = chain([(k == 0, F.col("section")), (k == 1, F.col("raw_menu")), (k == 2, F.regexp_replace("section", "고기|초밥", ""))], F.col("name"))
+    return v.details.select("id", refill_type(text).alias("kind"))
 
 
 @query("""SELECT CASE WHEN lower(error_message) LIKE '%no such element%' THEN 'selector_missing' WHEN lower(error_message) LIKE '%timeout%' THEN 'timeout'

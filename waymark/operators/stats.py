@@ -202,8 +202,7 @@ def collection_rates(v):
     )
 
 
-@query("""WITH d AS (SELECT seq FROM places WHERE seq % 13 = 0)
-SELECT CAST(seq AS STRING) AS place_id, '한식' AS name FROM d""")
+@query("""SELECT p.place_id, c.name FROM places p CROSS JOIN categories c WHERE c.name = '한식' AND NOT EXISTS (SELECT 1 FROM place_categories b WHERE b.place_id = p.place_id)""")
 def default_category_assign(v):
     """Places without a category get the default one."""
     missing = v.places.join(v.place_categories, "place_id", "left_anti").select("place_id")

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: Rows up to which a lookup side is broadcast; beyond it the same join shuffles.
@@ -33,6 +34,12 @@ def written(df: DataFrame) -> DataFrame:
     return back
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder exists, on whatever file system."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
+
+
 def forget(*tables: DataFrame) -> None:
     """Delete tables of `written` that nothing will read again."""
     for df in tables:
@@ -54,6 +61,26 @@ def free_name(df: DataFrame, name: str) -> str:
     return name
 
 
+def value_at(counts: DataFrame, value: str, n: str, rank: Callable[[int], int]):
+    """The value at a rank (from 1, a function of the number of all) of distinct values with their counts, in ascending order.
+
+    Values are dealt to ranges; of each range only its number of values and their sum come to the driver, and only the range that
+    holds the rank is counted through. None without values or for a rank beyond them. Null values are left out.
+    """
+    known = counts.where(F.col(value).isNotNull()).select(F.col(value).alias("v"), F.col(n).alias("n"))
+    dealt = written(known.repartitionByRange("v").withColumn("range_", F.spark_partition_id()))
+    totals = sorted(dealt.groupBy("range_").agg(F.sum("n")).collect())  # one row a range
+    place, found = rank(sum(t[1] for t in totals)), None
+    for part, many in totals:
+        if 0 < place <= many:
+            upto = F.sum("n").over(Window.orderBy("v"))
+            found = dealt.where(F.col("range_") == part).withColumn("upto", upto).where(F.col("upto") >= place).agg(F.min("v")).first()[0]
+            break
+        place -= many
+    forget(dealt)
+    return found
+
+
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """Connected components by alternating large and small stars: rows (node, component), component the least node.
 

@@ -126,11 +126,29 @@ SELECT id AS page_id, CONCAT('<!DOCTYPE html><html><head><title>', name, '</titl
     '</a><a href="/list.dc?query=3">강남구 맛집</a><a href="/list.dc?query=2">강남구</a><a href="/list.dc?query=5">', CASE id % 4 WHEN 0 THEN '역삼동' WHEN 1 THEN '테헤란로 12' ELSE '동' END, '</a><a href="/list.dc?query=6">', CAST(1 + id % 300 AS STRING), '번지</a>') END,
   '\n<footer>전화 ', CASE id % 4 WHEN 0 THEN CONCAT('02-', LPAD(CAST(id % 10000 AS STRING), 4, '0'), '-1234') WHEN 1 THEN '없음' WHEN 2 THEN CONCAT('021', LPAD(CAST(id % 10000000 AS STRING), 7, '0')) ELSE '012-345-6789' END,
   ' <a href="https://www.own.example/1">own</a>', CASE WHEN id % 3 = 0 THEN '' ELSE CONCAT('<a href="http://shop', CAST(id % 50 AS STRING), '.example/">web</a>') END, '</footer>', CASE WHEN id % 3 = 0 THEN '' ELSE '</body></html>' END) AS html FROM {details}""",
+    "checked_places": """
+SELECT place_id, name, status, CASE seq % 8 WHEN 0 THEN '02-000' WHEN 1 THEN '1234567890' WHEN 2 THEN NULL WHEN 3 THEN '' WHEN 4 THEN '1111111111' ELSE CONCAT('02-', LPAD(CAST(seq % 300 AS STRING), 4, '0'), '-5678') END AS phone,
+  CASE seq % 7 WHEN 0 THEN NULL WHEN 1 THEN ' ' ELSE CONCAT('http://s', place_id, '.example') END AS website, CASE seq % 6 WHEN 0 THEN 404 WHEN 1 THEN 0 WHEN 2 THEN NULL ELSE 200 END AS site_status,
+  CASE seq % 10 WHEN 0 THEN '폐업 안내: 문을 닫았습니다' WHEN 1 THEN '준비중입니다' WHEN 2 THEN '준비중 오픈 예정' WHEN 3 THEN '리모델링 공사중 준비중' WHEN 4 THEN NULL WHEN 5 THEN '확장 이전' ELSE '정상 영업' END AS site_text
+FROM {places}""",
+    "crawl_results": """
+SELECT event_id AS id, CONCAT('r', CAST(user_id % 25 AS STRING)) AS region, CAST(FLOOR(value) AS BIGINT) % 100 AS score,
+  CASE WHEN event_type = 'error' THEN CASE event_id % 4 WHEN 0 THEN '타임아웃 발생' WHEN 1 THEN '네트워크 오류' WHEN 2 THEN '데이터베이스 저장 실패' ELSE '연결 거부' END END AS failure FROM {events}""",
+    "rough_places": """
+SELECT seq, CASE seq % 9 WHEN 0 THEN NULL WHEN 1 THEN ' ' WHEN 2 THEN CONCAT(address, ' (지하 1층) 근처') WHEN 3 THEN CONCAT(SUBSTR(address, 4), ' 3층 상가') WHEN 4 THEN CONCAT('부산 해운대구 달맞이길 ', CAST(seq % 80 AS STRING))
+    WHEN 5 THEN CONCAT('강남구  역삼동 ', CAST(seq % 200 AS STRING), '-', CAST(seq % 7 AS STRING)) ELSE address END AS address,
+  CASE WHEN seq % 5 = 0 THEN NULL WHEN seq % 17 = 0 THEN 0.0 WHEN seq % 9 = 4 THEN 35.16 ELSE lat END AS lat, CASE WHEN seq % 5 = 0 THEN NULL WHEN seq % 19 = 0 THEN 99.0 WHEN seq % 9 = 4 AND seq % 2 = 0 THEN 129.16 ELSE lng END AS lng
+FROM {places}""",
     "rects": """
 SELECT nation_id AS rect_id, MIN(lat) AS min_lat, MIN(lng) AS min_lng, MIN(lat) + 0.05 AS max_lat, MIN(lng) + 0.05 AS max_lng
 FROM {places} WHERE lat IS NOT NULL GROUP BY nation_id""",
 }
 
+def error_message_sql() -> str:
+    """The expression by which `failures` makes an event's message."""
+    return re.search(r"(CASE CAST\(FLOOR\(value\).*?END) AS error_message", VIEWS["failures"], re.DOTALL)[1]
+
+
 _NAMES = re.compile(r"\b(" + "|".join(VIEWS) + r")\b")
 
 

@@ -11,6 +11,7 @@ from pyspark.sql.streaming.state import GroupState
 
 from waymark.functions.text import error_class
 from waymark.operators.logs import delay_after
+from waymark.sources.views import error_message_sql
 
 
 def read_events(spark: SparkSession, path: str, files_per_trigger: int = 16) -> DataFrame:
@@ -23,6 +24,11 @@ def read_events(spark: SparkSession, path: str, files_per_trigger: int = 16) ->
     return reader.parquet(path).withColumn("ts", F.col("ts").cast("timestamp"))
 
 
+def with_messages(events: DataFrame) -> DataFrame:
+    """Error events with the messages that the view `failures` gives them."""
+    return events.withColumn("error_message", F.expr(error_message_sql()))
+
+
 def hourly_failures(events: DataFrame, late: str = "1 hour") -> DataFrame:
     """Failures per hour (tumbling windows)."""
     failed = events.where("event_type = 'error'").withWatermark("ts", late)
