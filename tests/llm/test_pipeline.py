@@ -54,3 +54,27 @@ def test_empty_tables(spark, tmp_path):
     spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
     assert [n for n, _ in corpus_pipeline.STAGES] == ["language", "lines", "near_duplicates", "benchmark", "tokens"]
+
+
+CLASHES = ["has_letter_", "token_ids", "id__", "row__", "lang_pred_", "lang_score_", "ids_", "spans_", "Lines_In_", "lines_out_", "id_", "row_", "text_", "key", "print", "root", "word"]
+
+
+def test_columns_that_clash_pass_unchanged(spark, tmp_path):
+    import corpus_pipeline
+
+    texts = {1: "the of and ing is that\nlicence one", 2: "der die und ich sch\nlicence one", 3: "her was with that the\nlicence one", 4: None, 5: "1 2"}
+    columns = ", ".join(f"{c} int" for c in CLASHES)
+    rows = [(i, t, "en" if i % 2 else "de", "s", 1, *range(i, i + len(CLASHES))) for i, t in texts.items()]
+    docs = spark.createDataFrame(rows, f"doc_id long, text string, lang string, source string, n_chars long, {columns}")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, "no such words here")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    now = docs
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        now = stage(spark, now, str(tmp_path))
+        assert now.columns == docs.columns, name
+    out = corpus_pipeline.run(spark, str(tmp_path))
+    assert out.columns == [*docs.columns, "token_ids_"]
+    got = {r.doc_id: r for r in out.collect()}
+    assert sorted(got) == [1, 2, 3]
+    for i, r in got.items():
+        assert [r[c] for c in CLASHES] == list(range(i, i + len(CLASHES)))

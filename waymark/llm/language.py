@@ -9,12 +9,14 @@ a character of the sample, lie in one array in which each state has a base at wh
 language costs about a megabyte whatever its alphabet, and many pieces of texts step through it together.
 
 Bounds of the model (parameters): per label at most `docs_each` documents, `clip` characters of each and
-`chars_each` in all; of more than `languages` labels the commonest. Every character of the samples counts.
+`chars_each` in all; of all labels together `chars_total`, shared equally, so that no label is left out (labels are
+languages: a model and a pass for each). Every character of the samples counts.
 Prediction reads whole texts; texts are cut into pieces of `PIECE` characters, which adds at most one phrase per
 cut to every language alike.
 
 Defined results: null texts and texts without a letter get `und` and score 0, as do all texts if nothing could
-be learned; ties go to the language first in code order; repeated rows are kept; all input columns are passed on.
+be learned; ties go to the language first in code order; repeated rows are kept; an empty table gives an empty one; all
+input columns are passed on, but for those that have the names of the two new ones, which are replaced.
 """
 
 from __future__ import annotations
@@ -28,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import append_columns, held_out
+from .common import append_columns, free_name, held_out
 
 UNKNOWN = "und"
 PIECE = 1024
@@ -43,18 +45,21 @@ OTHER = 0
 
 
 def training_sample(
-    docs: DataFrame, key: str, text: str, label: str, languages: int = 512, docs_each: int = 40, clip: int = 1500, chars_each: int = 24_000
+    docs: DataFrame, key: str, text: str, label: str, docs_each: int = 40, clip: int = 1500, chars_each: int = 24_000, chars_total: int = 512 * 24_000
 ) -> dict[str, str]:
-    """Label -> sample text, from labelled rows outside the held-out fold; rows are drawn by hash of id and text."""
+    """Label -> sample text, from labelled rows outside the held-out fold; rows are drawn by hash of id and text.
+
+    Every label is learned: where chars_each of each would be more than chars_total, all get an equal share.
+    """
     rows = docs.where(~held_out(key) & F.col(label).isNotNull() & F.col(text).rlike("\\p{L}"))
     rows = rows.select(F.col(label).alias("label"), F.xxhash64(F.col(key), F.col(text)).alias("draw"), F.col(text).alias("sample"))
-    common = rows.groupBy("label").count().orderBy(F.desc("count"), "label").limit(languages)
+    each = max(1, min(chars_each, chars_total // max(1, rows.select("label").distinct().count())))
     ranked = rows.select("label", "draw").withColumn("rank", F.row_number().over(Window.partitionBy("label").orderBy("draw")))
-    drawn = ranked.where(F.col("rank") <= docs_each).join(F.broadcast(common), "label", "left_semi").select("label", "draw")
-    chosen = rows.join(F.broadcast(drawn.distinct()), ["label", "draw"]).select("label", "draw", F.substring("sample", 1, clip).alias("sample"))
+    drawn = ranked.where(F.col("rank") <= docs_each).select("label", "draw")
+    chosen = rows.join(F.broadcast(drawn.distinct()), ["label", "draw"]).select("label", "draw", F.substring("sample", 1, min(clip, each)).alias("sample"))
     out: dict[str, str] = {}
     for row in sorted(chosen.distinct().collect()):
-        out[row.label] = (out.get(row.label, "") + row.sample.lower() + "\n")[:chars_each]
+        out[row.label] = (out.get(row.label, "") + row.sample.lower() + "\n")[:each]
     return out
 
 
@@ -219,13 +224,14 @@ def predict(texts: list[str | None], letters: list[bool], samples: tuple[tuple[s
     return labels, scores
 
 
-def identify(docs: DataFrame, samples: dict[str, str], text: str = "text") -> DataFrame:
-    """docs with lang_pred_ and lang_score_ appended."""
+def identify(docs: DataFrame, samples: dict[str, str], text: str = "text", names: tuple[str, str] = ("lang_pred_", "lang_score_")) -> DataFrame:
+    """docs with the language and its score appended under two names; columns that have these names are replaced."""
     model = tuple(sorted(samples.items()))
 
     def make(batch: pa.RecordBatch) -> list[pa.Array]:
         labels, scores = predict(batch.column(text).to_pylist(), batch.column(batch.num_columns - 1).to_pylist(), model)
         return [pa.array(labels, pa.string()), pa.array(scores, pa.float64())]
 
-    lettered = docs.withColumn("has_letter_", F.coalesce(F.col(text).rlike("\\p{L}"), F.lit(False)))
-    return append_columns(lettered, "lang_pred_ string, lang_score_ double", make).drop("has_letter_")
+    helper = free_name(docs, "has_letter_")
+    lettered = docs.drop(*names).withColumn(helper, F.coalesce(F.col(text).rlike("\\p{L}"), F.lit(False)))
+    return append_columns(lettered, f"`{names[0]}` string, `{names[1]}` double", make).drop(helper)

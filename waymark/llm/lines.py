@@ -14,7 +14,7 @@ dropped, so that no text is lost altogether.
 Leaves and templates are told apart by two 64-bit hashes together; two different lines are only confused if both
 collide. Tokens are separated by spaces. Defined results: null texts stay null; blank lines are no templates and stay;
 repeated rows count as one document and are treated alike; a document may end up empty but its row stays; an empty
-table stays empty; all other columns pass unchanged, but for lines_in_ and lines_out_, which are replaced.
+table stays empty; all other columns pass unchanged, but for those with the names of the two new ones, which are replaced.
 """
 
 from __future__ import annotations
@@ -91,9 +91,11 @@ def dropped_lines(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     return drops
 
 
-def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", min_docs: int = MIN_DOCS) -> DataFrame:
-    """docs with recurring lines taken out of the text, and lines_in_ and lines_out_ (0 for null) appended."""
-    docs = docs.drop("lines_in_", "lines_out_")
+def dedup_lines(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", min_docs: int = MIN_DOCS, names: tuple[str, str] = ("lines_in_", "lines_out_")
+) -> DataFrame:
+    """docs with recurring lines taken out of the text, and the numbers of lines before and after (0 for null) appended."""
+    docs = docs.drop(*names)
     key_, row, lost = renamed(docs, "key__", "row__", "drops__")
     drops = dropped_lines(docs.select(F.col(key).alias("key"), F.xxhash64(text).alias("row"), F.col(text).alias("text")), min_docs)
     drops = drops.select(F.col("key").alias(key_), F.col("row").alias(row), F.col("drops").alias(lost))
@@ -107,5 +109,5 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", min_do
     n_lines = F.when(F.col(text).isNull(), 0).otherwise(F.size(F.split(F.col(text), "\n")))
     n_drops = F.when(F.col(lost).isNull(), 0).otherwise(F.size(lost))
     return joined.select(
-        *[(cut if c == text else F.col(c)).alias(c) for c in docs.columns], n_lines.alias("lines_in_"), (n_lines - n_drops).alias("lines_out_")
+        *[(cut if c == text else F.col(c)).alias(c) for c in docs.columns], n_lines.alias(names[0]), (n_lines - n_drops).alias(names[1])
     )

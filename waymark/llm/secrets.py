@@ -11,7 +11,8 @@ Linking is an interval join per text: the parts of each role are sorted, and a p
 neighbour on either side, so a text with n parts costs n log n and no pairs are built.
 
 Patterns run over UTF-8 bytes (they match ASCII only); offsets are turned into code points before parts are linked. Defined results: null texts are empty; spans are ordered by start, then kind in the order of `KINDS`;
-repeated rows are kept; other columns pass unchanged.
+repeated rows are kept; a span that two rules find is listed once; an empty table gives an empty one; other columns pass
+unchanged, but for one named `spans_`, which is replaced.
 """
 
 from __future__ import annotations
