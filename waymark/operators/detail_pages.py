@@ -14,7 +14,7 @@ from waymark.functions import hours as H
 from waymark.functions.columns import extract, let, present
 from waymark.functions.geo import within
 from waymark.functions.text import find_phone, plausible_phone, strip_ordinal
-from waymark.operators.details import FOOD_WORDS, MENU_HEADERS, REFILL_WORDS, WON, KEPT_LINE_WORDS, MENU_LEAST, MENU_LINE, MENU_MOST, REVIEW_WORDS
+from waymark.operators.details import FOOD_WORDS, MENU_HEADERS, WON, KEPT_LINE_WORDS, MENU_LEAST, MENU_LINE, MENU_MOST, REVIEW_WORDS
 from waymark.operators.details import _number_sql, COORDINATES, listed, menu_name, mentions, mined_menu, script_pair, words_in
 from waymark.operators.quality import KOREA, phone_sql
 from waymark.plans.registry import query

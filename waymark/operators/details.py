@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from waymark.functions.columns import blank_to_null, chain, count_where, extract, first_match, present, total
+from waymark.functions.columns import blank_to_null, chain, extract, let, present, total
 from waymark.functions.geo import geodesic_m, geodesic_sql, haversine_m, sql_distance, within
 from waymark.operators.quality import KOREA
 from waymark.plans.registry import query
@@ -87,8 +87,10 @@ def mined_menu(section: Column) -> Column:
     items = F.zip_with(names, prices, lambda n, p: F.struct(p.alias("price"), n.alias("name")))
     items = F.transform(items, lambda x, i: F.struct(x["price"].alias("price"), i.alias("place"), x["name"].alias("name")))
     items = F.filter(items, lambda x: x["price"].between(MENU_LEAST, MENU_MOST) & F.char_length(x["name"]).between(3, 30))
-    first = F.filter(items, lambda x: ~F.exists(items, lambda y: (y["name"] == x["name"]) & (y["place"] < x["place"])))
-    return F.array_sort(first)
+    named = F.array_sort(F.transform(items, lambda x: F.struct(x["name"].alias("name"), x["place"].alias("place"), x["price"].alias("price"))))
+    # sorted by name and place, the first of a name is the one whose neighbour has another
+    first = let(named, lambda every: F.filter(every, lambda x, i: (i == 0) | (F.get(every, i - 1)["name"] != x["name"])))
+    return F.array_sort(F.transform(first, lambda x: F.struct(x["price"].alias("price"), x["place"].alias("place"), x["name"].alias("name"))))
 
 
 @query(f"""WITH l AS (SELECT id, array_to_string(list_filter(list_transform(string_split(section, chr(10)), lambda x: trim(x)), lambda x: length(x) >= 3
@@ -269,9 +271,6 @@ def point_grids(v):
     return v.places.where("lat IS NOT NULL").select("seq", F.concat_ws(",", *corners).alias("rect"), point).select("seq", "rect", "point.x", "point.y")
 
 
-DISTRICT_WORDS = "concat('서울 ', d, ' 무한리필'), concat(d, ' 고기무한리필'), concat(d, ' 무한리필 맛집')"
-
-
 @query("""WITH d AS (SELECT DISTINCT split_part(address, ' ', 2) AS d FROM places), h AS (SELECT DISTINCT split_part(address, ' ', 2) AS d, split_part(address, ' ', 3) AS h FROM places)
 SELECT d, unnest(['서울 ' || d || ' 무한리필', d || ' 고기무한리필', d || ' 무한리필 맛집', d || ' 회식 무한리필', d || ' 가족 무한리필', d || ' 저렴한 무한리필']) AS keyword FROM d
 UNION ALL SELECT d, unnest([h || ' 무한리필', h || ' 고기무한리필', h || '역 무한리필']) FROM h""")
@@ -285,11 +284,11 @@ def search_keywords(v):
     return one.unionByName(spots.select("d", F.explode(near).alias("keyword")))
 
 
-@query("SELECT id, array_to_string(regexp_extract_all(replace(split_part(raw, ' ', 1), '.', ''), '[A-Z][a-z]*|[a-z]+'), ',') AS words FROM (SELECT p_partkey AS id, concat('.', upper(left(p_name, 1)), substr(p_name, 2), upper(left(p_type, 2)), lower(p_type)) AS raw FROM part) q")
+@query("SELECT id, array_to_string(regexp_extract_all(replace(replace(raw, ' ', ''), '.', ''), '[A-Z][a-z]*|[a-z]+'), ',') AS words FROM (SELECT p_partkey AS id, concat('.', upper(left(p_name, 1)), substr(p_name, 2), upper(left(p_type, 1)), lower(substr(p_type, 2))) AS raw FROM part) q")
 def selector_words(v):
     """Words of a class selector, cut at capitals."""
-    raw = F.concat(F.lit("."), F.upper(F.left("p_name", F.lit(1))), F.substring("p_name", 2, 1000), F.upper(F.left("p_type", F.lit(2))), F.lower("p_type"))
-    found = F.regexp_extract_all(F.replace(F.split_part(raw, F.lit(" "), F.lit(1)), F.lit("."), F.lit("")), F.lit("[A-Z][a-z]*|[a-z]+"), F.lit(0))
+    raw = F.concat(F.lit("."), F.upper(F.left("p_name", F.lit(1))), F.expr("substring(p_name, 2)"), F.upper(F.left("p_type", F.lit(1))), F.lower(F.expr("substring(p_type, 2)")))
+    found = F.regexp_extract_all(F.replace(F.replace(raw, F.lit(" "), F.lit("")), F.lit("."), F.lit("")), F.lit("[A-Z][a-z]*|[a-z]+"), F.lit(0))
     return v.part.select(F.col("p_partkey").alias("id"), F.array_join(found, ",").alias("words"))
 
 

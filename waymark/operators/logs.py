@@ -52,19 +52,19 @@ def burst_detect(v):
     return bursts(v.failures, "user_id").select("event_id", "blocked")
 
 
-@query("""SELECT id, round(m, 6) AS memory, CASE WHEN n < 5 THEN 0 WHEN m > 1500 THEN -1 WHEN s < 80 THEN -1 WHEN m < 800 AND s > 95 THEN 1 ELSE 0 END AS step FROM (
-  SELECT id, count(*) OVER x AS n, avg(CAST(found AS DOUBLE) * 25) OVER x AS m, avg(CASE WHEN status = 'completed' THEN 100.0 ELSE 0.0 END) OVER x AS s FROM crawl_log
+@query("""SELECT id, round(m, 6) AS memory, CASE WHEN n < 5 THEN 0 WHEN m > 1500 THEN -1 WHEN s < 80 THEN -1 WHEN m < 800 AND s > 95 AND t < 300 THEN 1 ELSE 0 END AS step FROM (
+  SELECT id, count(*) OVER x AS n, avg(CAST(found AS DOUBLE) * 8) OVER x AS t, avg(CAST(found AS DOUBLE) * 25) OVER x AS m, avg(CASE WHEN status = 'completed' THEN 100.0 ELSE 0.0 END) OVER x AS s FROM crawl_log
   WINDOW x AS (PARTITION BY user_id ORDER BY created_at, id ROWS BETWEEN 4 PRECEDING AND CURRENT ROW)) q""")
 def worker_adjust(v):
-    return worker_steps(v.crawl_log.withColumn("memory", F.col("found") * F.lit(25.0)))
+    return worker_steps(v.crawl_log.withColumn("memory", F.col("found") * F.lit(25.0)).withColumn("seconds", F.col("found") * F.lit(8.0)))
 
 
-def worker_steps(log: DataFrame, most_memory: float = 1500, least_memory: float = 800, least_success: float = 80, good_success: float = 95) -> DataFrame:
-    """Mean of the last five measures of a worker decides on one worker more or less."""
+def worker_steps(log: DataFrame, most_memory: float = 1500, least_memory: float = 800, least_success: float = 80, good_success: float = 95, most_seconds: float = 300) -> DataFrame:
+    """Means of the last five measures (memory, status, seconds) of a worker decide on one worker more or less."""
     last = Window.partitionBy("user_id").orderBy("created_at", "id").rowsBetween(-4, 0)
     ok = F.when(F.col("status") == "completed", 100.0).otherwise(0.0)
-    rows = log.select("id", F.count("*").over(last).alias("n"), F.avg("memory").over(last).alias("m"), F.avg(ok).over(last).alias("s"))
-    grow = (F.col("m") < least_memory) & (F.col("s") > good_success)
+    rows = log.select("id", F.count("*").over(last).alias("n"), F.avg("memory").over(last).alias("m"), F.avg(ok).over(last).alias("s"), F.avg("seconds").over(last).alias("t"))
+    grow = (F.col("m") < least_memory) & (F.col("s") > good_success) & (F.col("t") < most_seconds)
     step = chain([(F.col("n") < 5, 0), (F.col("m") > most_memory, -1), (F.col("s") < least_success, -1), (grow, 1)], 0)
     return rows.select("id", F.round("m", 6).alias("memory"), step.alias("step"))
 

@@ -98,23 +98,28 @@ def search_by_name(v):
     return v.places.where(F.col("name").ilike("%store 29%")).select("place_id", "name", "address")
 
 
-def _is(term: str):
-    return lambda w: w == F.lit(term)
+FULLTEXT_TERMS = ["the", "and"]
 
 
-FULLTEXT_TERMS = ["the", "and"]
+#: What a word is made of.
+WORD = "[\\p{L}\\p{N}]"
+
 
+def fulltext(docs: DataFrame, terms: list[str], key: str = "doc_id", text: str = "text", most: int | None = None) -> DataFrame:
+    """Rows that hold every term as a word, and their rank: occurrences of the terms per logarithm of the number of words.
 
-def fulltext(docs: DataFrame, terms: list[str], key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Rows that hold every term, ranked by occurrences of the terms per logarithm of the number of words."""
-    words = F.filter(F.split(F.lower(text), "[^\\p{L}\\p{N}]+"), lambda w: w != "")
-    counted = docs.select(key, words.alias("words")).select(
-        key, F.size("words").alias("n"), *[F.size(F.filter("words", _is(x))).alias(f"tf{i}") for i, x in enumerate(terms)]
-    )
+    Texts are first searched for the terms as plain strings, and only those that hold all of them are looked through for
+    words, which are counted where they stand and never gathered. most: only so many, best first (ties: smaller key).
+    """
+    low = F.lower(text)
+    held = docs.select(key, low.alias("low_")).where(reduce(lambda a, b: a & b, [F.col("low_").contains(t) for t in terms]))
     hits = [F.col(f"tf{i}") for i in range(len(terms))]
-    every = reduce(lambda a, b: a & b, [h > 0 for h in hits])
+    found = [F.regexp_count("low_", F.lit(f"(?<!{WORD})\\Q{t}\\E(?!{WORD})")).alias(f"tf{i}") for i, t in enumerate(terms)]
+    counted = held.select(key, "low_", *found).where(reduce(lambda a, b: a & b, [h > 0 for h in hits]))
+    counted = counted.withColumn("n", F.regexp_count("low_", F.lit(f"{WORD}+")))
     rank = reduce(lambda a, b: a + b, hits) / (1 + F.log(F.greatest(F.col("n"), F.lit(1)).cast("double")))
-    return counted.where(every).select(key, F.col("n").cast("long").alias("n_words"), F.round(rank, 6).alias("rank")).orderBy(F.desc("rank"), key)
+    out = counted.select(key, F.col("n").cast("long").alias("n_words"), F.round(rank, 6).alias("rank"))
+    return out if most is None else out.orderBy(F.desc("rank"), key).limit(most)
 
 
 @query(r"""

@@ -126,6 +126,18 @@ SELECT id AS page_id, CONCAT('<!DOCTYPE html><html><head><title>', name, '</titl
     '</a><a href="/list.dc?query=3">강남구 맛집</a><a href="/list.dc?query=2">강남구</a><a href="/list.dc?query=5">', CASE id % 4 WHEN 0 THEN '역삼동' WHEN 1 THEN '테헤란로 12' ELSE '동' END, '</a><a href="/list.dc?query=6">', CAST(1 + id % 300 AS STRING), '번지</a>') END,
   '\n<footer>전화 ', CASE id % 4 WHEN 0 THEN CONCAT('02-', LPAD(CAST(id % 10000 AS STRING), 4, '0'), '-1234') WHEN 1 THEN '없음' WHEN 2 THEN CONCAT('021', LPAD(CAST(id % 10000000 AS STRING), 7, '0')) ELSE '012-345-6789' END,
   ' <a href="https://www.own.example/1">own</a>', CASE WHEN id % 3 = 0 THEN '' ELSE CONCAT('<a href="http://shop', CAST(id % 50 AS STRING), '.example/">web</a>') END, '</footer>', CASE WHEN id % 3 = 0 THEN '' ELSE '</body></html>' END) AS html FROM {details}""",
+    "selector_failures": """
+SELECT event_id, ts, CASE event_id % 6 WHEN 0 THEN 403 WHEN 1 THEN 429 WHEN 2 THEN 503 WHEN 3 THEN 404 ELSE 200 END AS code, CASE user_id % 5 WHEN 0 THEN 'No such element selector:.PoiBlock' WHEN 1 THEN CONCAT('No such element selector:.Info__Title', CAST(user_id % 3 AS STRING), ' after 3 s')
+  WHEN 2 THEN 'no such element selector:#main' WHEN 3 THEN 'Too Many Requests' ELSE 'other' END AS error_message FROM {events} WHERE event_type = 'error'""",
+    "script_menus": """
+SELECT id, CASE id % 13 WHEN 0 THEN NULL WHEN 1 THEN 'var b = 2;' WHEN 2 THEN 'aData = [{{broken]; x' ELSE CONCAT('var a=1; aData  = [{{"menu":{{"list":[{{"menu":" ', name, ' ","price":"', CAST(3 + id % 120 AS STRING), ',000원","best":', CAST(id % 2 AS STRING), '}},{{"menu":"특선","price":"약 ',
+  CAST(4 + id % 9 AS STRING), ',500원~"}},{{"menu":"","price":"9,000원"}},{{"menu":"시가","price":"시가"}},{{"menu":"모듬","price":"12000원"}}]}}}},{{"menu":1}}];') END AS script FROM {details}""",
+    "menu_texts": """
+SELECT id, CASE WHEN id % 23 = 0 THEN NULL ELSE CONCAT('a ', raw_menu, ' 추천', CASE WHEN id % 2 = 0 THEN '\n' ELSE ' ' END, CAST(5 + id % 50 AS STRING), ',900원\n평일 점심 15시 이전 입장기준 추천 ', CAST(3 + id % 30 AS STRING), ',500 원\n',
+  CASE id % 3 WHEN 0 THEN '무한리필 초등할인(4학년) 추천: 16,000원' WHEN 1 THEN '주말 뷔페 할인 - 21,000원' ELSE '방문 후기 무한리필 9,000원' END, '\n', section, '\n셀프바\n', CAST(6 + id % 9 AS STRING), ',000원') END AS t FROM {details}""",
+    "hours_rows": """
+SELECT p_partkey AS id, CASE p_partkey % 8 WHEN 0 THEN '24시간 영업' WHEN 1 THEN '11:00 - 22:00' WHEN 2 THEN '25:10 - 26:70' WHEN 3 THEN '22:00 - 11:00' WHEN 4 THEN '연중무휴 10:00~20:00' WHEN 5 THEN '18:00 - 02:00, 11:00 - 14:00' WHEN 6 THEN '' END AS open_hours,
+  CASE p_size % 5 WHEN 0 THEN '15:00 - 16:00' WHEN 1 THEN '23:00~23:30' WHEN 2 THEN '' WHEN 3 THEN '없음' END AS break_time, CASE p_size % 3 WHEN 0 THEN '21:30' WHEN 1 THEN ' ' END AS last_order FROM {part}""",
     "checked_places": """
 SELECT place_id, name, status, CASE seq % 8 WHEN 0 THEN '02-000' WHEN 1 THEN '1234567890' WHEN 2 THEN NULL WHEN 3 THEN '' WHEN 4 THEN '1111111111' ELSE CONCAT('02-', LPAD(CAST(seq % 300 AS STRING), 4, '0'), '-5678') END AS phone,
   CASE seq % 7 WHEN 0 THEN NULL WHEN 1 THEN ' ' ELSE CONCAT('http://s', place_id, '.example') END AS website, CASE seq % 6 WHEN 0 THEN 404 WHEN 1 THEN 0 WHEN 2 THEN NULL ELSE 200 END AS site_status,
