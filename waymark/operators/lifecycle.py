@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from waymark.functions.columns import chain, total
 from waymark.functions.text import plausible_phone
+from waymark.plans.durable import row_numbers, small_side
 from waymark.plans.registry import query
 
 #: Registered queries look at the world as of this date.
@@ -132,7 +133,7 @@ def links_replaced(v):
 @query("SELECT place_id, category_id FROM place_categories b WHERE b.category_id IN (SELECT id FROM categories WHERE name NOT IN ('양식', '중식'))")
 def links_without_categories(v):
     gone = v.categories.where(F.col("name").isin("양식", "중식")).select(F.col("id").alias("category_id"))
-    return v.place_categories.join(F.broadcast(gone), "category_id", "left_anti").select("place_id", "category_id")
+    return v.place_categories.join(small_side(gone), "category_id", "left_anti").select("place_id", "category_id")
 
 
 @query(f"SELECT l_orderkey, l_linenumber, issue_type FROM quality_issues WHERE created_at >= TIMESTAMP '{AS_OF}' - INTERVAL 400 DAY")
@@ -152,4 +153,4 @@ def session_state(v):
 def category_ids(v):
     """Ids for a small dimension, by name."""
     names = v.places.select(F.col("refill_type").alias("name")).distinct()
-    return names.select("name", F.dense_rank().over(Window.partitionBy(F.lit(1)).orderBy("name")).cast("long").alias("id"))
+    return row_numbers(names, [F.col("name").asc()], "id")

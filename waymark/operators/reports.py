@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from waymark.functions.columns import chain, count_where
 from waymark.functions.price import parse_price
+from waymark.plans.durable import small_side
 from waymark.plans.registry import query
 
 #: Steps of each score (least value, score), lowest score last, and the weights of the total.
@@ -94,9 +95,9 @@ def incomplete_districts(v):
 
 @query("SELECT p.place_id, c.id AS category_id FROM places p, categories c WHERE c.name = '고기' AND p.name = 'Store 1'")
 def literal_links(v):
-    """Links of the places of one name with the category of one name; one side is one row of a seven-row table."""
+    """Links of the places of one name with the categories of one name."""
     one = v.categories.where("name = '고기'").select(F.col("id").alias("category_id"))
-    return v.places.where("name = 'Store 1'").select("place_id").crossJoin(F.broadcast(one.limit(1)))
+    return v.places.where("name = 'Store 1'").select("place_id").crossJoin(small_side(one))
 
 
 @query("SELECT DISTINCT tag FROM (SELECT unnest(string_split(raw, ' ')) AS tag FROM raw_categories) x WHERE tag <> ''")

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from waymark.functions.geo import haversine_m, near_box, sql_distance
+from waymark.plans.durable import small_side
 from waymark.plans.registry import query
 
 #: Where the registered searches look, and how far in metres.
@@ -36,7 +37,7 @@ def filter_places(
         found = found.where(F.greatest("naver_rating", "kakao_rating", "src_rating") >= min_rating)
     if wanted is not None:
         named = categories.where(F.col("name").isin(wanted)).select(F.col("id").alias("category_id"))
-        found = found.join(bridge.join(F.broadcast(named), "category_id"), "place_id", "left_semi")
+        found = found.join(bridge.join(small_side(named), "category_id"), "place_id", "left_semi")
     return found.orderBy("distance", "place_id")
 
 

@@ -6,12 +6,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from waymark.functions.columns import chain, count_where, present
+from waymark.plans.durable import small_side
 from waymark.plans.registry import query
 
 
 def categories_of(places: DataFrame, bridge: DataFrame, categories: DataFrame) -> DataFrame:
-    """places with category_names, sorted; empty where there are none. The dimension is a handful of rows."""
-    names = bridge.join(F.broadcast(categories.select(F.col("id").alias("category_id"), F.col("name").alias("category"))), "category_id")
+    """places with category_names, sorted; empty where there are none."""
+    names = bridge.join(small_side(categories.select(F.col("id").alias("category_id"), F.col("name").alias("category"))), "category_id")
     lists = names.groupBy("place_id").agg(F.array_sort(F.collect_set("category")).alias("category_names"))
     return places.join(lists, "place_id", "left").withColumn("category_names", F.coalesce("category_names", F.array().cast("array<string>")))
 
@@ -145,7 +146,7 @@ def completeness_profile(v):
   round(avg(CASE WHEN names IS NULL THEN 0 WHEN len(names) > 0 THEN len(names) END), 6) AS avg_images FROM places {NAMES_SQL}""")
 def image_profile(v):
     """Null arrays count as 0 in the mean, empty ones are left out."""
-    lists = v.place_categories.join(F.broadcast(v.categories), F.col("category_id") == F.col("id")).groupBy("place_id").agg(F.collect_set("name").alias("names"))
+    lists = v.place_categories.join(small_side(v.categories), F.col("category_id") == F.col("id")).groupBy("place_id").agg(F.collect_set("name").alias("names"))
     sizes = v.places.join(lists, "place_id", "left")
     mean = F.avg(F.when(F.col("names").isNull(), 0).when(F.size("names") > 0, F.size("names")))
     return sizes.agg(F.count("*").alias("total"), count_where(F.size("names") > 0).alias("with_images"), F.round(mean, 6).alias("avg_images"))
@@ -206,7 +207,7 @@ def collection_rates(v):
 def default_category_assign(v):
     """Places without a category get the default one."""
     missing = v.places.join(v.place_categories, "place_id", "left_anti").select("place_id")
-    return missing.crossJoin(F.broadcast(v.categories.where(F.col("name") == "한식").select("name")))
+    return missing.crossJoin(small_side(v.categories.where(F.col("name") == "한식").select("name")))
 
 
 @query("""SELECT nation_id, place_id, address FROM (SELECT nation_id, place_id, address, row_number() OVER (PARTITION BY nation_id ORDER BY src_rating DESC NULLS LAST, place_id) AS r

@@ -81,6 +81,19 @@ def value_at(counts: DataFrame, value: str, n: str, rank: Callable[[int], int]):
     return found
 
 
+def row_numbers(rows: DataFrame, order: list, name: str) -> DataFrame:
+    """rows with a column of numbers 1, 2, 3 ... in the order, which should tell all rows apart.
+
+    Rows are dealt to ranges and numbered inside them; a range goes on where those before it end. No task holds all rows.
+    """
+    dealt = written(rows.repartitionByRange(*order).withColumn("range_", F.spark_partition_id()))
+    sizes = dealt.groupBy("range_").agg(F.count("*").alias("many_"))  # one row a range
+    begins = F.coalesce(F.sum("many_").over(Window.orderBy("range_").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    place = F.row_number().over(Window.partitionBy("range_").orderBy(*order))
+    joined = dealt.join(F.broadcast(sizes.select("range_", begins.alias("begins_"))), "range_")
+    return joined.withColumn(name, F.col("begins_") + place).select(*rows.columns, name)
+
+
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """Connected components by alternating large and small stars: rows (node, component), component the least node.
 
@@ -126,12 +139,14 @@ def first_seeds(pairs: DataFrame) -> DataFrame:
     """
     pairs = written(pairs.select("i", "j").distinct())
     open_ = written(pairs.select(F.col("i").alias("n")).union(pairs.select("j")).distinct())
-    seeds = open_.limit(0)
+    seeds = pairs.sparkSession.createDataFrame([], "n long")
     while not open_.isEmpty():
+        now = open_
         live = pairs.join(open_.withColumnRenamed("n", "i"), "i", "left_semi").join(open_.withColumnRenamed("n", "j"), "j", "left_semi")
         new = written(open_.join(live.select(F.col("j").alias("n")).distinct(), "n", "left_anti"))
         decided = live.join(new.withColumnRenamed("n", "i"), "i", "left_semi").select(F.col("j").alias("n")).union(new).distinct()
         open_ = written(open_.join(decided, "n", "left_anti"))
+        forget(now)
         seeds = seeds.union(new)
     taken = pairs.join(seeds.withColumnRenamed("n", "i"), "i", "left_semi").groupBy(F.col("j").alias("member")).agg(F.min("i").alias("seed"))
     return taken.unionByName(seeds.select(F.col("n").alias("member"), F.col("n").alias("seed")))
