@@ -2,6 +2,7 @@ import random
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import functions as F
 
 from waymark.llm.passages import LEAST, REACH, _classes, compact_windows, digests, grow, may_match, mix, passage_classes, shingles, similar, sketches
 
@@ -96,6 +97,33 @@ def test_planted_passages(spark):
     assert passage_classes(df.limit(0)).count() == 0
 
 
+def test_common_minima_change_no_result(spark, monkeypatch):
+    from waymark.llm import passages
+
+    rng = random.Random(31)
+
+    def prose(n):
+        return " ".join("".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(n))
+
+    shared = [prose(60), prose(70)]
+    docs = [(i, f"{prose(rng.randint(0, 60))} {shared[i % 2]} {prose(rng.randint(0, 60))}") for i in range(40)] + [(100 + i, prose(150)) for i in range(20)] + [(200, prose(80) * 2)]
+    docs += [(300 + i, docs[0][1]) for i in range(10)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    want = sorted(map(tuple, passage_classes(df).collect()))
+    monkeypatch.setattr(passages, "ASKED", 1)
+    monkeypatch.setattr(passages, "COMMON", 20)
+    monkeypatch.setattr(passages, "MOST_COMMON", 1000)
+    found = passages.common_minima(df.withColumn("of", F.xxhash64("text"))).collect()
+    assert found and all(r.common for r in found)
+    assert sorted(map(tuple, passage_classes(df).collect())) == want
+
+    def every(docs):
+        return docs.select("of", "text").mapInArrow(passages._windows, passages.WINDOWS).select("min").distinct().withColumn("common", F.lit(True))
+
+    monkeypatch.setattr(passages, "common_minima", every)
+    assert sorted(map(tuple, passage_classes(df).collect())) == want
+
+
 def chain_links(grids, reps, more=False):
     n = len(grids)
     columns = [pa.array([7] * n), pa.array([0] * n), pa.array([more] * n), pa.array(reps), pa.array([-1] * n, pa.int32()), pa.array([g.tobytes() for g in grids], pa.binary())]

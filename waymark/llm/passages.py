@@ -6,7 +6,8 @@ tree over the hashes whose subtree has at least `LEAST` positions, a compact win
 Two similar passages share the minimum under a hash with a probability of their similarity, so their windows meet
 under the same (function, minimum), which is the key: all functions miss a pair of similarity 0.8 once in 600 times.
 
-Windows whose key occurs in one text only are dropped as they stream by. The others are joined on it, with the
+Windows whose key occurs in one text only are dropped as they stream by; the windows of a key that is common in a part
+of the texts stay without that look and are dealt to many tasks. The others are joined on it, with the
 interval condition that what both windows cover can hold a passage, and verified on the shingles around the centre:
 a stretch of at least `LEAST` positions that holds the centre and whose similarity (common / all shingles, allowing
 shifts of two words) is 0.8 or more. Of windows that a text repeats with equal shingles, one is kept.
@@ -36,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, materialise, small_side
+from .common import components, forget, materialise, small_side
 
 #: Words of a shingle, shingles of a passage (50 words), hash functions, and least similarity.
 SHINGLE, LEAST, HASHES, SIMILARITY = 5, 46, 4, 0.8
@@ -45,8 +46,11 @@ REACH, SHIFTS = 64, (-2, -1, 0, 1, 2)
 #: Windows of a minimum that are compared in one task; bytes of text hashed together.
 BLOCK, TOGETHER = 4096, 1 << 22
 #: Shingles of a section of the sketches, rows of a group beyond which tiles of sketches are compared, rows of a tile, and of what is
-#: verified at once.
+#: sketched, hashed and verified at once.
 SECTION, LARGE, TILE, CHUNK = LEAST // 4, 64, 64, 16_384
+#: Of this many texts one is asked for minima that are common; least windows of one there, most such minima for each task
+#: of a shuffle, and tasks that one is dealt to.
+ASKED, COMMON, MOST_COMMON, SALTS = 64, 32, 8, 64
 #: Low bits of a key that hold the position while sliding.
 PLACE = np.uint64((1 << 23) - 1)
 
@@ -196,10 +200,11 @@ def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by (min, of, centre): those of minima that two texts have, once each. Holds one text's rows of one minimum."""
+    """Rows (min, of, centre, reach, common) sorted by the first three: those of minima that two texts have or that are
+    common, once each. Holds one text's rows of one minimum."""
     pending, open_min = None, None
     for batch in batches:
-        now = [np.asarray(c) for c in batch.columns]
+        now = [np.asarray(c) for c in batch.columns[:4]] + [np.asarray(batch.column(4).to_pylist(), bool)]
         if pending is not None:
             now = [np.concatenate(x) for x in zip(pending, now, strict=True)]
         key, of, centre = now[:3]
@@ -208,16 +213,16 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         new = np.ones(len(key), bool)
         new[1:] = (key[1:] != key[:-1]) | (of[1:] != of[:-1]) | (centre[1:] != centre[:-1])
         now = [c[new] for c in now]
-        key, of = now[:2]
+        key, of, common = now[0], now[1], now[4]
         cuts = np.flatnonzero(key[1:] != key[:-1]) + 1
         first, last = np.concatenate([[0], cuts]), np.concatenate([cuts, [len(key)]])
-        several = of[first] != of[last - 1]
+        several = (of[first] != of[last - 1]) | common[first]
         if open_min is not None and key[0] == open_min:
             several[0] = True
         emit = np.repeat(several, last - first)
         open_min, pending = (key[-1], None) if several[-1] else (None, [c[first[-1] :] for c in now])
         if emit.any():
-            yield pa.RecordBatch.from_arrays([pa.array(c[emit]) for c in now], batch.schema.names)
+            yield pa.RecordBatch.from_arrays([pa.array(c[emit]) for c in now[:4]], batch.schema.names[:4])
 
 
 def _around(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -247,7 +252,8 @@ def _around(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def digests(grid: np.ndarray, group: np.ndarray) -> np.ndarray:
     """A hash of each row of shingles and its group."""
-    return mix((grid * PLACES).sum(axis=1, dtype=np.uint64) ^ mix(group.astype(np.int64).view(np.uint64)))
+    sums = [(grid[i : i + CHUNK] * PLACES).sum(axis=1, dtype=np.uint64) for i in range(0, len(grid), CHUNK)]
+    return mix(np.concatenate([np.zeros(0, np.uint64), *sums]) ^ mix(group.astype(np.int64).view(np.uint64)))
 
 
 def similar(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -279,13 +285,23 @@ def sketches(grid: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """For each stretch of three sections around a row's centre: a bit in 128 (two words) for each of its shingles, and a
     count that no sketch may differ by where the row's window does not cover the stretch; and the bits by which
     sketches of this row may differ, which grow with its window."""
-    place = grid.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(57)
-    bit = np.where(grid, np.uint64(1) << (place & np.uint64(63)), np.uint64(0))
-    words = [np.where(place >> np.uint64(6) == w, bit, np.uint64(0)) for w in np.arange(2, dtype=np.uint64)]
-    stretches = [slice(REACH - SECTION * (3 - right), REACH + SECTION * right + 1) for right in range(4)]
-    short = [np.count_nonzero(grid[:, s], axis=1) <= 3 * SECTION - max(SHIFTS) for s in stretches]
-    masks = np.stack([np.bitwise_or.reduce(w[:, s], axis=1) for s in stretches for w in words])
-    return masks, np.stack(short).astype(np.uint8) * np.uint8(60), MOST_BITS[np.count_nonzero(grid, axis=1)][None]
+    parts = [_sketches(grid[i : i + CHUNK]) for i in range(0, max(1, len(grid)), CHUNK)]
+    return tuple(np.concatenate(p, axis=1) for p in zip(*parts, strict=True))
+
+
+def _sketches(grid: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The sketches of rows that are worked on at once."""
+    near = grid[:, REACH - 3 * SECTION : REACH + 3 * SECTION + 1]
+    place = near.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(57)
+    bit = (near != 0).astype(np.uint64) << (place & np.uint64(63))
+    # three sections, the centre, three sections; a stretch is four neighbours of these
+    cuts = [0, SECTION, 2 * SECTION, 3 * SECTION, 3 * SECTION + 1, 4 * SECTION + 1, 5 * SECTION + 1]
+    upper = place >> np.uint64(6) != 0
+    words = [np.bitwise_or.reduceat(np.where(upper == w, bit, np.uint64(0)), cuts, axis=1) for w in (False, True)]
+    filled = np.add.reduceat((near != 0).astype(np.uint8), cuts, axis=1)
+    masks = np.stack([np.bitwise_or.reduce(w[:, right : right + 4], axis=1) for right in range(4) for w in words])
+    short = np.stack([filled[:, right : right + 4].sum(axis=1) <= 3 * SECTION - max(SHIFTS) for right in range(4)])
+    return masks, short.astype(np.uint8) * np.uint8(60), MOST_BITS[np.count_nonzero(grid, axis=1)][None]
 
 
 def may_match(a: tuple[np.ndarray, np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray, np.ndarray]) -> np.ndarray:
@@ -432,11 +448,26 @@ def _classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 LINKS = "a long, b long, min long, around binary"
 
 
+def common_minima(docs: DataFrame) -> DataFrame:
+    """Minima with so many windows that no task should get all of them, guessed from a part of the texts: at most
+    `MOST_COMMON` for each task of a shuffle. The guess only decides how rows are dealt."""
+    asked = docs.where(F.pmod(F.xxhash64("of", F.lit(1)), F.lit(ASKED)) == 0)
+    counts = materialise(asked.select("of", "text").mapInArrow(_windows, WINDOWS).groupBy("min").agg(F.count("*").alias("n")))
+    every = counts.agg(F.sum("n")).first()[0] or 0
+    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    found = materialise(counts.where(F.col("n") >= max(COMMON, every // (MOST_COMMON * tasks))).select("min", F.lit(True).alias("common")))
+    forget(counts)
+    return found
+
+
 def passage_links(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     """Verified links (a, b) between texts, by their hashes. docs: doc_id (may be null), of (hash of the text), text."""
     windows = docs.select("of", "text").mapInArrow(_windows, WINDOWS)
-    shared = windows.repartition("min").sortWithinPartitions("min", "of", "centre").mapInArrow(_shared, WINDOWS)
-    shared = materialise(shared)
+    # a common minimum is had by several texts without looking, so its windows need not meet in one task
+    dealt = windows.join(small_side(common_minima(docs)), "min", "left").withColumn("common", F.coalesce("common", F.lit(False)))
+    salt = F.when(F.col("common"), F.pmod(F.xxhash64("of"), F.lit(SALTS))).otherwise(F.lit(0)).alias("salt")
+    dealt = dealt.repartition("min", salt).select("min", "of", "centre", "reach", "common")
+    shared = materialise(dealt.sortWithinPartitions("min", "of", "centre").mapInArrow(_shared, WINDOWS))
     # a text is read from the row with its smallest id; one that only rows without id have, from any of them
     reps = docs.groupBy("of").agg(F.min("doc_id").alias("id"))
     mine = shared.groupBy("of").agg(F.collect_set(F.struct("min", "centre", "reach")).alias("windows")).join(reps, "of")
