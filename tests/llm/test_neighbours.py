@@ -1,6 +1,8 @@
 import math
+import os
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from waymark.llm.neighbours import nearest
@@ -43,3 +45,27 @@ def test_copies_and_edges(spark):
     check(spark, rows, 10, 0.99, shard_size=100)
     df = spark.createDataFrame([], "vec_id long, embedding array<double>")
     assert nearest(df, F.col("vec_id") % 100 == 0).count() == 0
+
+
+def test_ids_with_two_vectors(spark):
+    rows = [(100, [1.0, 0.0]), (100, [0.0, 1.0]), (7, [1.0, 0.1]), (8, [0.1, 1.0]), (7, [0.0, 5.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = nearest(df, F.col("vec_id") % 100 == 0, 3).orderBy("rank").collect()
+    assert [(r.query_id, r["rank"], r.vec_id) for r in got] == [(100, 1, 7), (100, 2, 8)] and all(abs(r.score - 0.1) < 1e-12 for r in got)
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.1"), reason="driver tables are not here")
+def test_recall_on_the_given_vectors_over_several_shards(spark):
+    table = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").select("vec_id", "embedding")
+    rows = table.collect()
+    matrix, ids = np.array([r.embedding for r in rows], np.float64), np.array([r.vec_id for r in rows])
+    want = {}
+    for q in np.flatnonzero(ids % 100 == 0):
+        far = np.sqrt(((matrix - matrix[q]) ** 2).sum(axis=1))
+        order = [i for i in np.lexsort((ids, far)) if ids[i] != ids[q]][:10]
+        want[int(ids[q])] = {int(ids[i]) for i in order}
+    for shard_size in (500, None):
+        got = {}
+        for r in nearest(table, F.col("vec_id") % 100 == 0, shard_size=shard_size).collect():
+            got.setdefault(r.query_id, set()).add(r.vec_id)
+        assert sum(len(got[q] & w) for q, w in want.items()) >= 0.97 * 10 * len(want)

@@ -7,8 +7,9 @@ A finite-state machine over the roles, given as a transition table, validates tu
 
 Defined results: null texts and roles are empty; turns are ordered by turn (null first), then role, then text;
 an unknown role is formatted like the others, bears no loss and is invalid; a conversation is one row however its
-turns are repeated; a null conv_id is a conversation of its own. A turn's formatting happens before turns meet;
-one conversation must fit in one row (2 GB), since its digest is one digest.
+turns are repeated; a null conv_id is a conversation of its own; an empty table gives an
+empty one. A turn's formatting happens before turns meet; one conversation must fit in one row (2 GB), since its
+digest is one digest.
 """
 
 from __future__ import annotations

@@ -1,7 +1,8 @@
 """Approximate nearest neighbours: one hierarchical navigable small-world graph per shard, results merged.
 
 Equal vectors are merged first (a graph of copies does not navigate): a distinct vector keeps its k + 1 smallest
-ids, of which no query can need more. Distinct vectors are dealt to shards of about `SHARD` by hash; a task builds
+ids, of which no query can need more. Distinct vectors are dealt by hash to shards of about `SHARD`, or of `GROWTH` times
+the root of their number if that is more, so that shards grow in number and in size alike; a task builds
 a shard's graph, and the index is a table with one row per shard: vectors, ids and, per layer, flat neighbour
 arrays. Queries are dealt to groups of about `GROUP`; every (shard, group) pair is searched in a task of its own,
 and the shards' answers are merged by rank. Nothing passes through the driver but counts.
@@ -25,7 +26,7 @@ from pyspark.sql import functions as F
 
 from .common import materialise, small_side
 
-SHARD, GROUP = 4096, 8192
+SHARD, GROWTH, GROUP = 4096, 16, 8192
 #: Tasks that build shards, at most; a shard is small in bytes but long to build, so shards are not put together.
 MOST_TASKS = 20_000
 #: Links of a node on upper layers and on layer 0, and the breadth of searches while building and asking.
@@ -180,12 +181,13 @@ def usable(vector: Column) -> Column:
     return F.coalesce(vector.isNotNull() & (F.size(vector) > 0) & fine & F.exists(vector, lambda v: v != 0), F.lit(False))
 
 
-def build_index(vectors: DataFrame, k: int, shard_size: int = SHARD) -> tuple[DataFrame, DataFrame]:
+def build_index(vectors: DataFrame, k: int, shard_size: int | None = None) -> tuple[DataFrame, DataFrame]:
     """(index, sizes): the shards' table, and (dim, shards). vectors: id, vector (array of double)."""
     ranked = vectors.withColumn("rank", F.row_number().over(Window.partitionBy("vector").orderBy("id")))
     distinct = ranked.where(F.col("rank") <= k + 1).groupBy("vector").agg(F.sort_array(F.collect_list("id")).alias("ids"))
     distinct = materialise(distinct.withColumn("dim", F.size("vector")).withColumn("first", F.get("ids", F.lit(0))))
-    sizes = distinct.groupBy("dim").agg(F.ceil(F.count("*") / shard_size).cast("int").alias("shards"))
+    size = F.greatest(F.lit(float(SHARD)), GROWTH * F.sqrt(F.count("*"))) if shard_size is None else F.lit(float(shard_size))
+    sizes = distinct.groupBy("dim").agg(F.ceil(F.count("*") / size).cast("int").alias("shards"))
     dealt = distinct.join(small_side(sizes), "dim").withColumn("shard", F.pmod(F.xxhash64("vector"), F.col("shards")).cast("int"))
     tasks = sizes.agg(F.sum("shards")).first()[0] or 1
     rows = dealt.select("dim", "shard", "first", "vector", "ids").repartition(min(tasks, MOST_TASKS), "dim", "shard")
@@ -221,11 +223,13 @@ def ask(index: DataFrame, sizes: DataFrame, queries: DataFrame, k: int, breadth:
     found = shards.groupBy("dim", "shard", "group").cogroup(asked.groupBy("dim", "shard", "group"))
     found = found.applyInPandas(search, "query_id long, vec_id long, score double")
     best = F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id"))
-    return found.distinct().withColumn("rank", best).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    once = found.groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
+    return once.withColumn("rank", best).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
-def nearest(table: DataFrame, is_query: Column, k: int = 10, key: str = "vec_id", vector: str = "embedding", shard_size: int = SHARD, group_size: int = GROUP) -> DataFrame:
-    """For each row that is_query marks, its k nearest other rows."""
+def nearest(table: DataFrame, is_query: Column, k: int = 10, key: str = "vec_id", vector: str = "embedding", shard_size: int | None = None, group_size: int = GROUP) -> DataFrame:
+    """For each row that is_query marks, its k nearest other rows. Rows that share an id but not their vector are candidates
+    and queries each; their answers are merged under the id, each other row once, at its smallest distance."""
     rows = table.where(F.col(key).isNotNull() & usable(F.col(vector)))
     named = rows.select(F.col(key).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("vector"), is_query.alias("asks"))
     index, sizes = build_index(named.select("id", "vector").distinct(), k, shard_size)
