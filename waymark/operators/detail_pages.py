@@ -15,8 +15,8 @@ from waymark.functions.columns import extract, let, present
 from waymark.functions.geo import within
 from waymark.functions.text import find_phone, plausible_phone, strip_ordinal
 from waymark.operators.details import FOOD_WORDS, MENU_HEADERS, WON, KEPT_LINE_WORDS, MENU_LEAST, MENU_LINE, MENU_MOST, REVIEW_WORDS
-from waymark.operators.details import _number_sql, COORDINATES, listed, menu_name, mentions, mined_menu, script_pair, words_in
-from waymark.operators.quality import KOREA, phone_sql
+from waymark.operators.details import _number_sql, COORDINATES, PAGE_BOX, listed, menu_name, mentions, mined_menu, script_pair, words_in
+from waymark.operators.quality import phone_sql
 from waymark.plans.registry import query
 from waymark.sources import html as page
 
@@ -176,7 +176,7 @@ def coordinate_field(script: Column) -> Column:
     """Coordinates that a script names, if they lie in the country."""
 
     def made(p: Column) -> Column:
-        inside = within(p["lat"], p["lng"], KOREA)
+        inside = within(p["lat"], p["lng"], PAGE_BOX)
         return field(F.when(inside, p), failed(~inside, "coordinates: outside the country"))
 
     return let(script_pair(script), made)
@@ -321,7 +321,7 @@ q1 AS (SELECT page_id, trim(regexp_replace(name, ' +', ' ', 'g')) AS name, CAST(
 q2 AS (SELECT *, row_number() OVER (PARTITION BY page_id, name ORDER BY place) AS r FROM q1 WHERE price BETWEEN {MENU_LEAST} AND {MENU_MOST} AND length(name) BETWEEN 3 AND 30),
 refill AS (SELECT page_id, string_agg(name || '=' || price, '|' ORDER BY price, place) AS items FROM q2 WHERE r = 1 GROUP BY page_id)"""
 
-_INSIDE = f"c.p[1] BETWEEN {KOREA[0]} AND {KOREA[1]} AND c.p[2] BETWEEN {KOREA[2]} AND {KOREA[3]}"
+_INSIDE = f"c.p[1] BETWEEN {PAGE_BOX[0]} AND {PAGE_BOX[1]} AND c.p[2] BETWEEN {PAGE_BOX[2]} AND {PAGE_BOX[3]}"
 _STRICT = "list_filter(im.u, lambda u: regexp_matches(u, '^https?://'))"
 
 

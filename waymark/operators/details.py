@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from waymark.functions.columns import blank_to_null, chain, extract, let, present, total
 from waymark.functions.geo import geodesic_m, geodesic_sql, haversine_m, sql_distance, within
-from waymark.operators.quality import KOREA
+from waymark.operators.quality import BOXES
 from waymark.plans.registry import query
 
 #: Words and patterns that decide.
@@ -31,6 +31,7 @@ CITY_CENTRES = {
     "광주": (35.1595, 126.8526), "대전": (36.3504, 127.3845), "울산": (35.5384, 129.3114),
 }
 CITY_REACH_M = 50_000.0
+PAGE_BOX = BOXES["pages"]
 MENU_LEAST, MENU_MOST, JS_LEAST, JS_MOST = 5_000, 50_000, 5_000, 100_000
 
 
@@ -128,7 +129,7 @@ def script_pair(script: Column) -> Column:
 def script_coordinates(script: Column) -> Column:
     """The coordinates of a script; null outside the country."""
     found = script_pair(script)
-    return F.when(within(found["lat"], found["lng"], KOREA), found)
+    return F.when(within(found["lat"], found["lng"], PAGE_BOX), found)
 
 
 def _number_sql(name: str) -> str:
@@ -139,8 +140,8 @@ def _number_sql(name: str) -> str:
 @query("WITH c AS (SELECT id, CASE " + " ".join(
     f"WHEN {_number_sql(a)} IS NOT NULL AND {_number_sql(b)} IS NOT NULL THEN [{_number_sql(a)}, {_number_sql(b)}]" for a, b in COORDINATES
 ) + f""" END AS p FROM details)
-SELECT id, CASE WHEN p[1] BETWEEN {KOREA[0]} AND {KOREA[1]} AND p[2] BETWEEN {KOREA[2]} AND {KOREA[3]} THEN p[1] END AS lat,
-  CASE WHEN p[1] BETWEEN {KOREA[0]} AND {KOREA[1]} AND p[2] BETWEEN {KOREA[2]} AND {KOREA[3]} THEN p[2] END AS lng FROM c""")
+SELECT id, CASE WHEN p[1] BETWEEN {PAGE_BOX[0]} AND {PAGE_BOX[1]} AND p[2] BETWEEN {PAGE_BOX[2]} AND {PAGE_BOX[3]} THEN p[1] END AS lat,
+  CASE WHEN p[1] BETWEEN {PAGE_BOX[0]} AND {PAGE_BOX[1]} AND p[2] BETWEEN {PAGE_BOX[2]} AND {PAGE_BOX[3]} THEN p[2] END AS lng FROM c""")
 def coordinates_from_script(v):
     found = v.details.select("id", script_coordinates(F.col("script")).alias("p"))
     return found.select("id", "p.lat", "p.lng")

@@ -45,7 +45,9 @@ def rect_counts(v):
 
 
 def adapt(grids: DataFrame) -> DataFrame:
-    """Crowded grids become four of half the size, empty ones are renamed for merging, others stay. grids: name, rect columns, grid_size, n."""
+    """Crowded grids become four of half the size, those with few places are renamed for merging if there is another grid to
+    merge with, others stay. grids: name, rect columns, grid_size, n."""
+    others = grids.select("name").distinct().limit(2).count() > 1
     mid_lat, mid_lng = (F.col("min_lat") + F.col("max_lat")) / 2, (F.col("min_lng") + F.col("max_lng")) / 2
 
     def part(name: str, a, b, c, d):
@@ -59,14 +61,14 @@ def adapt(grids: DataFrame) -> DataFrame:
         part("NW", lo_lat, lo_lng, mid_lat, mid_lng), part("NE", lo_lat, mid_lng, mid_lat, hi_lng),
         part("SW", mid_lat, lo_lng, hi_lat, mid_lng), part("SE", mid_lat, mid_lng, hi_lat, hi_lng),
     )
-    name = F.when(F.col("n") < MERGE_BELOW, F.concat("name", F.lit("_merged"))).otherwise(F.col("name"))
+    name = F.when((F.col("n") < MERGE_BELOW) & F.lit(others), F.concat("name", F.lit("_merged"))).otherwise(F.col("name"))
     one = F.array(F.struct(name.alias("name"), lo_lat.alias("min_lat"), lo_lng.alias("min_lng"), hi_lat.alias("max_lat"), hi_lng.alias("max_lng"), F.col("grid_size").cast("long").alias("grid_size")))
     return grids.select(F.explode(F.when(F.col("n") > SPLIT_ABOVE, four).otherwise(one)).alias("g")).select("g.*")
 
 
 @query("""WITH c AS (SELECT r.rect_id, 'g' || r.rect_id AS name, r.min_lat, r.min_lng, r.max_lat, r.max_lng, count(p.place_id) AS n FROM rects r
   LEFT JOIN places p ON p.lat BETWEEN r.min_lat AND r.max_lat AND p.lng BETWEEN r.min_lng AND r.max_lng GROUP BY ALL)
-SELECT name || CASE WHEN n < 5 THEN '_merged' ELSE '' END AS name, round(min_lat, 6) AS min_lat, round(min_lng, 6) AS min_lng, CAST(800 AS BIGINT) AS grid_size FROM c WHERE n <= 50
+SELECT name || CASE WHEN n < 5 AND (SELECT count(*) FROM c) > 1 THEN '_merged' ELSE '' END AS name, round(min_lat, 6) AS min_lat, round(min_lng, 6) AS min_lng, CAST(800 AS BIGINT) AS grid_size FROM c WHERE n <= 50
 UNION ALL SELECT name || q.s, round(CASE WHEN q.a = 0 THEN min_lat ELSE (min_lat + max_lat) / 2 END, 6), round(CASE WHEN q.b = 0 THEN min_lng ELSE (min_lng + max_lng) / 2 END, 6), 400
 FROM c, (VALUES ('_NW', 0, 0), ('_NE', 0, 1), ('_SW', 1, 0), ('_SE', 1, 1)) q(s, a, b) WHERE n > 50""")
 def grid_adapt(v):

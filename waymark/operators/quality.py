@@ -16,6 +16,7 @@ from waymark.plans.registry import query
 
 #: Boxes as (min_lat, max_lat, min_lng, max_lng), severities and their weights.
 KOREA = (33.0, 38.6, 124.5, 132.0)
+BOXES = {"checks": KOREA, "pages": (33.0, 38.5, 124.0, 132.0), "settings": (33.0, 39.0, 124.0, 132.0), "profile": (33.0, 43.0, 124.0, 132.0)}
 DISTRICTS = {"강남구": (37.4979, 37.5279, 127.0276, 127.0576), "마포구": (37.54, 37.57, 126.9, 126.94), "서초구": (37.47, 37.51, 127.0, 127.05)}
 FORBIDDEN = {"인천공항": (37.44, 37.47, 126.43, 126.46), "김포공항": (37.55, 37.57, 126.79, 126.81)}
 WEIGHTS = {"low": 1, "medium": 3, "high": 7, "critical": 15}
@@ -188,7 +189,8 @@ def _slot(stage: str) -> str:
 
 
 #: Every candidate of a text as a row with its amount, then the first stage that has a price.
-PRICE_SQL = rf"""t AS (SELECT id, trim(regexp_replace(regexp_replace(trim(price_text), '(가격|요금|비용)\s*:', ' ', 'g'), '\s+', ' ', 'g')) AS x FROM price_text),
+CLEAN_SQL = r"trim(regexp_replace(regexp_replace(trim(price_text), '(가격|요금|비용)\s*:', ' ', 'g'), '\s+', ' ', 'g'))"
+STAGES_SQL = rf"""
 m AS ({_CANDIDATES}),
 n AS (SELECT *, regexp_extract(s, '([0-9]+)만([0-9]+)?천?원?', 1) AS m1, regexp_extract(s, '([0-9]+)만([0-9]+)?천?원?', 2) AS m2,
   translate(regexp_extract(s, '([일이삼사오육칠팔구십백천만억]+)원?', 1), '영일이삼사오육칠팔구', '0123456789') AS k, regexp_extract(replace(regexp_extract(s, '([0-9,]+)원?', 1), ',', ''), '([0-9]{{1,18}})', 1) AS d FROM m),
@@ -208,6 +210,7 @@ parsed AS (SELECT id, CASE WHEN st IN ('unknown', 'inquiry') THEN st WHEN st LIK
   CASE st {" ".join(f"WHEN 'r{i}' THEN r{i}1" for i in range(len(RANGES)))} WHEN 'band' THEN band * unit WHEN 'time' THEN tlow {" ".join(f"WHEN 'c{i}' THEN c{i}" for i in range(len(CONDITIONS)))} WHEN 'one' THEN low WHEN 'many' THEN low END AS min_price,
   CASE st {" ".join(f"WHEN 'r{i}' THEN r{i}2" for i in range(len(RANGES)))} WHEN 'band' THEN (band + 1) * unit - 1 WHEN 'time' THEN thigh {" ".join(f"WHEN 'c{i}' THEN c{i}" for i in range(len(CONDITIONS)))} WHEN 'one' THEN high WHEN 'many' THEN high END AS max_price,
   CASE WHEN st = 'unknown' THEN 0.0 WHEN st IN ('inquiry', 'one') OR st LIKE 'r%' THEN 0.9 WHEN st = 'time' THEN 0.85 WHEN st = 'many' THEN 0.7 ELSE 0.8 END::DOUBLE AS confidence FROM stage)"""
+PRICE_SQL = f"t AS (SELECT id, {CLEAN_SQL} AS x FROM price_text)," + STAGES_SQL
 
 
 @query(f"WITH {PRICE_SQL} SELECT id, price_type, CAST(min_price AS BIGINT) AS min_price, CAST(max_price AS BIGINT) AS max_price, confidence FROM parsed")
@@ -215,6 +218,15 @@ def price_parse(v):
     return v.price_text.select("id", F.inline(F.array(parse_price(F.col("price_text"))))).drop("condition")
 
 
+@query(rf"""WITH t AS (SELECT p.id, CASE WHEN price_text <> '' THEN {CLEAN_SQL} || ' ' || raw_menu || ' 특선 ' || (p.id % 40) || ',500원 ' || name ELSE price_text END AS x FROM price_text p JOIN details d ON d.id = p.id),{STAGES_SQL}
+SELECT id, price_type, CAST(min_price AS BIGINT) AS min_price, CAST(max_price AS BIGINT) AS max_price, confidence FROM parsed""")
+def price_with_menus(v):
+    """Prices of texts to which the first three menus are added."""
+    special = F.concat(F.lit("특선 "), (F.col("id") % 40).cast("string"), F.lit(",500원"))
+    rows = v.price_text.join(v.details.select("id", "raw_menu", "name"), "id")
+    return rows.select("id", F.inline(F.array(parse_price(F.col("price_text"), F.array(F.col("raw_menu"), special, F.col("name"), F.lit("99,000원")))))).drop("condition")
+
+
 def price_points(prices: DataFrame) -> DataFrame:
     """Lowest price of each row, and its highest where it differs."""
     both = F.array_distinct(F.filter(F.array("min_price", "max_price"), lambda p: p > 0))

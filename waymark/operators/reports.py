@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from waymark.functions.columns import chain, count_where
 from waymark.functions.price import parse_price
+from waymark.operators.grid import DISTRICTS
 from waymark.plans.durable import small_side
 from waymark.plans.registry import query
 
@@ -21,6 +22,18 @@ DEFAULTS = {"AUTOMOBILE": "car", "BUILDING": "house", "OTHER": "none"}
 NUMBERING = "^(02[0-9]{7,8}|0(3[1-3]|4[1-4]|5[1-5]|6[1-4])[0-9]{7,8}|01[016789][0-9]{7,8}|070[0-9]{8}|050[0-9]{8,9}|1[568][0-9]{6})$"
 
 
+#: The week's plan, day by day, and its priorities.
+SCHEDULE = (
+    ("monday", "highest", ("강남구", "마포구", "서초구")),
+    ("tuesday", "high", ("송파구", "영등포구", "용산구")),
+    ("wednesday", "high", ("성동구", "광진구")),
+    ("thursday", "medium", ("관악구", "서대문구", "종로구", "중구")),
+    ("friday", "medium", ("성북구", "동대문구")),
+    ("saturday", "low", ("노원구", "강북구", "은평구", "강서구", "양천구")),
+    ("sunday", "low", ("구로구", "금천구", "동작구", "강동구", "중랑구", "도봉구")),
+)
+
+
 def graded(value: Column, steps: tuple, lowest: int) -> Column:
     return chain([(value >= least, F.lit(score)) for least, score in steps], F.lit(lowest))
 
@@ -81,6 +94,36 @@ def weekly_totals(v):
     return one.withColumn("mean", F.round(F.col("stores") * 1.0 / F.col("districts"), 6))
 
 
+def planned(spark) -> DataFrame:
+    """(day, priority, district, place, expected): a row for each of the 25 districts of the plan."""
+    expected = {d[0]: d[2] for d in DISTRICTS}
+    order = {d[0]: i for i, d in enumerate(DISTRICTS)}
+    rows = [(day, priority, d, order[d], expected[d]) for day, priority, ds in SCHEDULE for d in ds]
+    return spark.createDataFrame(rows, "day string, priority string, district string, place long, expected long")
+
+
+_PLAN = ", ".join(f"('{day}', '{priority}', '{d}', {[x[0] for x in DISTRICTS].index(d)}, {next(x[2] for x in DISTRICTS if x[0] == d)})" for day, priority, ds in SCHEDULE for d in ds)
+
+
+@query(f"""WITH s(day, priority, district, place, expected) AS (VALUES {_PLAN}), c AS (SELECT split_part(address, ' ', 2) AS district, count(*) AS n FROM places GROUP BY 1)
+SELECT day, count(*) AS districts, CAST(sum(expected) AS BIGINT) AS expected, round(sum(expected) * 1.0 / count(*), 6)::DOUBLE AS mean, CAST(coalesce(sum(n), 0) AS BIGINT) AS stores, round(coalesce(sum(n), 0) * 100.0 / sum(expected), 6)::DOUBLE AS covered FROM s LEFT JOIN c USING (district) GROUP BY day""")
+def weekly_plan(v):
+    """Districts, expected places, their mean and the places that there are, for each day of the plan."""
+    counts = v.places.groupBy(F.split_part("address", F.lit(" "), F.lit(2)).alias("district")).agg(F.count("*").alias("n"))
+    rows = planned(v.spark).join(counts, "district", "left").groupBy("day").agg(F.count("*").alias("districts"), F.sum("expected").alias("expected"), F.coalesce(F.sum("n"), F.lit(0)).alias("stores"))
+    mean, covered = F.round(F.col("expected") / F.col("districts"), 6), F.round(F.col("stores") * 100.0 / F.col("expected"), 6)
+    return rows.select("day", "districts", "expected", mean.alias("mean"), "stores", covered.alias("covered"))
+
+
+@query(f"""WITH s(day, priority, district, place, expected) AS (VALUES {_PLAN}), l AS (SELECT user_id % 40 AS place, arg_max(status, id) AS status FROM crawl_log GROUP BY 1)
+SELECT district, priority, coalesce(status, 'waiting') AS status FROM s LEFT JOIN l USING (place) WHERE priority IN ('highest', 'high', 'medium') AND coalesce(status, 'waiting') IN ('waiting', 'running', 'failed')""")
+def due_districts(v):
+    """Districts of some priorities whose last session is not complete, or that had none."""
+    last = v.crawl_log.groupBy((F.col("user_id") % 40).alias("place")).agg(F.max_by("status", "id").alias("status"))
+    rows = planned(v.spark).join(last, "place", "left").withColumn("status", F.coalesce("status", F.lit("waiting")))
+    return rows.where(F.col("priority").isin("highest", "high", "medium") & F.col("status").isin("waiting", "running", "failed")).select("district", "priority", "status")
+
+
 @query("SELECT id, status, found FROM crawl_log ORDER BY created_at DESC, id DESC LIMIT 5")
 def recent_sessions(v):
     """The five latest sessions: a top-k."""
