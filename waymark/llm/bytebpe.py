@@ -28,7 +28,7 @@ import hashlib
 import heapq
 import itertools
 import unicodedata
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -41,8 +41,8 @@ PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 #: Characters with the property White_Space besides the separators' categories (fixed values).
 CONTROL_SPACES = (9, 10, 11, 12, 13, 0x85)
 #: Characters that are scanned together, and the length of a block of the scan.
-TOGETHER, BLOCK = 1 << 20, 256
-#: Slices kept with their ids per worker, the longest kept, and the longest that is merged by plain passes.
+TOGETHER, BLOCK = 1 << 19, 256
+#: Slices kept with their ids per worker (some 20 MB), the longest kept, and the longest that is merged by plain passes.
 KEPT, KEPT_BYTES, SHORT = 100_000, 64, 128
 #: Rank of a pair that is no token.
 NEVER = 1 << 30
@@ -172,13 +172,22 @@ class Ranks:
 
     def __init__(self, tokens: list[bytes]):
         self.tokens = tokens
-        self.id_of = {t: i for i, t in enumerate(tokens) if t}
-        if missing := [b for b in range(256) if bytes([b]) not in self.id_of]:
-            raise ValueError(f"the ranks lack {len(missing)} of the 256 bytes")
+        if missing := 256 - len({t for t in tokens if len(t) == 1}):
+            raise ValueError(f"the ranks lack {missing} of the 256 bytes")
         self.lengths = np.array([len(t) for t in tokens], np.int64)
         self.first = np.concatenate([[0], np.cumsum(self.lengths)])[:-1]
         self.bytes = np.frombuffer(b"".join(tokens), np.uint8)
-        self.kept: dict[bytes, list[int]] = {}
+        self.kept: dict[bytes, bytes] = {}
+
+    @cached_property
+    def id_of(self) -> dict[bytes, int]:
+        """Id of each token; only encoding needs it."""
+        return {t: i for i, t in enumerate(self.tokens) if t}
+
+    @cached_property
+    def packed(self) -> dict[bytes, bytes]:
+        """Id of each token as a packed 32-bit integer."""
+        return {t: i.to_bytes(4, "little") for t, i in self.id_of.items()}
 
     def merge(self, word: bytes) -> list[int]:
         """Ids of a slice that is no token: the pair with the lowest rank is joined, the leftmost first."""
@@ -217,13 +226,11 @@ class Ranks:
                 heapq.heappush(heap, (r, before[i], stop))
         return [self.id_of[word[i : end[i]]] for i in range(n) if alive[i]]
 
-    def ids(self, word: bytes) -> list[int]:
-        rank = self.id_of.get(word)
-        if rank is not None:
-            return [rank]
-        found = self.kept.get(word)
+    def ids(self, word: bytes) -> bytes:
+        """Ids of a slice as packed 32-bit integers."""
+        found = self.packed.get(word) or self.kept.get(word)
         if found is None:
-            found = self.merge(word)
+            found = np.array(self.merge(word), "<i4").tobytes()
             if len(word) <= KEPT_BYTES:
                 if len(self.kept) >= KEPT:
                     self.kept.clear()
@@ -250,8 +257,8 @@ class Ranks:
         coded = slices.dictionary_encode()
         which = coded.indices.to_numpy()
         found = [self.ids(w) for w in coded.dictionary.to_pylist()]
-        many = np.array([len(f) for f in found], np.int64)
-        flat = np.array([i for f in found for i in f], np.int32)
+        many = np.array([len(f) for f in found], np.int64) // 4
+        flat = np.frombuffer(b"".join(found), "<i4")
         each = many[which]
         last = np.cumsum(each)
         out = flat[np.repeat((np.cumsum(many) - many)[which] - (last - each), each) + np.arange(last[-1])]
@@ -329,7 +336,7 @@ def encode(docs: DataFrame, tokens: list[bytes], text: str = "text") -> DataFram
         at = pa.array(ends.astype(np.int32))
         return [pa.ListArray.from_arrays(at, pa.array(ids), mask=mask), pa.ListArray.from_arrays(at, pa.array(offsets), mask=mask)]
 
-    return append_columns(docs, "ids_ array<int>, offsets_ array<int>", make, by=text)
+    return append_columns(docs, "ids_ array<int>, offsets_ array<int>", make, by=text, size=1 << 20)
 
 
 def decode(coded: DataFrame, tokens: list[bytes], ids: str = "ids_", offsets: str = "offsets_") -> DataFrame:
@@ -349,7 +356,7 @@ def decode(coded: DataFrame, tokens: list[bytes], ids: str = "ids_", offsets: st
         data = ranks.decode(values, np.repeat(starts, each) + np.asarray(at.flatten()), int(sizes.sum()))
         return [pa.array([data[a : a + n] if ok else None for a, n, ok in zip(starts.tolist(), sizes.tolist(), there, strict=True)], pa.binary())]
 
-    return append_columns(coded, "decoded_ binary", make, by=ids)
+    return append_columns(coded, "decoded_ binary", make, by=ids, size=1 << 18)
 
 
 def decode_span(coded: DataFrame, tokens: list[bytes], start: str, stop: str, ids: str = "ids_", offsets: str = "offsets_") -> DataFrame:
