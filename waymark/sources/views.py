@@ -132,6 +132,13 @@ SELECT event_id, ts, CASE event_id % 6 WHEN 0 THEN 403 WHEN 1 THEN 429 WHEN 2 TH
     "script_menus": """
 SELECT id, CASE id % 13 WHEN 0 THEN NULL WHEN 1 THEN 'var b = 2;' WHEN 2 THEN 'aData = [{{broken]; x' ELSE CONCAT('var a=1; aData  = [{{"menu":{{"list":[{{"menu":" ', name, ' ","price":"', CAST(3 + id % 120 AS STRING), ',000원","best":', CAST(id % 2 AS STRING), '}},{{"menu":"특선","price":"약 ',
   CAST(4 + id % 9 AS STRING), ',500원~"}},{{"menu":"","price":"9,000원"}},{{"menu":"시가","price":"시가"}},{{"menu":"모듬","price":"12000원"}}]}}}},{{"menu":1}}];') END AS script FROM {details}""",
+    "crawled_stores": """
+SELECT id, name, CASE WHEN id % 31 = 0 THEN REPEAT('긴 소개 ', 150) WHEN id % 3 = 0 THEN '' WHEN id % 3 = 1 THEN CONCAT('소개 ', name) END AS description, CASE id % 4 WHEN 0 THEN '소고기와 삼겹살  무한리필' WHEN 1 THEN '초밥 뷔페' WHEN 2 THEN '' END AS refill_type,
+  CASE id % 5 WHEN 0 THEN '2시간' WHEN 1 THEN '' END AS refill_conditions, CASE id % 6 WHEN 0 THEN '조용한' END AS atmosphere, CASE id % 7 WHEN 0 THEN '좋다' END AS review_summary, CASE id % 8 WHEN 0 THEN NULL ELSE '고기|초밥|회|양식|한식|중식' END AS keywords,
+  CASE id % 5 WHEN 0 THEN '12,000원' WHEN 1 THEN '' END AS price, CASE id % 7 WHEN 0 THEN ' 평균 13,000원 ' END AS average_price, CASE id % 11 WHEN 0 THEN '1만원대' END AS price_range, CASE id % 4 WHEN 0 THEN NULL WHEN 1 THEN '' ELSE CONCAT('9,000원||', CAST(id % 9 AS STRING), ',500원|1원|2원') END AS price_details,
+  CASE id % 6 WHEN 0 THEN 'https://i/1' WHEN 1 THEN '//i/2' WHEN 2 THEN 'data/x.png' WHEN 3 THEN 'ftp://y' WHEN 4 THEN '' END AS main_image, CASE id % 9 WHEN 0 THEN '/local/1.png' WHEN 1 THEN 'x.png' WHEN 2 THEN '' END AS main_image_local,
+  CASE id % 5 WHEN 0 THEN NULL ELSE CONCAT('http://b/', CAST(id % 4 AS STRING), '|https://i/1|https://c|https://d|data/q|https://e|https://f') END AS image_urls, CASE id % 3 WHEN 0 THEN NULL WHEN 1 THEN ' |' ELSE '고기| 야채 ||밥' END AS refill_items,
+  CASE id % 6 WHEN 0 THEN '[]' WHEN 1 THEN 'broken [' WHEN 2 THEN NULL ELSE CONCAT('[{{"name":"', name, '","price":"9,000원","price_numeric":9000,"order":', CAST(id % 5 AS STRING), '}},{{"name":""}},{{"name":"b","is_recommended":true,"type":"x","description":"d","source":"s"}}]') END AS menu_items FROM {details}""",
     "menu_texts": """
 SELECT id, CASE WHEN id % 23 = 0 THEN NULL ELSE CONCAT('a ', raw_menu, ' 추천', CASE WHEN id % 2 = 0 THEN '\n' ELSE ' ' END, CAST(5 + id % 50 AS STRING), ',900원\n평일 점심 15시 이전 입장기준 추천 ', CAST(3 + id % 30 AS STRING), ',500 원\n',
   CASE id % 3 WHEN 0 THEN '무한리필 초등할인(4학년) 추천: 16,000원' WHEN 1 THEN '주말 뷔페 할인 - 21,000원' ELSE '방문 후기 무한리필 9,000원' END, '\n', section, '\n셀프바\n', CAST(6 + id % 9 AS STRING), ',000원') END AS t FROM {details}""",
