@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from waymark.plans.durable import exists
+
 
 def read(spark: SparkSession, path: str, kind: str = "parquet", schema: str | T.StructType | None = None, **options: str) -> DataFrame:
     """Parquet, ORC, CSV, JSON or text; a schema spares the reader a pass over the data."""
@@ -39,11 +41,8 @@ def missing_tables(spark: SparkSession, wanted: list[str]) -> list[str]:
 def append_distinct(rows: DataFrame, path: str, key: str) -> None:
     """Append those rows, once each, whose key the table at path lacks."""
     fresh = rows.dropDuplicates([key])
-    try:
+    if exists(rows.sparkSession, path):
         fresh = fresh.join(rows.sparkSession.read.parquet(path).select(key), key, "left_anti")
-    except Exception as e:  # the table does not exist yet
-        if "PATH_NOT_FOUND" not in str(e):
-            raise
     fresh.write.mode("append").parquet(path)
 
 
