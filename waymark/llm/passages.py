@@ -200,11 +200,11 @@ def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (min, of, centre, reach, common) sorted by the first three: those of minima that two texts have or that are
-    common, once each. Holds one text's rows of one minimum."""
+    """Rows (min, of, centre, reach, salt) sorted by the first three: those of minima that two texts have or that are
+    common (a salt from 0 on), once each. Holds one text's rows of one minimum."""
     pending, open_min = None, None
     for batch in batches:
-        now = [np.asarray(c) for c in batch.columns[:4]] + [np.asarray(batch.column(4).to_pylist(), bool)]
+        now = [np.asarray(c) for c in batch.columns[:4]] + [np.asarray(batch.column(4)) >= 0]
         if pending is not None:
             now = [np.concatenate(x) for x in zip(pending, now, strict=True)]
         key, of, centre = now[:3]
@@ -448,26 +448,41 @@ def _classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 LINKS = "a long, b long, min long, around binary"
 
 
-def common_minima(docs: DataFrame) -> DataFrame:
-    """Minima with so many windows that no task should get all of them, guessed from a part of the texts: at most
+def common_minima(docs: DataFrame) -> np.ndarray:
+    """Minima with so many windows that no task should get all of them, guessed from a part of the texts; sorted, and at most
     `MOST_COMMON` for each task of a shuffle. The guess only decides how rows are dealt."""
     asked = docs.where(F.pmod(F.xxhash64("of", F.lit(1)), F.lit(ASKED)) == 0)
     counts = materialise(asked.select("of", "text").mapInArrow(_windows, WINDOWS).groupBy("min").agg(F.count("*").alias("n")))
     every = counts.agg(F.sum("n")).first()[0] or 0
     tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    found = materialise(counts.where(F.col("n") >= max(COMMON, every // (MOST_COMMON * tasks))).select("min", F.lit(True).alias("common")))
+    # no more than MOST_COMMON * tasks minima can have so large a share each
+    found = counts.where(F.col("n") >= max(COMMON, every / (MOST_COMMON * tasks))).select("min").collect()
     forget(counts)
-    return found
+    return np.sort(np.array([r[0] for r in found], np.int64))
+
+
+def _dealt(common):
+    """The windows of texts with the task among `SALTS` that a window of a common minimum goes to, -1 for any other."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = common.value
+        for batch in _windows(batches):
+            key, of = np.asarray(batch.column(0)), np.asarray(batch.column(1))
+            place = np.minimum(np.searchsorted(known, key), max(0, len(known) - 1))
+            hit = known[place] == key if len(known) else np.zeros(len(key), bool)
+            salt = np.where(hit, (mix(of.view(np.uint64)) % np.uint64(SALTS)).astype(np.int32), -1).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(salt)], [*batch.schema.names, "salt"])
+
+    return run
 
 
 def passage_links(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     """Verified links (a, b) between texts, by their hashes. docs: doc_id (may be null), of (hash of the text), text."""
-    windows = docs.select("of", "text").mapInArrow(_windows, WINDOWS)
     # a common minimum is had by several texts without looking, so its windows need not meet in one task
-    dealt = windows.join(small_side(common_minima(docs)), "min", "left").withColumn("common", F.coalesce("common", F.lit(False)))
-    salt = F.when(F.col("common"), F.pmod(F.xxhash64("of"), F.lit(SALTS))).otherwise(F.lit(0)).alias("salt")
-    dealt = dealt.repartition("min", salt).select("min", "of", "centre", "reach", "common")
-    shared = materialise(dealt.sortWithinPartitions("min", "of", "centre").mapInArrow(_shared, WINDOWS))
+    common = docs.sparkSession.sparkContext.broadcast(common_minima(docs))
+    windows = docs.select("of", "text").mapInArrow(_dealt(common), f"{WINDOWS}, salt int")
+    shared = windows.repartition("min", "salt").sortWithinPartitions("min", "of", "centre").mapInArrow(_shared, WINDOWS)
+    shared = materialise(shared)
     # a text is read from the row with its smallest id; one that only rows without id have, from any of them
     reps = docs.groupBy("of").agg(F.min("doc_id").alias("id"))
     mine = shared.groupBy("of").agg(F.collect_set(F.struct("min", "centre", "reach")).alias("windows")).join(reps, "of")
