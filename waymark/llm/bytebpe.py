@@ -42,8 +42,8 @@ PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 CONTROL_SPACES = (9, 10, 11, 12, 13, 0x85)
 #: Characters that are scanned together, and the length of a block of the scan.
 TOGETHER, BLOCK = 1 << 19, 256
-#: Slices kept with their ids per worker (some 20 MB), the longest kept, and the longest that is merged by plain passes.
-KEPT, KEPT_BYTES, SHORT = 100_000, 64, 128
+#: Slices kept with their ids per worker (some 40 MB), the longest kept, and the longest that is merged by plain passes.
+KEPT, KEPT_BYTES, SHORT = 200_000, 64, 128
 #: Rank of a pair that is no token.
 NEVER = 1 << 30
 
