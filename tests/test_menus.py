@@ -3,11 +3,13 @@
 import math
 import random
 import re
+import time
 
 from pyspark.sql import functions as F
 
 from waymark.operators.menus import MENU, NOT_IN_NAMES, PRICED, PRICED_TABLE, clean_menu, hours_problems, named_links, refill_prices
 from waymark.operators.search import fulltext
+from waymark.queries import QUERIES
 
 
 def by_loop_prices(text):
@@ -55,6 +57,20 @@ def test_mined_menus(spark):
     assert spark.range(1).select(refill_prices(F.lit(None).cast("string")).alias("p")).first().p is None
 
 
+def test_long_runs_without_a_price_are_scanned_once(spark):
+    text = "무한리필 뷔페 추천 " * 500
+    df = spark.createDataFrame([(text + "\n, 성인 초밥 뷔페 12,000원",)], "t string")
+    began = time.monotonic()
+    got = df.select(clean_menu(F.col("t")).alias("m"), refill_prices(F.col("t")).alias("p")).first()
+    assert time.monotonic() - began < 30
+    assert [tuple(x) for x in got.m] == [("성인 초밥 뷔페", 12000)] and [tuple(x) for x in got.p] == [("성인 초밥 뷔페", 12000)]
+
+
+def test_menu_texts_are_dealt_to_many_tasks(spark):
+    for name in ("clean_menu_items",):
+        assert "RoundRobinPartitioning" in QUERIES[name](spark, "/root/testdata/sf0.1")._jdf.queryExecution().executedPlan().toString(), name
+
+
 def test_problems_of_hours(spark):
     rows = [
         (1, "24시간 영업", "", "21:00"), (2, "24시간", " ", None), (3, "25:10 - 26:70", None, None), (4, "22:00 - 11:00", "15:00 - 16:00", None), (5, "11:00 - 22:00", "23:00 ~ 23:30", ""), (6, None, "1:00 - 2:00", "x"), (7, "연중무휴", None, None),

@@ -35,15 +35,25 @@ MENU = (
     r"([가-힣\s\w()]*?(?:평일|주말|점심|저녁|오전|오후)[가-힣\s\w()]*?(?:무한리필|뷔페|셀프바)[가-힣\s\w()]*?)\s*(\d{1,3}(?:,\d{3})*)\s*원",
     r"([가-힣\s\w()]*?(?:성인|어린이|초등|중등|고등|학생)[가-힣\s\w()]*?(?:무한리필|뷔페|셀프바)[가-힣\s\w()]*?)\s*(\d{1,3}(?:,\d{3})*)\s*원",
 )
+NAMED = r"[가-힣\s\w()]"
 NOT_IN_NAMES = ("리뷰", "후기", "평점", "별점", "방문", "블로그")
 LONGEST_PRICED, LONGEST_MENU = 50, 30
 
 
+def pinned(pattern: str) -> str:
+    """The pattern, tried only where a match can begin: behind the last match, or where no character of names stands before.
+
+    Names begin with a lazy run of such characters. Whatever matches from inside a run matches from the place before, too,
+    so a leftmost match begins nowhere else, and a run without a price is scanned once instead of from each of its characters.
+    """
+    return rf"(?:\G|(?<!{NAMED})){pattern}" if pattern.startswith(f"({NAMED}") else pattern
+
+
 def _found(text: Column, patterns: tuple[str, ...], flags: str, offset: int = 0) -> list[Column]:
     """For each pattern its matches as an array of struct(stage, name, price), names without a leading single letter."""
     out = []
     for stage, pattern in enumerate(patterns, offset):
-        names, prices = (F.regexp_extract_all(text, F.lit(flags + pattern), F.lit(g)) for g in (1, 2))
+        names, prices = (F.regexp_extract_all(text, F.lit(flags + pinned(pattern)), F.lit(g)) for g in (1, 2))
 
         out.append(F.zip_with(names, prices, _item(stage)))
     return out
@@ -116,7 +126,7 @@ def refill_price_items(v):
 
 @query(_listed_sql(_menu_sql(MENU, "(?i)", 0, squeeze=True), LONGEST_MENU, 0))
 def clean_menu_items(v):
-    return v.menu_texts.select("id", F.coalesce(_shown(clean_menu(F.col("t"))), F.lit("")).alias("items"))
+    return v.dealt("menu_texts").select("id", F.coalesce(_shown(clean_menu(F.col("t"))), F.lit("")).alias("items"))
 
 
 def hours_problems(rows: DataFrame, key: str = "id") -> DataFrame:
