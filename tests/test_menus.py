@@ -67,7 +67,7 @@ def test_long_runs_without_a_price_are_scanned_once(spark):
 
 
 def test_menu_texts_are_dealt_to_many_tasks(spark):
-    for name in ("clean_menu_items",):
+    for name in ("clean_menu_items", "refill_price_items"):
         assert "RoundRobinPartitioning" in QUERIES[name](spark, "/root/testdata/sf0.1")._jdf.queryExecution().executedPlan().toString(), name
 
 

@@ -121,7 +121,7 @@ _PLAIN = f"NOT regexp_matches(name, '{'|'.join(NOT_IN_NAMES)}')"
 
 @query(_listed_sql(_menu_sql(PRICED, "(?i)", 0, _PLAIN) + " UNION ALL " + _menu_sql(PRICED_TABLE, "", len(PRICED)), LONGEST_PRICED, len(PRICED)))
 def refill_price_items(v):
-    return v.menu_texts.select("id", F.coalesce(_shown(refill_prices(F.col("t"))), F.lit("")).alias("items"))
+    return v.dealt("menu_texts").select("id", F.coalesce(_shown(refill_prices(F.col("t"))), F.lit("")).alias("items"))
 
 
 @query(_listed_sql(_menu_sql(MENU, "(?i)", 0, squeeze=True), LONGEST_MENU, 0))
