@@ -76,3 +76,8 @@ def test_plans(spark):
             assert "BroadcastNestedLoopJoin" not in text
     projected = QUERIES["page_hosts"](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<url:string>" in projected
+
+
+def test_heavy_rows_of_a_compact_file_are_dealt_to_many_tasks(spark):
+    for name in ("detail_records", "poi_blocks", "line_hours", "hours_render", "price_with_menus"):
+        assert "RoundRobinPartitioning" in QUERIES[name](spark, "/root/testdata/sf0.1")._jdf.queryExecution().executedPlan().toString(), name

@@ -137,7 +137,7 @@ def hours_field(nodes: Column) -> Column:
 
     def made(text: Column) -> Column:
         closed = H.closed_days(text)
-        week = let(H.day_hours(text), lambda h: let(closed, lambda c: H.render(H.fill_days(h, c), c, H.last_order(text))))
+        week = let(H.day_hours(text), lambda h: let(closed, lambda c: let(H.fill_days(h, c), lambda week: H.render(week, c, H.last_order(text)))))
         value = F.struct(week.alias("open_hours"), F.array_join(closed, ",").alias("closed"), H.break_time(text).alias("break_time"), H.last_order(text).alias("last_order"))
         issues = H.format_issues(text)
         return field(F.when(text.isNotNull(), value), failed(F.size(issues) > 0, F.concat(F.lit("hours: "), F.array_join(issues, ", "))))
@@ -290,7 +290,7 @@ SELECT page_id, regexp_extract(url, 'rid=([^&]*)', 1) AS place_id, url AS detail
   CASE WHEN regexp_full_match(s, '\d+') THEN CAST(s AS INT) END AS score, rating, categories FROM f WHERE contains(url, 'rid=') AND name <> ''""")
 def poi_blocks(v):
     """Entries of the list pages by their markup."""
-    found = page.with_nodes(v.list_pages).select("page_id", F.explode(blocks(F.col("nodes"))).alias("b"))
+    found = page.with_nodes(v.dealt("list_pages")).select("page_id", F.explode(blocks(F.col("nodes"))).alias("b"))
     return found.select("page_id", "b.place_id", "b.detail_url", "b.name", "b.branch", "b.lat", "b.lng", "b.score", "b.rating", F.array_join("b.categories", "|").alias("categories"))
 
 
@@ -340,7 +340,7 @@ SELECT d.page_id, menu.menu, coalesce(menu.prices, '') AS prices, nullif(regexp_
 FROM d LEFT JOIN menu USING (page_id) JOIN a3 USING (page_id) JOIN c USING (page_id) JOIN f2 USING (page_id) JOIN im USING (page_id) JOIN rv USING (page_id) LEFT JOIN refill USING (page_id)""")
 def detail_records(v):
     """Nine extractors over every detail page, and what went wrong."""
-    out = detail_fields(v.detail_pages)
+    out = detail_fields(v.dealt("detail_pages"))
     value = {name: F.col(f"{name}.value") for name in EXTRACTORS}
     menu = F.transform(value["menu"], lambda x: F.concat_ws("=", x["name"], x["price_numeric"].cast("string")))
     items = F.transform(value["refill"]["items"], lambda x: F.concat_ws("=", x["name"], x["price"].cast("string")))
