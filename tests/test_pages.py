@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from waymark.operators.detail_pages import EXTRACTORS, address_of, blocks, detail_fields, list_entries
-from waymark.sources.html import RAW_TEXT, TEXT, VOID, attribute, parse, select, step_test, text_of, with_nodes
+from waymark.sources.html import RAW_TEXT, TEXT, VOID, attribute, parse, select, step_test, text_of, with_nodes, written_chars
 
 
 class Tree(HTMLParser):
@@ -165,3 +165,12 @@ def test_lists(spark):
     html = '<a class="PoiBlock" href="?rid=7&x" data-lat="1" data-lng="z"><h2>3. n</h2><p class="Score"><span>8</span></p></a><a class="PoiBlock"><h2>x</h2></a>'
     row = with_nodes(spark.createDataFrame([(html,)], "html string")).select(blocks(F.col("nodes")).alias("b")).first().b
     assert len(row) == 1 and (row[0].place_id, row[0].name, row[0].lat, row[0].lng, row[0].score, row[0].rating) == ("7", "n", None, None, 8, None)
+
+
+def test_written_characters_are_those_of_the_page(spark):
+    article = "<h1>a &amp;&am</h1><p>&lt;b> &quot;<br>R&D &#39;<script>var x = 1;</script><!-- no --></p>"
+    df = spark.createDataFrame([(1, f"<html>&amp;<article>{article}</article>x</html>"), (2, "<p>x</p>"), (3, None)], "page_id int, html string")
+    nodes = F.col("nodes")
+    chars = written_chars(nodes, F.get(select(nodes, "article"), F.lit(0)))
+    got = {r.page_id: r.n for r in with_nodes(df).select("page_id", chars.alias("n")).collect()}
+    assert got == {1: len("a &amp;&am" "&lt;b> &quot;" "R&D &#39;"), 2: 0, 3: None}

@@ -256,13 +256,10 @@ def page_outline(v):
     """Elements, paragraphs of the article, the advertisement, the language and the characters of the article."""
     nodes = F.col("nodes")
     pages = page.with_nodes(v.pages.select("page_id", "html"))
-    escaped = page.text_of(nodes, F.get(page.select(nodes, "article"), F.lit(0)), strip=False)
-    for raw, written in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;"), ("'", "&#39;")):
-        escaped = F.replace(escaped, F.lit(raw), F.lit(written))
     return pages.select(
         "page_id", F.size(F.filter(nodes, lambda n: ~n["tag"].startswith("#"))).cast("long").alias("elements"), F.size(page.select(nodes, "article p")).cast("long").alias("paragraphs"),
         page.text_of(nodes, F.get(page.select(nodes, "div.ad"), F.lit(0)), strip=False).alias("ad"), page.attribute(F.get(page.select(nodes, "html"), F.lit(0)), "lang").alias("lang"),
-        F.char_length(escaped).cast("long").alias("raw_chars"),
+        page.written_chars(nodes, F.get(page.select(nodes, "article"), F.lit(0))).alias("raw_chars"),
     )
 
 

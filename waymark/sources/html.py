@@ -29,19 +29,22 @@ from waymark.functions.columns import let
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = ("script", "style")
 TEXT, RAW_TEXT = "#text", "#raw"
-NODE = "pre:int,last:int,parent:int,depth:int,tag:string,attrs:map<string,string>,classes:array<string>,text:string"
+NODE = "pre:int,last:int,parent:int,depth:int,tag:string,attrs:map<string,string>,classes:array<string>,text:string,written:int"
 TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.DOTALL)
 ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 RAW_END = {tag: re.compile(rf"</{tag}\s*>", re.IGNORECASE) for tag in RAW}
 
 
-def parse(page: str) -> list[list]:
-    """Nodes [last, parent, depth, tag, attributes, text] of a page; a node's number is its place. The parent of a root is -1."""
+def parse(page: str, written: list[int] | None = None) -> list[list]:
+    """Nodes [last, parent, depth, tag, attributes, text] of a page; a node's number is its place. The parent of a root is -1.
+    written receives the number of characters of each node's text as it stands in the page, entities unresolved."""
     nodes: list[list] = []
     stack: list[int] = []
 
-    def add(tag: str, attributes: dict[str, str], text: str | None) -> None:
+    def add(tag: str, attributes: dict[str, str], text: str | None, size: int = 0) -> None:
         nodes.append([len(nodes), stack[-1] if stack else -1, len(stack), tag, attributes, text])
+        if written is not None:
+            written.append(size)
 
     def close(depth: int) -> None:
         for i in stack[depth:]:
@@ -53,7 +56,7 @@ def parse(page: str) -> list[list]:
         found = TAG.search(page, at)
         start = found.start() if found else len(page)
         if start > at:
-            add(TEXT, {}, entities.unescape(page[at:start]))
+            add(TEXT, {}, entities.unescape(page[at:start]), start - at)
         if not found:
             break
         at = found.end()
@@ -71,7 +74,7 @@ def parse(page: str) -> list[list]:
             stop = end.start() if end else len(page)
             stack.append(len(nodes) - 1)
             if stop > at:
-                add(RAW_TEXT, {}, page[at:stop])
+                add(RAW_TEXT, {}, page[at:stop], stop - at)
             close(len(stack) - 1)
             at = end.end() if end else len(page)
         elif tag not in VOID and not found[3].rstrip().endswith("/"):
@@ -86,14 +89,15 @@ def _strings(lists: list[list[str]]) -> tuple[pa.Array, pa.Array]:
 
 def _column(pages: list[str | None]) -> pa.Array:
     """The nodes of all pages as one Arrow list of structs."""
-    parsed = [parse(p) if p else [] for p in pages]
+    written: list[int] = []
+    parsed = [parse(p, written) if p else [] for p in pages]
     flat = [node for page in parsed for node in page]
     numbers = [pa.array([node[i] for node in flat], pa.int32()) for i in (0, 1, 2)]
     pre = pa.array([i for page in parsed for i in range(len(page))], pa.int32())
     starts, keys = _strings([list(node[4]) for node in flat])
     attributes = pa.MapArray.from_arrays(starts, keys, _strings([list(node[4].values()) for node in flat])[1])
     classes = pa.ListArray.from_arrays(*_strings([node[4].get("class", "").split() for node in flat]))
-    fields = [pre, *numbers, pa.array([node[3] for node in flat], pa.string()), attributes, classes, pa.array([node[5] for node in flat], pa.string())]
+    fields = [pre, *numbers, pa.array([node[3] for node in flat], pa.string()), attributes, classes, pa.array([node[5] for node in flat], pa.string()), pa.array(written, pa.int32())]
     struct = pa.StructArray.from_arrays(fields, [f.split(":")[0] for f in re.split(r",(?![^<]*>)", NODE)])
     offsets = pa.array(np.cumsum([0, *map(len, parsed)]), pa.int32())
     return pa.ListArray.from_arrays(offsets, struct, mask=pa.array([p is None for p in pages], pa.bool_()))
@@ -164,6 +168,12 @@ def text_of(nodes: Column, outer: Column, strip: bool = True) -> Column:
     return F.array_join(F.transform(pieces, lambda p: F.regexp_replace(p, r"^\s+|\s+$", "")) if strip else pieces, "")
 
 
+def written_chars(nodes: Column, outer: Column) -> Column:
+    """Characters of all text inside an element as the page writes them, entities unresolved."""
+    inside = F.filter(nodes, lambda n: (n["tag"] == TEXT) & within_node(n, outer))
+    return F.aggregate(inside, F.lit(0).cast("long"), lambda sum_, n: sum_ + n["written"])
+
+
 def page_text(nodes: Column) -> Column:
     """All text of a page."""
     return F.array_join(F.transform(F.filter(nodes, lambda n: n["tag"] == TEXT), lambda n: n["text"]), "")
