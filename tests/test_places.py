@@ -79,5 +79,5 @@ def test_plans(spark):
 
 
 def test_heavy_rows_of_a_compact_file_are_dealt_to_many_tasks(spark):
-    for name in ("detail_records", "poi_blocks", "line_hours", "hours_render", "price_with_menus"):
+    for name in ("detail_records", "poi_blocks", "line_hours", "hours_render", "price_with_menus", "address_neighbours"):
         assert "RoundRobinPartitioning" in QUERIES[name](spark, "/root/testdata/sf0.1")._jdf.queryExecution().executedPlan().toString(), name

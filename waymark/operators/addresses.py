@@ -53,7 +53,7 @@ m AS (SELECT q.seq, w.seq AS other, count(*) AS n FROM q JOIN w USING (word) GRO
 SELECT seq, other, n FROM (SELECT *, row_number() OVER (PARTITION BY seq ORDER BY other) AS r FROM m) x WHERE r <= {NEIGHBOURS}""")
 def address_neighbours(v):
     """For places without coordinates, the first ten located ones in input order that share at least two address words."""
-    return sharing_two_words(v.places)
+    return sharing_two_words(v.dealt("places"))
 
 
 def likest_sets(lost: DataFrame, known: DataFrame) -> DataFrame:
