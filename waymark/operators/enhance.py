@@ -9,10 +9,10 @@ from waymark.functions.category import NO_CATEGORY, map_many
 from waymark.functions.columns import present
 from waymark.functions.price import parse_price
 from waymark.operators.addresses import CASCADE_SQL, geocode
-from waymark.operators.entity import GROUPS_SQL, duplicate_pairs, golden_records
+from waymark.operators.entity import GROUPS_SQL, duplicate_groups, golden_records
 from waymark.operators.migrate import PAIRS_MANY
 from waymark.operators.quality import PRICE_SQL
-from waymark.plans.durable import first_seeds, small_side, written
+from waymark.plans.durable import small_side, written
 from waymark.plans.registry import query
 
 
@@ -35,7 +35,7 @@ def enhance(places: DataFrame, prices: DataFrame, categories: DataFrame) -> tupl
     rows = written(rows.observe(
         seen, F.count("*").alias("total"), F.count("lat").alias("located"), F.count("price").alias("priced"), F.count("categories").alias("mapped")
     ))
-    groups = written(first_seeds(duplicate_pairs(rows)))
+    groups = written(duplicate_groups(rows))
     merged = golden_records(rows, groups).select("seed", "place_id", "name", "address", "lat", "lng", "phone", "merged")
     chosen = merged.join(rows.select("place_id", "source", "price", "categories"), "place_id")
     alone = rows.join(groups.select(F.col("member").alias("seq")), "seq", "left_anti").withColumn("merged", F.lit(1).cast("long"))
