@@ -273,3 +273,55 @@ def test_large_groups_grow_to_the_components_of_all_pairs():
         a, b = grow(reps, digests(grid, np.zeros(n, np.int64)), side, sketches(grid), grid)
         links = list(zip(np.concatenate(a).tolist(), np.concatenate(b).tolist(), strict=True))
         assert components(links) == want and len(links) < len(set(reps.tolist()))
+
+
+def test_similar_windows_meet_and_a_crowd_of_others_does_not(spark):
+    from waymark.llm.passages import meeting_rows, meetings
+
+    rng = np.random.default_rng(12)
+    rows, others = [], []
+    for k in range(12_000):
+        left, right = [(64, 64), (0, 64), (64, 0), (int(rng.integers(0, 65)), int(rng.integers(0, 65)))][k % 4]
+        if left + right + 1 < LEAST:
+            left = 64
+        a = np.zeros(2 * REACH + 1, "<u2")
+        inside = slice(REACH - left, REACH + right + 1)
+        a[inside] = rng.integers(1, 65000, left + right + 1)
+        if k % 3 == 0:  # a word is repeated around the centre
+            a[max(REACH - left, REACH - int(rng.integers(0, 50))) : REACH + min(right, int(rng.integers(0, 50))) + 1] = a[REACH]
+        b = np.roll(a, int(rng.integers(-2, 3))) if k % 2 else a.copy()
+        for _ in range(int(rng.integers(0, 4))):
+            at = int(rng.integers(REACH - left, REACH + right + 1))
+            b[at : at + int(rng.integers(1, 8))] = rng.integers(1, 65000)
+        b[REACH - left + (k % 5) :][: int(rng.integers(0, 4))] = 0 if k % 7 == 0 else 9
+        b[a == 0] = 0
+        b[REACH] = a[REACH]
+        rows.append(a)
+        others.append(b)
+    a, b = np.array(rows), np.array(others)
+    hit = np.flatnonzero(similar(a, b))
+    key = np.arange(len(a))
+    at, found, asks = meetings(np.concatenate([key, key]), np.concatenate([a, b]))
+    of, asked = at % len(a), at < len(a)
+    # what a row of the first asks for, its partner has
+    wanted, had = set(zip(of[asks & asked].tolist(), found[asks & asked].tolist())), set(zip(of[~asked].tolist(), found[~asked].tolist()))
+    met = {i for i, _ in wanted & had}
+    assert len(hit) > 4_000 and met.issuperset(hit.tolist())
+
+    # 600 windows that end alike and 600 in which one word is repeated before others come, with two similar ones of each
+    crowd = np.zeros((1200, 2 * REACH + 1), "<u2")
+    crowd[:600, : REACH + 7] = rng.integers(1, 65000, (600, REACH + 7))
+    crowd[:600, REACH : REACH + 7] = np.arange(1, 8)
+    crowd[600:, REACH:] = rng.integers(1, 65000, (600, REACH + 1))
+    for i in range(600, 1200):
+        crowd[i, REACH : REACH + 4 + i % 25] = 1
+    crowd[[1, 601]] = crowd[[0, 600]]
+    crowd[[1, 601], [30, 100]] = 5
+    df = spark.createDataFrame([(7, i, bytearray(g.tobytes())) for i, g in enumerate(crowd)], "min long, rep long, around binary")
+    meeting, met = meeting_rows(df)
+    got = meeting.collect()
+    groups = {}
+    for r in got:
+        groups.setdefault(r.min, set()).add(r.rep)
+    assert len(got) == met.count() and any({0, 1} <= g for g in groups.values()) and any({600, 601} <= g for g in groups.values())
+    assert sum(len(g) ** 2 for g in groups.values()) < 0.02 * len(crowd) ** 2

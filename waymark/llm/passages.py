@@ -17,7 +17,9 @@ that no class has reached yet, which gives a spanning forest of the links among
 around the centre come first: 128-bit masks whose difference is bounded for windows that share a passage, by a bound
 that grows with the shorter window. Keys with
 more than `BLOCK` windows are dealt to blocks that first keep one of equal windows; texts that other keys have linked
-by then count as one, and every two blocks are compared in a task of their own.
+by then count as one, and windows meet where they have a shingle in one place: a window asks for more of its shingles than
+a passage may miss, the uncommon ones first, in each stretch that a passage has to cover, so no two that share one fail to
+meet. Where more than `BLOCK` meet, every two blocks of them are compared in a task of their own.
 Equal texts are one text throughout, and texts are the nodes, whatever ids their rows have. A document's class is the
 connected component over verified links, named by the smallest doc_id in it.
 
@@ -51,6 +53,9 @@ SECTION, LARGE, TILE, CHUNK = LEAST // 4, 64, 64, 16_384
 #: Of this many texts one is asked for minima that are common; least windows of one there, most such minima for each task
 #: of a shuffle, and tasks that one is dealt to.
 ASKED, COMMON, MOST_COMMON, SALTS = 64, 32, 8, 64
+#: A passage covers one of the stretches around the centre that begin at every `STEP`-th place; shingles meet in cells of
+#: `CELL` places, up to `FAR` places from the centre.
+STEP, CELL, FAR = 6, 8, LEAST + max(SHIFTS)
 #: Low bits of a key that hold the position while sliding.
 PLACE = np.uint64((1 << 23) - 1)
 
@@ -408,6 +413,68 @@ def forest(group: np.ndarray, reps: np.ndarray, side: np.ndarray, grid: np.ndarr
     return a, b
 
 
+_places = np.arange(-FAR, FAR + 1)
+STRETCHES = [np.flatnonzero((_places >= -i) & (_places <= max(0, LEAST - STEP - i)) & (_places != 0)) for i in range(0, LEAST, STEP)]
+#: Places that one stretch of a passage may miss: a passage with less than LEAST places on one side of its centre is no longer
+#: than LEAST - 1 + REACH, and of one with more on both sides, one side holds half the misses at most.
+MOST_MISSES = max((LEAST - 1 + REACH) // 9, (2 * REACH + 1) // 9 // 2)
+
+
+def meetings(key: np.ndarray, grid: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, key, whether the row asks) once each: rows of one key that hold a common passage have a key in common for which
+    one of them asks.
+
+    Each row is found under its shingles in their cells. It asks, in each stretch, for one shingle more than a passage may
+    miss there, counting the places outside its window as missed: for shingles other than the centre's, which
+    repeated words have in common, and for those of the places that many stretches share before others.
+    """
+    near = grid[:, REACH - FAR : REACH + FAR + 1]
+    far, code, base = np.abs(_places), near.astype(np.uint64) << np.uint64(8), mix(key.view(np.uint64))
+
+    def keys(row: np.ndarray, place: np.ndarray, shift: int) -> np.ndarray:
+        return mix(base[row] ^ (code[row, place] | ((_places[place] + shift + REACH) // CELL).astype(np.uint64)))
+
+    most = np.minimum(np.maximum(np.count_nonzero(grid, axis=1), LEAST) // 9, MOST_MISSES)
+    rank = np.where(near == grid[:, REACH, None], 200 - far, np.where(far < LEAST // 2, LEAST // 2 - far, far))
+    rank = np.where(near == 0, 255, rank).astype(np.uint8)
+    ask = np.zeros(near.shape, bool)
+    for stretch in STRETCHES:
+        part = rank[:, stretch]
+        need = most - np.count_nonzero(part == 255, axis=1) + 1
+        chosen = np.zeros(part.shape, bool)
+        np.put_along_axis(chosen, np.argsort(part, axis=1, kind="stable"), np.arange(len(stretch)) < need[:, None], axis=1)
+        ask[:, stretch] |= chosen
+    at, asked = np.nonzero(near), np.nonzero(ask)
+    row = np.concatenate([asked[0], asked[0], at[0]])
+    every = np.concatenate([keys(*asked, min(SHIFTS)), keys(*asked, max(SHIFTS)), keys(*at, 0)])
+    asks = np.arange(len(row)) < 2 * len(asked[0])
+    order = np.lexsort((~asks, every, row))
+    row, every, asks = row[order], every[order], asks[order]
+    new = np.ones(len(row), bool)
+    new[1:] = (row[1:] != row[:-1]) | (every[1:] != every[:-1])
+    return row[new], every[new].view(np.int64), asks[new]
+
+
+def _meetings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(min, rep, around, row) -> the keys under which a row meets others."""
+    for batch in batches:
+        grid = np.frombuffer(b"".join(batch.column(2).to_pylist()), "<u2").reshape(-1, 2 * REACH + 1)
+        at, key, asks = meetings(np.asarray(batch.column(0)), grid)
+        reps, rows = np.asarray(batch.column(1)), np.asarray(batch.column(3))
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in (key, reps[at], rows[at], asks)], ["key", "rep", "row", "asks"])
+
+
+def meeting_rows(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(min, rep, around): the rows of crowded minima under each key where one asks for another's; and these keys (min, row)."""
+    rows = rows.select("min", "rep", "around", F.xxhash64("min", "rep", "around").alias("row"))
+    every = materialise(rows.mapInArrow(_meetings, "key long, rep long, row long, asks boolean"))
+    keys = every.groupBy("key").agg(F.min("rep").alias("low"), F.max("rep").alias("high"), F.max("asks").alias("asked"))
+    met = every.join(materialise(keys.where("low <> high AND asked").select("key")), "key", "left_semi")
+    met = materialise(met.select(F.col("key").alias("min"), "row"))
+    forget(every)
+    return met.join(rows.drop("min"), "row").select("min", "rep", "around"), met
+
+
 def _classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows sorted by (min, block, rep): links (a, b) of each group's forest. If `more`: links of equal rows, then one of each."""
 
@@ -516,9 +583,13 @@ def passage_links(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     roots = materialise(components(linked))
     again = again.join(small_side(roots), F.col("a") == F.col("node"), "left")
     again = materialise(again.select("min", F.coalesce("component", "a").alias("rep"), "around").distinct())
+    # of those still crowded, windows meet under keys that only few of them have
+    still = blocks_of(again)
+    meeting, met = meeting_rows(again.join(still, "min", "left_semi"))
+    again = again.join(still, "min", "left_anti").unionByName(meeting)
     own = F.when(F.col("blocks").isNull(), 0).otherwise(F.pmod(F.xxhash64("around"), F.col("blocks")).cast("int"))
     others = F.when(F.col("blocks").isNull(), F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), F.col("blocks") - 1))
-    again = again.join(blocks_of(again), "min", "left").withColumn("own", own).withColumn("other", F.explode(others))
+    again = again.join(blocks_of(met), "min", "left").withColumn("own", own).withColumn("other", F.explode(others))
     pair = F.shiftleft(F.greatest("own", "other").cast("long"), 32) + F.least("own", "other")
     side = F.when(F.col("own") == F.col("other"), -1).when(F.col("own") < F.col("other"), 0).otherwise(1)
     again = again.select("min", pair.alias("block"), F.lit(False).alias("more"), "rep", side.alias("side"), "around")
